@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference has no streaming source, watermark, window, state or trigger;
+its inputs are daily tables replaced whole. Place-day outputs here are batch
+DataFrames. Nothing is built in this package on purpose.
+"""

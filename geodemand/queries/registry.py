@@ -92,3 +92,7 @@ TRAINING_DOUBLES = [
 )
 def q_place_day_training(spark: SparkSession, d: str) -> DataFrame:
     return round_doubles(place_day_training(sales_2024_01(spark, d), weather_history(spark, d)), 4)
+
+
+# Register the query modules (each registers on import).
+from . import q_basic  # noqa: E402,F401

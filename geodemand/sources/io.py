@@ -17,6 +17,8 @@ from .._cols import require_columns
 
 __all__ = [
     "coerce",
+    "inline_table",
+    "scratch_path",
     "path_exists",
     "read_csv",
     "read_source",
@@ -52,10 +54,26 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def _ensure_schema(spark: SparkSession, name: str) -> None:
+def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType) -> DataFrame:
+    """A constant dimension (e.g. a place list) from driver-side rows,
+    hinted for broadcast: its size is the length of ``rows``."""
+    return F.broadcast(spark.createDataFrame(list(rows), schema))
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the session's shared checkpoint folder."""
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
+
+
+def _ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     parts = name.split(".")
     if len(parts) >= 2:
-        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {'.'.join(parts[:-1])}")
+        loc = f" LOCATION '{location}'" if location else ""
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {'.'.join(parts[:-1])}{loc}")
 
 
 def write_table(
@@ -64,14 +82,16 @@ def write_table(
     partition_by: str | Sequence[str] | None = None,
     fmt: str = "parquet",
     path: str | None = None,
+    schema_location: str | None = None,
 ) -> None:
-    """Create or replace table ``name`` (schema created if absent).
+    """Create or replace table ``name`` (schema created if absent, at
+    ``schema_location`` when given). ``path`` makes it an external table.
 
     ``partition_by`` is for large outputs only (e.g. a month column); place-day
     outputs are small and written unpartitioned.
     """
     spark = df.sparkSession
-    _ensure_schema(spark, name)
+    _ensure_schema(spark, name, schema_location)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))

@@ -72,7 +72,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, object]:
     and write the outputs that are configured. Returns the forecast frame, the
     metrics frame and the selection summary."""
     t = build_tables(spark, cfg)
-    training = ml.split_last_days(t["training"], n=cfg.valid_days)
+    training = ml.split_last_days(ml.reliable_checkpoint(t["training"]), n=cfg.valid_days)
     train = training.where(~F.col("is_valid")).drop("is_valid")
     valid = training.where(F.col("is_valid")).drop("is_valid")
     models = [

@@ -24,7 +24,16 @@ def explode_lines(
     return df.select(*keep, F.explode(parse_lines(json_col, item_type)).alias(item))
 
 
-def order_amounts(
+def _null_skipping_sum(values, zero_type: str):
+    """``SUM`` over an array column: nulls skipped, null when nothing is summed."""
+    return F.aggregate(
+        values,
+        F.lit(None).cast(zero_type),
+        lambda acc, x: F.when(x.isNull(), acc).when(acc.isNull(), x.cast(zero_type)).otherwise((acc + x).cast(zero_type)),
+    )
+
+
+def priced_orders(
     orders: DataFrame,
     lo: dt.date | str | None = None,
     hi: dt.date | str | None = None,
@@ -35,22 +44,46 @@ def order_amounts(
     amount: str = "order_sales_amount",
     day: str = "order_date",
 ) -> DataFrame:
-    """Per-order amount: sum of lines priced ``price x qty x (1 - disc)``,
-    each line rounded to cents before summing.
+    """Per input row: the order's amount, priced inside the row.
 
-    Orders without a time or without lines are skipped. The optional day range
-    ``[lo, hi]`` is applied to the raw epoch seconds, so the parquet scan can
-    skip row groups.
+    The line array is parsed and summed with a higher-order ``aggregate``
+    (each line rounded to cents, unpriceable lines skipped), so no explode and
+    no shuffle is needed. Rows whose JSON is null, malformed or an empty array
+    are dropped, as ``explode`` would drop them.
     """
     o = orders.where(F.col(epoch_col).isNotNull() & F.col(json_col).isNotNull())
     if lo is not None or hi is not None:
         if lo is None or hi is None:
             raise ValueError("give both lo and hi")
         o = o.where(epoch_day_range(epoch_col, lo, hi))
-    o = o.select(order_key, customer_key, epoch_to_day(epoch_col).alias(day), json_col)
-    items = explode_lines(o, json_col, "item", keep=[order_key, customer_key, day])
-    return items.groupBy(order_key, customer_key, day).agg(
-        F.sum(
-            line_amount("item.price", "item.qty", "item.promotion_info.promo_disc")
-        ).alias(amount)
+    parsed = o.select(order_key, customer_key, epoch_to_day(epoch_col).alias(day), parse_lines(json_col).alias("_items"))
+    cents = F.transform(
+        F.col("_items"), lambda x: line_amount(x["price"], x["qty"], x["promotion_info"]["promo_disc"])
+    )
+    return parsed.where(F.size("_items") > 0).select(
+        order_key, customer_key, day, _null_skipping_sum(cents, "decimal(28,2)").alias(amount)
     )
+
+
+def order_amounts(
+    orders: DataFrame,
+    lo: dt.date | str | None = None,
+    hi: dt.date | str | None = None,
+    order_key: str = "order_number",
+    customer_key: str = "customer_id",
+    epoch_col: str = "order_datetime",
+    json_col: str = "ordered_products",
+    amount: str = "order_sales_amount",
+    day: str = "order_date",
+) -> DataFrame:
+    """Per-order amount: sum of lines priced ``price x qty x (1 - disc)``,
+    each line rounded to cents before summing.
+
+    Orders without a time or without lines are skipped. The optional day range
+    ``[lo, hi]`` is applied to the raw epoch seconds, so the parquet scan can
+    skip row groups.
+    """
+    rows = priced_orders(orders, lo, hi, order_key, customer_key, epoch_col, json_col, amount, day)
+    # An order may span several rows (chunks of lines, or repeated rows):
+    # sum them per order, as SUM over the exploded lines would.
+    return rows.groupBy(order_key, customer_key, day).agg(F.sum(amount).cast("decimal(28,2)").alias(amount))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import remap_month
-from ..operators.lines import order_amounts
+from ..operators.lines import priced_orders
 
 
 def place_day_sales(
@@ -27,12 +27,14 @@ def place_day_sales(
     (e.g. the output of ``resolve_places``). When ``year``/``month`` are
     given, days are re-dated into that month keeping the day of month.
 
-    Order amounts are first summed per (customer, day): exact decimal sums are
-    associative, so this equals the reference's per-order join, but the join
-    input shrinks to one row per customer and day and a customer holding a
-    large share of orders is reduced map-side before any shuffle.
+    Each order row is priced in place (no explode, no per-order shuffle), then
+    amounts are summed per (customer, day): exact decimal sums are
+    associative, so this equals the reference's per-order sums joined to
+    customers, but the join input shrinks to one row per customer and day and
+    a customer holding a large share of orders is reduced map-side before any
+    shuffle.
     """
-    per_order = order_amounts(orders, lo, hi)
+    per_order = priced_orders(orders, lo, hi)
     per_customer_day = per_order.groupBy("customer_id", "order_date").agg(
         F.sum("order_sales_amount").alias("_amount")
     )

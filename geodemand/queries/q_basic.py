@@ -388,7 +388,9 @@ def q_haversine_km(spark: SparkSession, d: str) -> DataFrame:
         "_rk", F.pmod(F.col("postal_code").cast("int"), F.lit(5))
     )
     p = roles.places(spark, d).select("city", "center_lat", "center_lon", F.col("postal_code").cast("int").alias("_rk"))
-    j = s.join(F.broadcast(p), "_rk")  # five rows: one per region
+    from ..operators.sizing import bounded_broadcast
+
+    j = s.join(bounded_broadcast(p), "_rk")
     return round_doubles(
         j.select("postal_code", "city", haversine_km("lat", "lon", "center_lat", "center_lon").alias("distance_km"))
     )

@@ -9,6 +9,7 @@ values in different orders.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,26 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 
+# Session settings the queries' semantics rely on: day boundaries in UTC.
+QUERY_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+
+def _with_conf(fn: Query) -> Query:
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        for k, v in QUERY_CONF.items():
+            if spark.conf.get(k, None) != v:
+                spark.conf.set(k, v)
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+        QUERIES[name] = _with_conf(fn)
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -137,15 +137,22 @@ def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Lines gathered into one JSON row at most; a larger order spans several rows
+# with the same order number (order amounts sum them back exactly).
+LINES_PER_ROW = 64
+
+
 def orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales orders with line items as JSON text.
 
-    Lines are gathered per order (an order has a handful of lines) and only
-    then joined to the orders, so the join input is one row per order.
+    Lines are gathered per order and chunk of :data:`LINES_PER_ROW` line
+    numbers, so no single order, however large, is collected into one row;
+    only then are they joined to the orders.
     """
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem")
-    lines = li.groupBy("l_orderkey").agg(
+    chunk = F.floor((F.col("l_linenumber") - 1) / LINES_PER_ROW)
+    lines = li.groupBy("l_orderkey", chunk.alias("_chunk")).agg(
         F.count(F.lit(1)).alias("number_of_line_items"),
         F.to_json(
             F.collect_list(

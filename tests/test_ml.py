@@ -95,3 +95,15 @@ def test_split_hash_stable_under_repartition(spark):
     a = ml.split_hash(df, ["k"]).where("is_train").select("k").collect()
     b = ml.split_hash(df.repartition(7), ["k"]).where("is_train").select("k").collect()
     assert sorted(a) == sorted(b) and 700 < len(a) < 900
+
+
+def test_train_demo_on_demo_days(spark):
+    from geodemand.operators.features import effects_score
+    from geodemand.sources import roles
+
+    days = effects_score(roles.demo_day(spark, "/root/testdata/sf0.001"), name="sales_amount")
+    model, metrics = ml.train_demo(days, trees=5)
+    m = metrics.first()
+    assert m.train_rows + m.test_rows == 30 and m.mae >= 0
+    with pytest.raises(ValueError, match="discount_pct"):
+        ml.train_demo(days.drop("discount_pct"))

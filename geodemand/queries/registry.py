@@ -13,7 +13,6 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.measures import Measure, round_doubles
 from ..plans.resolve import resolve_places

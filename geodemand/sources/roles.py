@@ -4,7 +4,7 @@ The reference reads postal-code daily weather, a customer table with validity
 versions and sales orders whose line items are JSON text. The driver tables are
 TPC-H-like; these functions stand those roles up from them with plain column
 expressions, so every query's work grows with the driver tables. The DuckDB
-oracle (:mod:`geodemand.queries.oracle`) writes the same expressions in SQL.
+oracle (:mod:`geodemand.queries.oracle_roles`) writes the same expressions in SQL.
 """
 
 from __future__ import annotations

@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from geodemand.operators.measures import Measure
 from geodemand.operators.quality import coverage_full, coverage_left, duplicate_keys, duplicate_surplus, null_profile, row_counts

@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle on the smallest driver
 tables, plus grain and repartition properties of the composite outputs."""
 
-import datetime as dt
 import decimal
 import math
 import os

@@ -81,3 +81,14 @@ def test_nearest_place_grid_equals_brute_force(spark):
             if r.b.km <= max_km
         }
         assert grid == brute, max_km
+
+
+def test_nearest_place_shuffle_path_equals_broadcast_path(spark):
+    rnd = random.Random(5)
+    centres = [(f"c{i}", "S", rnd.uniform(-60, 60), rnd.uniform(-180, 180)) for i in range(30)]
+    pts = [(f"p{i}", rnd.uniform(-61, 61), rnd.uniform(-180, 180)) for i in range(2000)]
+    c = spark.createDataFrame(centres, "city string, state string, center_lat double, center_lon double")
+    p = spark.createDataFrame(pts, "postal_code string, lat double, lon double")
+    a = sorted(nearest_place(p, c, 900.0).collect())
+    b = sorted(nearest_place(p, c, 900.0, max_broadcast_rows=0).collect())  # centre cells not broadcast
+    assert a == b and len(a) > 100

@@ -23,6 +23,13 @@ from ..operators.measures import MeasureSpec
 from ..operators.sizing import bounded_broadcast
 
 
+def horizon_days(spark, anchor: dt.date | str, n_days: int, date_name: str = "date") -> DataFrame:
+    """``n_days`` rows, one per day from ``anchor`` (H8). Pass the anchor
+    explicitly: results must not depend on the day the job runs."""
+    a = anchor if isinstance(anchor, dt.date) else dt.date.fromisoformat(anchor)
+    return spark.range(1).select(F.explode(horizon(F.lit(a), n_days)).alias(date_name))
+
+
 def scaffold(
     places: DataFrame, anchor: dt.date | str | Column, n_days: int, date_name: str = "date"
 ) -> DataFrame:

@@ -18,6 +18,7 @@ from .._cols import require_columns
 __all__ = [
     "coerce",
     "inline_table",
+    "places",
     "scratch_path",
     "path_exists",
     "read_csv",
@@ -60,6 +61,15 @@ def inline_table(spark: SparkSession, rows: Sequence[tuple], schema: str | T.Str
     return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
+PLACE_SCHEMA = "city string, state string, center_lat double, center_lon double"
+
+
+def places(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructType = PLACE_SCHEMA) -> DataFrame:
+    """An inline place list (A2): ``(city, state, centre lat, centre lon)``
+    rows by default, broadcast-hinted (its size is ``len(rows)``)."""
+    return inline_table(spark, rows, schema)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
     import uuid

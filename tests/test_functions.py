@@ -85,3 +85,24 @@ def test_haversine_known_distance_and_clamp(spark):
     r = df.select(haversine_km("a", "b", "c", "d")).collect()
     assert abs(r[0][0] - 2805.0) < 5.0
     assert r[1][0] == pytest.approx(3.141592653589793 * 6371.0)
+
+
+def test_inline_places_and_horizon_days(spark):
+    from geodemand.plans.forecast import horizon_days
+    from geodemand.sources.io import places
+
+    p = places(spark, [("Chicago", "IL", 41.8781, -87.6298), ("Portland", "OR", 45.5152, -122.6784)])
+    assert p.count() == 2 and p.columns == ["city", "state", "center_lat", "center_lon"]
+    days = [r.date for r in horizon_days(spark, "2024-04-24", 10).collect()]
+    assert len(days) == 10 and days[0] == dt.date(2024, 4, 24) and days[-1] == dt.date(2024, 5, 3)
+
+
+def test_imputer_stages(spark):
+    from geodemand.operators import ml
+
+    df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (None, "b"), (10.0, None), (3.0, "a"), (4.0, "a")], "x double, c string")
+    filled = ml.mode_imputer(["c"]).fit(ml.median_imputer(["x"]).fit(df).transform(df)).transform(
+        ml.median_imputer(["x"]).fit(df).transform(df)
+    )
+    got = sorted((r.x, r.c) for r in filled.collect())
+    assert (3.0, "b") in got and (10.0, "a") in got

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import epoch_to_day, horizon, is_weekend, remap_month, season, weekday
 from ..functions.geo import haversine_km
 from ..functions.text import clean_postcode, norm_key, norm_text, strip_decimal_suffix, title_place
-from ..operators.features import effects_score, weather_features
+from ..operators.features import effects_score, place_keys, weather_features
 from ..operators.keyed import enforce_grain, latest_version
 from ..operators.lines import explode_lines, order_amounts
 from ..operators.measures import Measure, bounds, dow_profile, per_key_max, project_measures, round_doubles, stamp
@@ -22,13 +22,18 @@ from ..operators.quality import (
     null_profile,
     row_counts,
 )
+from ..operators.report import join_suffixed
+from ..operators.sizing import bounded_broadcast
 from ..operators.spatial import nearest_place, stations
 from ..plans.forecast import scaffold
 from ..plans.resolve import repair_funnel, zip_reference
+from ..plans.training import place_day_training
+from ..plans.weather import place_day_weather
 from ..sources import roles
 from ..sources.io import coerce, inline_table, read_csv, read_table, scratch_path, write_csv, write_guarded, write_table
 from .oracle_roles import POSTCODE_5, POSTCODE_CLEAN, haversine, initcap, spark_round, with_roles
 from .registry import (
+    WEATHER_DEC,
     register,
     resolved_customers,
     rounded_sql,
@@ -346,8 +351,6 @@ def q_scenario_delta(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_join_dim_filter(spark: SparkSession, d: str) -> DataFrame:
     p = roles.places(spark, d).select("city", "state", "postal_code")
-    from ..operators.sizing import bounded_broadcast
-
     s = roles.station_day(spark, d).join(bounded_broadcast(p), "postal_code")
     return round_doubles(s.select("city", "state", "postal_code", "day", "temp_avg"))
 
@@ -364,10 +367,6 @@ def q_join_dim_filter(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def q_join_suffixed(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators.report import join_suffixed
-    from ..plans.weather import place_day_weather
-    from .registry import WEATHER_DEC
-
     near = weather_history(spark, d).select("city", "state", "date", "postal_code_count", "temp_avg", "humidity")
     wide = place_day_weather(roles.station_day(spark, d), roles.places(spark, d), 120.0, WEATHER_DEC).select(
         "city", "state", "date", "postal_code_count", "temp_avg", "humidity"
@@ -393,8 +392,6 @@ def q_haversine_km(spark: SparkSession, d: str) -> DataFrame:
         "_rk", F.pmod(F.col("postal_code").cast("int"), F.lit(5))
     )
     p = roles.places(spark, d).select("city", "center_lat", "center_lon", F.col("postal_code").cast("int").alias("_rk"))
-    from ..operators.sizing import bounded_broadcast
-
     j = s.join(bounded_broadcast(p), "_rk")
     return round_doubles(
         j.select("postal_code", "city", haversine_km("lat", "lon", "center_lat", "center_lon").alias("distance_km"))
@@ -433,8 +430,6 @@ def q_coverage_left(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def q_coverage_full(spark: SparkSession, d: str) -> DataFrame:
-    from ..operators.features import place_keys
-
     keys = ["city_key", "state_key", "date"]
     s = place_keys(sales_2024_01(spark, d)).select(*keys)
     w = place_keys(weather_history(spark, d)).select(*keys)
@@ -590,8 +585,6 @@ def q_duplicate_surplus(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def q_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    from ..plans.training import place_day_training
-
     s, w = sales_2024_01(spark, d), weather_history(spark, d)
     return row_counts({"sales": s, "weather": w, "training": place_day_training(s, w)})
 

@@ -7,6 +7,7 @@ never through the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .._cols import require_columns
+from ..session import ensure_checkpoint_dir
 
 __all__ = [
     "coerce",
@@ -72,10 +74,6 @@ def places(spark: SparkSession, rows: Sequence[tuple], schema: str | T.StructTyp
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the session's shared checkpoint folder."""
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/{name}-{uuid.uuid4().hex}"
 
 

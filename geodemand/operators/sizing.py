@@ -1,8 +1,8 @@
 """Broadcast only what is proven small.
 
 Place lists, centre lists and horizons are parameters or dimension tables;
-:func:`bounded_broadcast` checks their row count (a ``LIMIT max_rows + 1``
-count, cheap on a small table) before hinting a broadcast, and otherwise leaves
+:func:`bounded_broadcast` checks their row count (at most ``max_rows + 1`` tiny
+rows are fetched, cheap on a small table) before hinting a broadcast, and otherwise leaves
 the join to the planner (sort-merge, with AQE converting it at run time if the
 side turns out small and splitting skewed partitions if not).
 
@@ -21,6 +21,13 @@ MAX_BROADCAST_ROWS = 100_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows.
+
+    Small ceilings fetch at most ``max_rows + 1`` one-column rows, partition
+    by partition, without a shuffle; large ones count a ``LIMIT`` instead.
+    """
+    if max_rows <= 100_000:
+        return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -95,7 +95,7 @@ def nearest_place(
     centre_lon: str = "center_lon",
     centre_cols: Sequence[str] = ("city", "state"),
     distance_col: str = "distance_km",
-    max_broadcast_rows: int = 1_000_000,
+    max_broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """Assign each point key to its nearest centre, kept only within ``max_km``.
 

@@ -332,7 +332,19 @@ def q_split_hash(spark: SparkSession, d: str) -> DataFrame:
     return ml.split_hash(training(spark, d), ["city", "state", "date"]).select("city", "state", "date", "is_train")
 
 
-@register("one_hot")
+@register(
+    "one_hot",
+    with_roles(
+        """WITH t AS (SELECT DISTINCT city, state FROM training),
+                w AS (SELECT DISTINCT city, state FROM place_day_weather),
+                both_ AS (SELECT city, state FROM t UNION ALL SELECT city, state FROM w)
+           SELECT city, state,
+                  CAST((CASE WHEN city IN (SELECT city FROM t) THEN 1 ELSE 0 END)
+                     + (CASE WHEN state IN (SELECT state FROM t) THEN 1 ELSE 0 END) AS DOUBLE) AS ones
+           FROM both_""",
+        "training",
+    ),
+)
 def q_one_hot(spark: SparkSession, d: str) -> DataFrame:
     """Indexers fitted on the training places; the upper-case weather place
     names are unseen and encode to all zeros."""

@@ -18,20 +18,52 @@ from ..functions.logic import clip
 from ..functions.text import norm_key
 
 
+def _day_number(order: str):
+    return F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date"))
+
+
 def lag_feature(
-    df: DataFrame, keys: Sequence[str], order: str, col: str, n: int = 1, name: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    col: str,
+    n: int = 1,
+    name: str | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
-    """Value of ``col`` ``n`` rows earlier within each key (null at the start)."""
+    """Value of ``col`` ``n`` rows earlier within each key (null at the start).
+
+    ``calendar=True``: the value exactly ``n`` days earlier (``order`` is a
+    date), null when that day is missing, instead of the previous row.
+    """
+    out = name or f"{col}_lag_{n}"
+    if calendar:
+        w = Window.partitionBy(*keys).orderBy(_day_number(order)).rangeBetween(-n, -n)
+        return df.withColumn(out, F.first(F.col(col)).over(w))
     w = Window.partitionBy(*keys).orderBy(order)
-    return df.withColumn(name or f"{col}_lag_{n}", F.lag(F.col(col), n).over(w))
+    return df.withColumn(out, F.lag(F.col(col), n).over(w))
 
 
 def rolling_prev_mean(
-    df: DataFrame, keys: Sequence[str], order: str, col: str, n: int = 7, name: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    col: str,
+    n: int = 7,
+    name: str | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
-    """Mean of up to ``n`` previous rows within each key, current row excluded."""
-    w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-n, -1)
-    return df.withColumn(name or f"{col}_roll{n}_mean_prev", F.avg(F.col(col)).over(w))
+    """Mean of up to ``n`` previous rows within each key, current row excluded.
+
+    ``calendar=True``: the mean over the previous ``n`` calendar days (days
+    without a row simply contribute nothing).
+    """
+    out = name or f"{col}_roll{n}_mean_prev"
+    if calendar:
+        w = Window.partitionBy(*keys).orderBy(_day_number(order)).rangeBetween(-n, -1)
+    else:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(-n, -1)
+    return df.withColumn(out, F.avg(F.col(col)).over(w))
 
 
 def weather_features(

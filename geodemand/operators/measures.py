@@ -65,17 +65,23 @@ def mean_measures(
     measures: MeasureSpec,
     distinct_counts: Mapping[str, str] | None = None,
     row_count: str | None = None,
+    approx_distinct: float | None = None,
 ) -> DataFrame:
     """Per-key mean of every measure, scaled and rounded per its spec.
 
     ``distinct_counts`` adds ``COUNT(DISTINCT col)`` outputs (e.g. member
-    stations), ``row_count`` a row count.
+    stations), ``row_count`` a row count. With ``approx_distinct`` (a relative
+    standard deviation, e.g. 0.01) the distinct counts are HyperLogLog++
+    estimates: fixed-size sketches instead of a shuffle of distinct values.
     """
     aggs: list[Column] = []
     if row_count:
         aggs.append(F.count(F.lit(1)).alias(row_count))
     for name, c in (distinct_counts or {}).items():
-        aggs.append(F.count_distinct(F.col(c)).alias(name))
+        if approx_distinct is None:
+            aggs.append(F.count_distinct(F.col(c)).alias(name))
+        else:
+            aggs.append(F.approx_count_distinct(F.col(c), approx_distinct).alias(name))
     aggs += [m.finish(F.avg(m.value(n))).alias(n) for n, m in measures.items()]
     return df.groupBy(*keys).agg(*aggs)
 

@@ -31,3 +31,12 @@ def test_effects_score_floor(spark):
     df = spark.createDataFrame([row], "season string, precipitation_mm double, temperature_c double, is_weekend int, is_holiday int, discount_pct int, humidity_pct double, wind_speed_kmh double")
     s = effects_score(df).first().score
     assert abs(s - (185 + 26 + 6 + 38 - 50 * 0.22 - 10 * 0.35)) < 1e-9
+
+
+def test_calendar_variants(spark):
+    rows = [("A", dt.date(2024, 1, 1), 1.0), ("A", dt.date(2024, 1, 5), 3.0), ("A", dt.date(2024, 1, 6), 5.0)]
+    df = spark.createDataFrame(rows, "p string, d date, v double")
+    out = rolling_prev_mean(lag_feature(df, ["p"], "d", "v", 1, "lag", calendar=True), ["p"], "d", "v", 4, "roll", calendar=True)
+    got = [(r.lag, r.roll) for r in out.orderBy("d").collect()]
+    # 01-05: the day before (01-04) is missing; the 4 previous days 01-01..01-04 hold 1.0
+    assert got == [(None, None), (None, 1.0), (3.0, 3.0)]

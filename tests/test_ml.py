@@ -107,3 +107,9 @@ def test_train_demo_on_demo_days(spark):
     assert m.train_rows + m.test_rows == 30 and m.mae >= 0
     with pytest.raises(ValueError, match="discount_pct"):
         ml.train_demo(days.drop("discount_pct"))
+
+
+def test_approximate_median_option(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1, 1002)], "x double")
+    assert ml.median_values(df, ["x"], approx_error=0.001)["x"] == 501.0
+    assert ml.median_values(df, ["x"])["x"] == 501.0

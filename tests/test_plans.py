@@ -68,3 +68,12 @@ def test_coerce_bad_values_become_null(spark):
     out = coerce(df, {"i": "bigint", "d": "double", "day": "date", "f": "boolean"}).collect()
     assert tuple(out[0]) == (1, 2.5, dt.date(2024, 1, 2), True, "x")
     assert tuple(out[1]) == (None, None, None, None, "y")
+
+
+def test_approx_distinct_option(spark):
+    from geodemand.operators.measures import mean_measures
+
+    df = spark.createDataFrame([("a", i % 50, 1.0) for i in range(500)], "k string, s int, v double")
+    exact = mean_measures(df, ["k"], {"v": Measure()}, distinct_counts={"n": "s"}).first().n
+    approx = mean_measures(df, ["k"], {"v": Measure()}, distinct_counts={"n": "s"}, approx_distinct=0.01).first().n
+    assert exact == 50 and abs(approx - 50) <= 2

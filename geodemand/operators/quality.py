@@ -43,14 +43,16 @@ def coverage_left(
 ) -> DataFrame:
     """Fact rows, and fact rows whose key has no match in ``ref``.
 
-    ``ref`` is reduced to its distinct keys first, so a repeated key in the
-    reference can not inflate the counts.
+    Facts are first counted per key (partially aggregated, so a hot key is
+    one row before the join) and ``ref`` is reduced to its distinct keys, so a
+    repeated key in the reference can not inflate the counts.
     """
+    counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     r = _key_set(ref, on, "_matched")
-    j = facts.select(*on).join(r, list(on), "left")
+    j = counts.join(r, list(on), "left")
     return j.agg(
-        F.count(F.lit(1)).alias(total_name),
-        flag_sum(F.col("_matched").isNull()).alias(missing_name),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias(total_name),
+        F.sum(F.when(F.col("_matched").isNull(), F.col("_n")).otherwise(F.lit(0))).alias(missing_name),
     )
 
 

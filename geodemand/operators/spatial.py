@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
-from .measures import MeasureSpec, mean_measures
+from .measures import MeasureSpec
 from .sizing import bounded_broadcast
 
 _EPS_DEG = 1e-7
@@ -131,6 +131,17 @@ def nearest_place(
     )
 
 
+def _mean_from_parts(m, s: Column, c: Column) -> Column:
+    """``sum / count`` typed as ``AVG`` would type it (decimal(p+4, s+4) for
+    decimal inputs), so re-aggregated means equal a direct average."""
+    q = F.try_divide(s, c)
+    t = m.type.replace(" ", "").lower()
+    if t.startswith("decimal("):
+        p, sc = (int(x) for x in t[len("decimal(") : -1].split(","))
+        q = q.cast(f"decimal({min(38, p + 4)},{min(38, sc + 4)})")
+    return q
+
+
 def place_day_measures(
     fact: DataFrame,
     mapping: DataFrame,
@@ -146,17 +157,25 @@ def place_day_measures(
     """Point-day facts -> place-day means over member points, with the number
     of distinct member points (one row per place and day).
 
-    ``mapping`` (point key -> place) is derived from the fact, so its size is
-    not checked eagerly; AQE broadcasts it at run time when it is small.
+    The fact is aggregated to (point, day) sums and non-null counts *before*
+    the join: the partial aggregation collapses a point holding a large share
+    of the rows on the map side, the join input is bounded by points x days,
+    and the place-day means are rolled up as sum/count (equal to the direct
+    average). ``mapping`` (point key -> place) is derived from the fact, so its
+    size is not checked eagerly; AQE broadcasts it at run time when small.
     """
     f = fact if where is None else fact.where(where)
-    joined = f.join(mapping.select(key, *place_cols), key)
-    out = mean_measures(
-        joined,
-        [*place_cols, F.col(date_col).alias(date_name)],
-        measures,
-        distinct_counts={member_count: key} if member_count else None,
-    )
+    parts = []
+    for n, m in measures.items():
+        v = m.value(n)
+        parts += [F.sum(v).alias(f"_s_{n}"), F.count(v).alias(f"_c_{n}")]
+    per_point = f.where(F.col(key).isNotNull()).groupBy(key, F.col(date_col).alias(date_name)).agg(*parts)
+    joined = per_point.join(mapping.select(key, *place_cols), key)
+    aggs = [F.count(F.lit(1)).alias(member_count)] if member_count else []
+    aggs += [
+        m.finish(_mean_from_parts(m, F.sum(f"_s_{n}"), F.sum(f"_c_{n}"))).alias(n) for n, m in measures.items()
+    ]
+    out = joined.groupBy(*place_cols, date_name).agg(*aggs)
     if consts:
         out = out.withColumns({k: F.lit(v) for k, v in consts.items()})
     return out

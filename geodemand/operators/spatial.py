@@ -142,36 +142,41 @@ def _mean_from_parts(m, s: Column, c: Column) -> Column:
     return q
 
 
-def place_day_measures(
+def point_day_parts(
     fact: DataFrame,
-    mapping: DataFrame,
     key: str,
     date_col: str,
     measures: MeasureSpec,
-    place_cols: Sequence[str] = ("city", "state"),
+    extra_keys: Sequence[str] = (),
     date_name: str = "date",
-    member_count: str | None = "postal_code_count",
     where: Column | None = None,
-    consts: Mapping[str, object] | None = None,
 ) -> DataFrame:
-    """Point-day facts -> place-day means over member points, with the number
-    of distinct member points (one row per place and day).
-
-    The fact is aggregated to (point, day) sums and non-null counts *before*
-    the join: the partial aggregation collapses a point holding a large share
-    of the rows on the map side, the join input is bounded by points x days,
-    and the place-day means are rolled up as sum/count (equal to the direct
-    average). ``mapping`` (point key -> place) is derived from the fact, so its
-    size is not checked eagerly; AQE broadcasts it at run time when small.
-    """
+    """Per (point, ``extra_keys``, day): the sum and non-null count of every
+    measure. A partial aggregate, so a point holding a large share of the
+    rows is collapsed on the map side before the shuffle."""
     f = fact if where is None else fact.where(where)
     parts = []
     for n, m in measures.items():
         v = m.value(n)
         parts += [F.sum(v).alias(f"_s_{n}"), F.count(v).alias(f"_c_{n}")]
-    per_point = f.where(F.col(key).isNotNull()).groupBy(key, F.col(date_col).alias(date_name)).agg(*parts)
-    joined = per_point.join(mapping.select(key, *place_cols), key)
-    aggs = [F.count(F.lit(1)).alias(member_count)] if member_count else []
+    return f.where(F.col(key).isNotNull()).groupBy(key, *extra_keys, F.col(date_col).alias(date_name)).agg(*parts)
+
+
+def rollup_parts(
+    parts: DataFrame,
+    mapping: DataFrame,
+    key: str,
+    measures: MeasureSpec,
+    place_cols: Sequence[str] = ("city", "state"),
+    date_name: str = "date",
+    member_count: str | None = "postal_code_count",
+    consts: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Join point-day parts to the point -> place map and roll them up to one
+    row per place and day: means as sum/count (typed as ``AVG`` would type
+    them) and the number of distinct member points."""
+    joined = parts.join(mapping.select(key, *place_cols), key)
+    aggs = [F.count_distinct(F.col(key)).alias(member_count)] if member_count else []
     aggs += [
         m.finish(_mean_from_parts(m, F.sum(f"_s_{n}"), F.sum(f"_c_{n}"))).alias(n) for n, m in measures.items()
     ]
@@ -179,3 +184,30 @@ def place_day_measures(
     if consts:
         out = out.withColumns({k: F.lit(v) for k, v in consts.items()})
     return out
+
+
+def place_day_measures(
+    fact: DataFrame,
+    mapping: DataFrame,
+    key: str,
+    date_col: str,
+    measures: MeasureSpec,
+    place_cols: Sequence[str] = ("city", "state"),
+    date_name: str = "date",
+    member_count: str | None = "postal_code_count",
+    where: Column | None = None,
+    consts: Mapping[str, object] | None = None,
+) -> DataFrame:
+    """Point-day facts -> place-day means over member points, with the number
+    of distinct member points (one row per place and day).
+
+    The fact is aggregated to (point, day) sums and non-null counts *before*
+    the join (:func:`point_day_parts`): the join input is bounded by points x
+    days and a hot point never reaches the join as many rows; the place-day
+    means are then rolled up as sum/count (:func:`rollup_parts`), equal to the
+    direct average. ``mapping`` (point key -> place) is derived from the fact,
+    so its size is not checked eagerly; AQE broadcasts it at run time when
+    small.
+    """
+    parts = point_day_parts(fact, key, date_col, measures, date_name=date_name, where=where)
+    return rollup_parts(parts, mapping, key, measures, place_cols, date_name, member_count, consts)

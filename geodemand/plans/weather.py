@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 
 from ..operators.measures import Measure, MeasureSpec
-from ..operators.spatial import nearest_place, place_day_measures, stations
+from ..operators.spatial import nearest_place, point_day_parts, rollup_parts, stations
 
 # The place-day weather vocabulary with its rounding (and the
 # fraction -> percent scale of cloud cover), keyed by output name.
@@ -41,12 +41,19 @@ def place_day_weather(
     """Each station mapped to its nearest centre within ``max_km``, then
     place-day means over member stations and their count.
 
+    A station with several coordinates competes with each of them (the
+    nearest pair wins) and all its rows count towards its place.
+
     ``measures`` defaults to the :data:`PLACE_DAY_WEATHER` entries whose
     source column exists in ``fact``.
     """
     if measures is None:
         measures = {n: m for n, m in PLACE_DAY_WEATHER.items() if m.source(n) in fact.columns}
+    # The station list reads only the key and coordinate columns of the fact
+    # (a pruned scan with a partial distinct); the measures are summed per
+    # (station, day) before they meet the station -> place map.
     f = fact if where is None else fact.where(where)
     pts = stations(f, key, lat, lon)
     mapping = nearest_place(pts, centres, max_km, point_key=key, point_lat=lat, point_lon=lon)
-    return place_day_measures(f, mapping, key, date_col, measures, consts=consts)
+    parts = point_day_parts(f, key, date_col, measures)
+    return rollup_parts(parts, mapping, key, measures, consts=consts)

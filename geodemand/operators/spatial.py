@@ -147,19 +147,18 @@ def point_day_parts(
     key: str,
     date_col: str,
     measures: MeasureSpec,
-    extra_keys: Sequence[str] = (),
     date_name: str = "date",
     where: Column | None = None,
 ) -> DataFrame:
-    """Per (point, ``extra_keys``, day): the sum and non-null count of every
-    measure. A partial aggregate, so a point holding a large share of the
-    rows is collapsed on the map side before the shuffle."""
+    """Per (point, day): the sum and non-null count of every measure. A
+    partial aggregate, so a point holding a large share of the rows is
+    collapsed on the map side before the shuffle."""
     f = fact if where is None else fact.where(where)
     parts = []
     for n, m in measures.items():
         v = m.value(n)
         parts += [F.sum(v).alias(f"_s_{n}"), F.count(v).alias(f"_c_{n}")]
-    return f.where(F.col(key).isNotNull()).groupBy(key, *extra_keys, F.col(date_col).alias(date_name)).agg(*parts)
+    return f.where(F.col(key).isNotNull()).groupBy(key, F.col(date_col).alias(date_name)).agg(*parts)
 
 
 def rollup_parts(
@@ -174,9 +173,14 @@ def rollup_parts(
 ) -> DataFrame:
     """Join point-day parts to the point -> place map and roll them up to one
     row per place and day: means as sum/count (typed as ``AVG`` would type
-    them) and the number of distinct member points."""
+    them) and the number of member points.
+
+    ``parts`` holds one row per (point, day) and ``mapping`` one row per
+    point, so counting rows counts distinct points without a distinct
+    aggregation.
+    """
     joined = parts.join(mapping.select(key, *place_cols), key)
-    aggs = [F.count_distinct(F.col(key)).alias(member_count)] if member_count else []
+    aggs = [F.count(F.lit(1)).alias(member_count)] if member_count else []
     aggs += [
         m.finish(_mean_from_parts(m, F.sum(f"_s_{n}"), F.sum(f"_c_{n}"))).alias(n) for n, m in measures.items()
     ]

@@ -63,8 +63,8 @@ def dow_profile_forecast(
     """
     keys = list(keys)
     per_key_max = dict(per_key_max or {})
-    p = bounded_broadcast(places.select(*keys, *[c for c in place_cols if c not in keys]))
-    h = history.join(p.select(*keys).distinct(), keys)
+    p = places.select(*keys, *[c for c in place_cols if c not in keys])
+    h = history.join(bounded_broadcast(p.select(*keys).distinct()), keys)
     dow = F.dayofweek(F.col(date_col))
     aggs = [
         F.count(F.lit(1)).alias("_n"),

@@ -59,7 +59,7 @@ def resolve_all(customers: DataFrame, key: str = "customer_id") -> DataFrame:
 def _targets(targets: DataFrame) -> DataFrame:
     t = targets.select(
         F.col(targets.columns[0]).alias("_t_city"), F.col(targets.columns[1]).alias("_t_state")
-    )
+    ).distinct()
     return bounded_broadcast(t)
 
 

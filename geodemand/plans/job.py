@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import ml
 from ..operators.measures import Measure
 from ..sources import roles
-from ..sources.io import write_guarded, write_metrics
+from ..sources.io import write_guarded, write_metrics, write_table
 from .forecast import dow_profile_forecast
 from .resolve import resolve_places
 from .sales import place_day_sales
@@ -49,20 +49,55 @@ class JobConfig:
     forest_trees: int = 400
     boost_iters: int = 100
     models: list[str] = field(default_factory=lambda: ["linear_regression", "random_forest", "gradient_boosting"])
+    # Materialise each step as a table (the reference's step-by-step table
+    # chain) under ``tables_db`` stored at ``tables_location`` (shared
+    # storage); None keeps the whole job one lazy plan.
+    tables_db: str | None = None
+    tables_location: str | None = None
+    customer_buckets: int = 64
+
+
+def _step(spark: SparkSession, cfg: JobConfig, df: DataFrame, table: str, **kw) -> DataFrame:
+    """Write a step's output as a table and continue from the table, or pass
+    the lazy frame through when no table location is configured."""
+    if not cfg.tables_db:
+        return df
+    if not cfg.tables_location:
+        raise ValueError("tables_db needs tables_location (a shared folder)")
+    loc = f"{cfg.tables_location.rstrip('/')}/{cfg.tables_db}.db"
+    name = f"{cfg.tables_db}.{table}"
+    write_table(df, name, path=f"{loc}/{table}", schema_location=loc, **kw)
+    return spark.table(name)
 
 
 def build_tables(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Resolved customers, place-day sales and weather, training table and the
-    weather horizon (lazy)."""
+    weather horizon (lazy, or read back from tables when ``tables_db`` is
+    set; customers are then bucketed by ``customer_id``)."""
     d = cfg.sf_dir
-    customers = resolve_places(roles.customer_versions(spark, d), roles.target_places(spark, d))
-    sales = place_day_sales(roles.orders_json(spark, d), customers, year=cfg.year, month=cfg.month)
-    weather = place_day_weather(roles.station_day(spark, d), roles.places(spark, d), cfg.max_km)
-    training = place_day_training(sales, weather)
+    customers = _step(
+        spark,
+        cfg,
+        resolve_places(roles.customer_versions(spark, d), roles.target_places(spark, d)),
+        "resolved_customers",
+        bucket_by=(cfg.customer_buckets, ["customer_id"]),
+    )
+    sales = _step(
+        spark, cfg, place_day_sales(roles.orders_json(spark, d), customers, year=cfg.year, month=cfg.month), "place_day_sales"
+    )
+    weather = _step(
+        spark, cfg, place_day_weather(roles.station_day(spark, d), roles.places(spark, d), cfg.max_km), "place_day_weather"
+    )
+    training = _step(spark, cfg, place_day_training(sales, weather), "training")
     measures = {n: Measure() for n in PLACE_DAY_WEATHER if n in weather.columns and n in ml.FEATURE_COLUMNS}
     places = weather.select("city", "state").distinct()
-    horizon = dow_profile_forecast(
-        weather, places, ["city", "state"], measures, dt.date.fromisoformat(cfg.anchor), cfg.horizon_days, date_col="date"
+    horizon = _step(
+        spark,
+        cfg,
+        dow_profile_forecast(
+            weather, places, ["city", "state"], measures, dt.date.fromisoformat(cfg.anchor), cfg.horizon_days, date_col="date"
+        ),
+        "weather_horizon",
     )
     return {"customers": customers, "sales": sales, "weather": weather, "training": training, "horizon": horizon}
 

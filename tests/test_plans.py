@@ -77,3 +77,22 @@ def test_approx_distinct_option(spark):
     exact = mean_measures(df, ["k"], {"v": Measure()}, distinct_counts={"n": "s"}).first().n
     approx = mean_measures(df, ["k"], {"v": Measure()}, distinct_counts={"n": "s"}, approx_distinct=0.01).first().n
     assert exact == 50 and abs(approx - 50) <= 2
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from geodemand.sources.io import write_table
+
+    a = spark.range(2000).selectExpr("id AS customer_id", "id % 7 AS v")
+    b = spark.range(2000).selectExpr("id AS customer_id", "id % 5 AS w")
+    loc = str(tmp_path / "db")
+    write_table(a, "geodemand_bucket_test.a", path=f"{loc}/a", schema_location=loc, bucket_by=(8, "customer_id"))
+    write_table(b, "geodemand_bucket_test.b", path=f"{loc}/b", schema_location=loc, bucket_by=(8, ["customer_id"]))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("geodemand_bucket_test.a").join(spark.table("geodemand_bucket_test.b"), "customer_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert j.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan

@@ -1,4 +1,4 @@
-"""Weekday-profile proxy forecast (C5, P1; sql/01 shape).
+"""Weekday-profile proxy forecast.
 
 For each place and each day of an N-day horizon: the place's mean for that
 weekday, falling back *per measure* to the place's overall mean, with the

@@ -1,4 +1,4 @@
-"""Postal-code daily weather -> place-day weather (G1-G3, sql/02 shape)."""
+"""Postal-code daily weather -> place-day weather."""
 
 from __future__ import annotations
 

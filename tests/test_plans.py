@@ -96,3 +96,17 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
+def test_read_source_prefers_table_then_files(spark, tmp_path):
+    from geodemand.sources.io import read_csv, write_csv, write_table
+
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
+    path = str(tmp_path / "csv")
+    write_csv(df, path)
+    assert sorted(read_source(spark, table="geodemand_src_test.none", path=path, schema=df.schema).collect()) == sorted(df.collect())
+    loc = str(tmp_path / "db")
+    write_table(df.where("v = 1"), "geodemand_src_test.t", path=f"{loc}/t", schema_location=loc)
+    got = read_source(spark, table="geodemand_src_test.t", path=path, schema=df.schema).collect()
+    assert [tuple(r) for r in got] == [("a", 1)]
+    assert sorted(read_csv(spark, path, df.schema).collect()) == sorted(df.collect())

@@ -67,11 +67,16 @@ def centre_cells(
     phi_m = F.least(F.abs(c_lat) + F.lit(max_km / KM_PER_DEGREE), F.lit(90.0))
     denom = F.cos(F.radians(c_lat)) * F.cos(F.radians(phi_m))
     arg = F.lit(math.sin(max_km / (2 * EARTH_RADIUS_KM))) / F.sqrt(F.greatest(denom, F.lit(1e-300)))
-    dlon = (
-        F.when((denom <= F.lit(1e-12)) | (arg >= F.lit(1.0)), F.lit(180.0))
-        .otherwise(F.degrees(2 * F.asin(arg)))
-        + F.lit(_EPS_DEG)
-    )
+    if max_km >= math.pi * EARTH_RADIUS_KM:
+        # Beyond half the circumference every point is in range (and the
+        # bound below would no longer be monotonic in the radius).
+        dlon = F.lit(180.0 + _EPS_DEG)
+    else:
+        dlon = (
+            F.when((denom <= F.lit(1e-12)) | (arg >= F.lit(1.0)), F.lit(180.0))
+            .otherwise(F.degrees(2 * F.asin(arg)))
+            + F.lit(_EPS_DEG)
+        )
     lo = F.floor((c_lon + F.lit(180.0) - dlon) / F.lit(lon_deg))
     hi = F.floor((c_lon + F.lit(180.0) + dlon) / F.lit(lon_deg))
     lon_cells = F.when(

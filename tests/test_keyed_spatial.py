@@ -71,7 +71,7 @@ def test_nearest_place_grid_equals_brute_force(spark):
         pts.append((f"q{i}", la + rnd.uniform(-1, 1), ((lo + rnd.uniform(-2, 2) + 180) % 360) - 180))
     c = spark.createDataFrame(centres, "city string, state string, center_lat double, center_lon double")
     p = spark.createDataFrame(pts, "postal_code string, lat double, lon double")
-    for max_km in (80.0, 500.0, 3000.0):
+    for max_km in (80.0, 500.0, 3000.0, 15000.0, 25000.0):
         grid = {r.postal_code: (r.city, round(r.distance_km, 9)) for r in nearest_place(p, c, max_km).collect()}
         pairs = p.crossJoin(c).withColumn("km", haversine_km("lat", "lon", "center_lat", "center_lon"))
         best = pairs.groupBy("postal_code").agg(F.min(F.struct("km", "city", "state")).alias("b"))

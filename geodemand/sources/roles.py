@@ -29,7 +29,7 @@ _TABLES: dict[tuple[int, str], DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(getattr(spark, "_jsparkSession", spark)), path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = _TABLES[key] = spark.read.parquet(path)

@@ -713,13 +713,15 @@ def q_horizon_days(spark: SparkSession, d: str) -> DataFrame:
 @register(
     "place_day_scaffold",
     with_roles(
-        """SELECT city, state, CAST(unnest(generate_series(DATE '2024-01-31', DATE '2024-02-09', INTERVAL 1 DAY)) AS DATE) AS date
-           FROM places""",
-        "places",
+        """SELECT postal_code, CAST(unnest(generate_series(DATE '2024-01-31', DATE '2024-02-09', INTERVAL 1 DAY)) AS DATE) AS date
+           FROM (SELECT DISTINCT postal_code FROM station_day) s""",
+        "station_day",
     ),
 )
 def q_place_day_scaffold(spark: SparkSession, d: str) -> DataFrame:
-    return scaffold(roles.places(spark, d).select("city", "state"), roles.HORIZON_ANCHOR, 10)
+    """Every station of the weather table once per horizon day."""
+    keys = roles.station_day(spark, d).select("postal_code").distinct()
+    return scaffold(keys, roles.HORIZON_ANCHOR, 10)
 
 
 @register(

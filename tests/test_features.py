@@ -40,3 +40,32 @@ def test_calendar_variants(spark):
     got = [(r.lag, r.roll) for r in out.orderBy("d").collect()]
     # 01-05: the day before (01-04) is missing; the 4 previous days 01-01..01-04 hold 1.0
     assert got == [(None, None), (None, 1.0), (3.0, 3.0)]
+
+
+# One place's rows of a saved training table (date, sales,
+# expected previous-row lag, expected mean of up to 7 previous rows, weekend).
+GOLDEN_PLACE_ROWS = [
+    ("2022-01-01", 6224.0, None, None, 1),
+    ("2022-01-18", 3601.0, 6224.0, 6224.0, 0),
+    ("2022-01-19", 5032.0, 3601.0, 4912.5, 0),
+    ("2022-01-22", 3321.0, 5032.0, 4952.333333333333, 1),
+    ("2022-01-28", 171.69, 3321.0, 4544.5, 0),
+]
+
+
+def test_training_features_golden(spark):
+    from geodemand.plans.training import place_day_training
+
+    sales = spark.createDataFrame(
+        [("portland", "or", dt.date.fromisoformat(d), s) for d, s, *_ in GOLDEN_PLACE_ROWS],
+        "city string, state string, date date, sales_amount double",
+    )
+    weather = spark.createDataFrame(
+        [("PORTLAND", "OR", dt.date.fromisoformat(d), 50.0, 40.0) for d, *_ in GOLDEN_PLACE_ROWS],
+        "city string, state string, date date, temp_max double, temp_min double",
+    )
+    out = {str(r.date): r for r in place_day_training(sales, weather).collect()}
+    for d, s, lag, roll, weekend in GOLDEN_PLACE_ROWS:
+        r = out[d]
+        assert (r.city, r.state, r.sales_amount, r.sales_amount_lag_1d, r.is_weekend) == ("Portland", "OR", s, lag, weekend)
+        assert (r.sales_amount_roll7_mean_prev is None and roll is None) or abs(r.sales_amount_roll7_mean_prev - roll) < 1e-9

@@ -112,3 +112,4 @@ def q_place_day_training(spark: SparkSession, d: str) -> DataFrame:
 # Register the query modules (each registers on import).
 from . import q_basic  # noqa: E402,F401
 from . import q_model  # noqa: E402,F401
+from . import q_checks  # noqa: E402,F401

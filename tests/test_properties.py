@@ -135,3 +135,27 @@ def test_training_features_match_python(spark):
             assert g.is_rainy == (1 if (p or 0.0) > 0 else 0)
             assert g.is_weekend == (1 if r[2].weekday() >= 5 else 0)
     assert n == len(got)
+
+
+def test_preaggregated_rollup_equals_direct_mean(spark):
+    from pyspark.sql import functions as F
+
+    from geodemand.operators.measures import mean_measures
+    from geodemand.operators.spatial import place_day_measures
+
+    start = dt.date(2024, 1, 1)
+    rows = [
+        (f"s{RND.randint(0, 60)}", start + dt.timedelta(RND.randint(0, 6)),
+         None if RND.random() < 0.1 else round(RND.uniform(-20, 40), 2), round(RND.uniform(0, 1), 2))
+        for _ in range(4000)
+    ]
+    fact = spark.createDataFrame(rows, "postal_code string, day date, t double, c double")
+    mapping = spark.createDataFrame([(f"s{i}", f"P{i % 9}", "S") for i in range(55)], "postal_code string, city string, state string")
+    spec = {"t": Measure(type="decimal(12,2)", digits=2), "c": Measure(type="decimal(12,2)", scale=100.0, digits=1)}
+    pre = place_day_measures(fact, mapping, "postal_code", "day", spec)
+    direct = mean_measures(
+        fact.join(mapping, "postal_code"), ["city", "state", F.col("day").alias("date")], spec,
+        distinct_counts={"postal_code_count": "postal_code"},
+    )
+    cols = ["city", "state", "date", "postal_code_count", "t", "c"]
+    assert sorted(pre.select(cols).collect()) == sorted(direct.select(cols).collect())

@@ -113,3 +113,16 @@ def test_approximate_median_option(spark):
     df = spark.createDataFrame([(float(i),) for i in range(1, 1002)], "x double")
     assert ml.median_values(df, ["x"], approx_error=0.001)["x"] == 501.0
     assert ml.median_values(df, ["x"])["x"] == 501.0
+
+
+def test_score_scenarios_delta_to_history_mean(spark):
+    from pyspark.ml.regression import LinearRegression
+
+    hist = spark.createDataFrame(
+        [("a", "S", float(t), 10.0 + 2.0 * t) for t in range(20)], "city string, state string, temp_avg double, sales_amount double"
+    )
+    model = ml.build_model(LinearRegression(labelCol="sales_amount", regParam=0.0), ml.feature_stages(["temp_avg"], [])).fit(hist)
+    scen = spark.createDataFrame([("a", "S", 30.0)], "city string, state string, temp_avg double")
+    r = ml.score_scenarios(model, scen, hist).first()
+    mean = sum(10.0 + 2.0 * t for t in range(20)) / 20
+    assert abs(r.prediction - 70.0) < 1e-6 and abs(r.delta_vs_mean - (r.prediction - mean)) < 1e-9

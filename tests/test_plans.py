@@ -110,3 +110,28 @@ def test_read_source_prefers_table_then_files(spark, tmp_path):
     got = read_source(spark, table="geodemand_src_test.t", path=path, schema=df.schema).collect()
     assert [tuple(r) for r in got] == [("a", 1)]
     assert sorted(read_csv(spark, path, df.schema).collect()) == sorted(df.collect())
+
+
+def test_forecast_report_default_place_and_context(spark):
+    from geodemand.plans.report import forecast_report
+
+    fc = spark.createDataFrame(
+        [("Zed", "AA", dt.date(2024, 2, 2), 5.0), ("Zed", "AA", dt.date(2024, 2, 1), 4.0), ("Abe", "ZZ", dt.date(2024, 2, 1), 1.0)],
+        "city string, state string, date date, sales_amount_pred double",
+    )
+    wx = spark.createDataFrame(
+        [("Zed", "AA", dt.date(2024, 2, 1), 10.0, 0.5), ("Zed", "AA", dt.date(2024, 2, 2), 11.0, 0.0)],
+        "city string, state string, date date, temp_avg double, uv double",
+    )
+    options, view = forecast_report(fc, wx, context="UV")
+    assert [r.label for r in options.collect()] == ["Zed, AA", "Abe, ZZ"]  # ordered by state, then city
+    rows = view.collect()
+    assert [r.date for r in rows] == [dt.date(2024, 2, 1), dt.date(2024, 2, 2)]
+    assert [(r.sales_amount_pred, r.temp_avg, r.uv) for r in rows] == [(4.0, 10.0, 0.5), (5.0, 11.0, 0.0)]
+
+
+def test_between_dates(spark):
+    from geodemand.functions.dates import between_dates
+
+    df = spark.createDataFrame([(dt.date(2019, 9, 30),), (dt.date(2019, 10, 1),), (dt.date(2019, 10, 31),), (dt.date(2019, 11, 1),)], "d date")
+    assert df.where(between_dates("d", "2019-10-01", "2019-10-31")).count() == 2

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 
@@ -135,3 +136,20 @@ def test_between_dates(spark):
 
     df = spark.createDataFrame([(dt.date(2019, 9, 30),), (dt.date(2019, 10, 1),), (dt.date(2019, 10, 31),), (dt.date(2019, 11, 1),)], "d date")
     assert df.where(between_dates("d", "2019-10-01", "2019-10-31")).count() == 2
+
+
+def test_partitioned_table_and_read_by_name(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from geodemand.sources.io import read_table, write_table
+
+    df = spark.createDataFrame(
+        [("a", dt.date(2024, 1, 5), "1"), ("b", dt.date(2024, 2, 5), "x")], "k string, d date, v string"
+    ).selectExpr("k", "d", "v", "date_format(d, 'yyyy-MM') AS month")
+    loc = str(tmp_path / "db")
+    write_table(df, "geodemand_part_test.t", partition_by="month", path=f"{loc}/t", schema_location=loc)
+    back = read_table(spark, "geodemand_part_test.t")
+    assert back.where("month = '2024-02'").count() == 1
+    assert {"month=2024-01", "month=2024-02"} <= set(os.listdir(f"{loc}/t"))
+    typed = coerce(back, T.StructType([T.StructField("v", T.IntegerType())]))
+    assert sorted((r.k, r.v) for r in typed.collect()) == [("a", 1), ("b", None)]

@@ -29,6 +29,9 @@ BASE_CONF: dict[str, str] = {
     # downstream (otherwise AQE keeps one task on a hot key to save it).
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Delete reliable checkpoint files once the checkpointed data is no
+    # longer referenced (model fitting checkpoints its train/valid frames).
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # No web server.
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

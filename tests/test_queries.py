@@ -13,6 +13,9 @@ import __spark_entry__ as entry
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
+# Spark simple type names -> DuckDB type names.
+TYPE_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
@@ -45,6 +48,9 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [c[0] for c in cur.description]
     want = [tuple(_norm(v) for v in r) for r in cur.fetchall()]
     assert sorted(cols) == sorted(dcols)
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {entry.oracle_sql()[name]}").fetchall()}
+    stypes = {f.name: TYPE_NAMES[f.dataType.simpleString()] for f in df.schema.fields}
+    assert stypes == dtypes
     order = sorted(cols)
     got = _sorted([tuple(r[cols.index(c)] for c in order) for r in got])
     want = _sorted([tuple(r[dcols.index(c)] for c in order) for r in want])

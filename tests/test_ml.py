@@ -126,3 +126,13 @@ def test_score_scenarios_delta_to_history_mean(spark):
     r = ml.score_scenarios(model, scen, hist).first()
     mean = sum(10.0 + 2.0 * t for t in range(20)) / 20
     assert abs(r.prediction - 70.0) < 1e-6 and abs(r.delta_vs_mean - (r.prediction - mean)) < 1e-9
+
+
+def test_median_with_infinities_matches_numpy(spark):
+    import numpy as np
+
+    inf = float("inf")
+    for vals in ([1.0, inf, 2.0, -inf, 3.0], [inf, inf, 1.0], [-inf, 5.0, 6.0, 7.0], [2.0, 2.0, inf, 4.0, None, float("nan")]):
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        clean = [v for v in vals if v is not None and v == v]
+        assert ml.exact_median(df, "x", n_buckets=4, max_collect=1) == float(np.median(clean))

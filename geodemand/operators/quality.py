@@ -78,6 +78,8 @@ def coverage_full(
 
 def row_counts(frames: Mapping[str, DataFrame], name_col: str = "table", count_col: str = "rows") -> DataFrame:
     """One row per input: its name and row count."""
+    if not frames:
+        raise ValueError("row_counts needs at least one input")
     parts = [
         df.agg(F.count(F.lit(1)).alias(count_col)).select(F.lit(n).alias(name_col), count_col)
         for n, df in frames.items()

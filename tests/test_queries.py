@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from geodemand.queries import registry
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -39,7 +40,7 @@ def _sorted(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     cols = df.columns
@@ -88,7 +89,7 @@ def test_unchanged_by_shuffle_partitions(spark):
 
 
 def test_rows_only_queries_run(spark):
-    for name in sorted(set(entry.queries()) - set(entry.oracle_sql())):
+    for name in sorted(set(registry.QUERIES) - set(registry.ORACLE)):
         if name in ("fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast"):
             continue  # exercised by the model tests; slow by scheduling on tiny data
         assert entry.queries()[name](spark, SF).count() > 0, name

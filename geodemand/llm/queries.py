@@ -7,6 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fold
+from .divergence import judge_quality, language_references
+from .langid import identify_language, train_dictionaries
+from .mixing import mix_documents
+from .shards import shard_documents
+from .toxicity import score_toxicity
+from .toxicity import train as train_toxicity
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -27,15 +35,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @register("op4_shards")
 def op4_shards(spark: SparkSession, d: str) -> DataFrame:
-    from .shards import shard_documents
-
     docs = table(spark, d, "documents").select("doc_id", "text")
     return shard_documents(docs).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 @register("op5_mixing")
 def op5_mixing(spark: SparkSession, d: str) -> DataFrame:
-    from .mixing import mix_documents
-
     docs = table(spark, d, "documents").select("doc_id", "text", "source")
     return mix_documents(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op6_langid")
+def op6_langid(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    held = docs.withColumn("held_out", fold(F.col("doc_id"), 5) == 0)
+    known = train_dictionaries(held.where(~F.col("held_out")))
+    return identify_language(held.drop("lang"), known).drop("text")
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    labels = table(spark, d, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    held = docs.withColumn("held_out", fold(F.col("doc_id"), 4) == 2)
+    model = train_toxicity(held.where(~F.col("held_out")).join(labels, "doc_id"), F.col("toxic"))
+    return score_toxicity(held, model).drop("text")
+
+
+@register("op9_quality")
+def op9_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    return judge_quality(docs.drop("lang"), language_references(docs)).drop("text")

@@ -49,3 +49,8 @@ def shared_table(spark: SparkSession, df: DataFrame) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` hinted for broadcast if it has at most ``max_rows`` rows (counted on the executors), else as it is."""
+    return F.broadcast(df) if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows else df

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import fold
 from .divergence import judge_quality, language_references
 from .langid import identify_language, train_dictionaries
+from .ngram_join import ngram_groups
 from .mixing import mix_documents
 from .shards import shard_documents
 from .toxicity import score_toxicity
@@ -66,3 +67,8 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 def op9_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
     return judge_quality(docs.drop("lang"), language_references(docs)).drop("text")
+
+
+@register("op8_ngram_join")
+def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_groups(table(spark, d, "documents").select("doc_id", "text")).drop("text")

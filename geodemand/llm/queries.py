@@ -11,6 +11,7 @@ from .common import fold
 from .divergence import judge_quality, language_references
 from .langid import identify_language, train_dictionaries
 from .ngram_join import ngram_groups
+from .lattice_lm import lm_scores
 from .mixing import mix_documents
 from .shards import shard_documents
 from .toxicity import score_toxicity
@@ -72,3 +73,9 @@ def op9_quality(spark: SparkSession, d: str) -> DataFrame:
 @register("op8_ngram_join")
 def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_groups(table(spark, d, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("op2_lattice_lm")
+def op2_lattice_lm(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text").withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
+    return lm_scores(docs, ~F.col("held_out"))

@@ -12,6 +12,7 @@ from .divergence import judge_quality, language_references
 from .langid import identify_language, train_dictionaries
 from .ngram_join import ngram_groups
 from .lattice_lm import lm_scores
+from .line_dedup import line_classes
 from .mixing import mix_documents
 from .shards import shard_documents
 from .toxicity import score_toxicity
@@ -79,3 +80,8 @@ def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 def op2_lattice_lm(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text").withColumn("held_out", fold(F.col("doc_id"), 7) == 2)
     return lm_scores(docs, ~F.col("held_out"))
+
+
+@register("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return line_classes(table(spark, d, "documents").select("doc_id", "text"))

@@ -15,6 +15,7 @@ from .lattice_lm import lm_scores
 from .line_dedup import line_classes
 from .mixing import mix_documents
 from .shards import shard_documents
+from .template_decontam import contained_items
 from .toxicity import score_toxicity
 from .toxicity import train as train_toxicity
 
@@ -85,3 +86,8 @@ def op2_lattice_lm(spark: SparkSession, d: str) -> DataFrame:
 @register("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_classes(table(spark, d, "documents").select("doc_id", "text"))
+
+
+@register("op7_template_decontam")
+def op7_template_decontam(spark: SparkSession, d: str) -> DataFrame:
+    return contained_items(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import fold
 from .divergence import judge_quality, language_references
+from .html_blocks import extract_main_text, train_labeller
 from .langid import identify_language, train_dictionaries
 from .ngram_join import ngram_groups
 from .lattice_lm import lm_scores
@@ -91,3 +92,9 @@ def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 @register("op7_template_decontam")
 def op7_template_decontam(spark: SparkSession, d: str) -> DataFrame:
     return contained_items(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
+
+
+@register("op3_html_text")
+def op3_html_text(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    return extract_main_text(pages, train_labeller(pages)).drop("html")

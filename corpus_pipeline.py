@@ -9,10 +9,30 @@ of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from geodemand.llm.common import shared_table
+from geodemand.llm.common import fold, shared_table
+from geodemand.llm.langid import identify_language, train_dictionaries
 from geodemand.llm.mixing import mix_documents, mixed_copies
+from geodemand.llm.ngram_join import ngram_groups, one_per_group
 from geodemand.llm.shards import shard_documents
+from geodemand.llm.template_decontam import without_contained
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6, learning from this stage's own labelled documents; those it rejects go."""
+    known = train_dictionaries(docs.where(fold(F.col("doc_id"), 5) != 0))
+    return identify_language(docs, known).where("not rejected").select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: the document with the least id of each group stays."""
+    return one_per_group(ngram_groups(docs), docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: documents that contain a benchmark item go."""
+    return without_contained(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,6 +46,9 @@ def make_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontaminate),
     ("mixing", mix_sources),
     ("sharding", make_shards),
 ]

@@ -8,7 +8,6 @@ Sub-packages:
                   features, quality checks, report views, model training
 * ``plans``     - composite jobs: resolve customers, place-day sales and
                   weather, training table, weekday forecast, report, end-to-end
-* ``streaming`` - intentionally empty (the reference has no streaming)
 * ``queries``   - registered queries and their DuckDB oracle SQL
 """
 

@@ -59,11 +59,11 @@ def line_amount(price: ColumnOrName, qty: ColumnOrName, disc: ColumnOrName) -> C
     """``price x qty x (1 - disc)`` rounded to cents, exact decimal arithmetic.
 
     Price and quantity are ``decimal(18,2)``, the discount ``decimal(18,6)``
-    (null discount = 0). Text that is not a number gives a null line, which
-    ``SUM`` then skips.
+    (null discount = 0). Text that is not a number, or an amount that does not
+    fit, gives a null line, which ``SUM`` then skips.
     """
     p = col(price).try_cast(MONEY)
     q = col(qty).try_cast(MONEY)
     d = F.coalesce(col(disc), F.lit(0.0)).try_cast(RATE)
     one = F.lit(1).cast(RATE)
-    return (p * q * (one - d)).cast(MONEY)
+    return F.try_multiply(F.try_multiply(p, q), one - d).try_cast(MONEY)

@@ -5,7 +5,7 @@ from .features import (
     DEMO_EFFECTS,
     EffectsSpec,
     effects_score,
-    join_on_place_day,
+    place_labels,
     lag_feature,
     place_keys,
     rolling_prev_mean,
@@ -28,7 +28,7 @@ from .sizing import bounded_broadcast
 from .spatial import centre_cells, nearest_place, place_day_measures, stations
 
 __all__ = [
-    "DEMO_EFFECTS", "EffectsSpec", "effects_score", "join_on_place_day", "lag_feature", "place_keys",
+    "DEMO_EFFECTS", "EffectsSpec", "effects_score", "place_labels", "lag_feature", "place_keys",
     "rolling_prev_mean", "weather_features",
     "enforce_grain", "fill_from_reference", "latest_per_key", "latest_version", "mode_reference", "open_version",
     "explode_lines", "order_amounts", "priced_orders",

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.logic import clip
-from ..functions.text import norm_key
+from ..functions.text import norm_key, title_place
 
 
 def _day_number(order: str):
@@ -96,11 +96,9 @@ def place_keys(df: DataFrame, city: str = "city", state: str = "state", date: st
     )
 
 
-def join_on_place_day(
-    left: DataFrame, right: DataFrame, keys: Sequence[str] = ("city_key", "state_key", "date"), how: str = "inner"
-) -> DataFrame:
-    """Composite-key join after key normalisation (both sides carry ``keys``)."""
-    return left.join(right, list(keys), how)
+def place_labels(df: DataFrame, city: str = "city", state: str = "state") -> DataFrame:
+    """Place names in the form that training rows carry: city in title case, state in upper case."""
+    return df.withColumns({city: title_place(norm_key(city)), state: norm_key(state)})
 
 
 @dataclass(frozen=True)

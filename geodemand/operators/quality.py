@@ -94,15 +94,15 @@ def column_profile(
     unique_keys: Sequence[str] = (),
 ) -> DataFrame:
     """One aggregation pass: rows, null-or-blank count, min and max per column
-    (as text), count of values matching a regex per named pattern, and
+    (in the column's own order, shown as text), count of values matching a regex per named pattern, and
     distinct count per key column."""
     aggs: list[Column] = [F.count(F.lit(1)).alias("rows")]
     for c in cols:
         v = F.col(c).cast("string")
         aggs += [
             F.count_if(v.isNull() | (F.trim(v) == "")).alias(f"{c}_null_or_blank"),
-            F.min(v).alias(f"{c}_min"),
-            F.max(v).alias(f"{c}_max"),
+            F.min(F.col(c)).cast("string").alias(f"{c}_min"),
+            F.max(F.col(c)).cast("string").alias(f"{c}_max"),
         ]
     for name, (c, rx) in (patterns or {}).items():
         aggs.append(F.count_if(F.col(c).cast("string").rlike(rx)).alias(name))

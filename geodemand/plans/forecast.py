@@ -4,10 +4,9 @@ For each place and each day of an N-day horizon: the place's mean for that
 weekday, falling back *per measure* to the place's overall mean, with the
 number of history rows behind the weekday mean and the history span.
 
-The reference aggregates the history three times (bounds, overall, weekday).
-Here one partial aggregate per (key, weekday) keeps sums, non-null counts,
-row counts and day bounds; the overall figures are rolled up from those seven
-rows per key, so the fact is scanned and shuffled once.
+One partial aggregate per (key, weekday) keeps sums, non-null counts, row
+counts and day bounds; a second aggregate rolls those seven rows per key up to
+one, with the weekdays as a map, so the fact is scanned and shuffled once.
 """
 
 from __future__ import annotations
@@ -20,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import horizon
 from ..operators.measures import MeasureSpec
-from ..operators.sizing import bounded_broadcast
 
 
 def horizon_days(spark, anchor: dt.date | str, n_days: int, date_name: str = "date") -> DataFrame:
@@ -55,16 +53,16 @@ def dow_profile_forecast(
 ) -> DataFrame:
     """Horizon rows for the ``places`` that have history.
 
-    ``places`` holds ``keys`` plus ``place_cols`` (one row per place); it is a
-    small list and its size is checked before it is broadcast. Places without
-    any history drop out (inner joins, as in the reference).
+    ``places`` holds ``keys`` plus ``place_cols`` (one row per place); the
+    planner broadcasts it if it turns out small. Places without any history
+    drop out (inner joins).
     ``per_key_max`` maps output names to history columns taken as ``max`` per
     key (e.g. coordinates).
     """
     keys = list(keys)
     per_key_max = dict(per_key_max or {})
     p = places.select(*keys, *[c for c in place_cols if c not in keys])
-    h = history.join(bounded_broadcast(p.select(*keys).distinct()), keys)
+    h = history.join(p.select(*keys).distinct(), keys)
     dow = F.dayofweek(F.col(date_col))
     aggs = [
         F.count(F.lit(1)).alias("_n"),
@@ -77,28 +75,28 @@ def dow_profile_forecast(
         aggs += [F.sum(v).alias(f"_s_{n}"), F.count(v).alias(f"_c_{n}")]
     partial = h.groupBy(*keys, dow.alias("_dow")).agg(*aggs)
 
-    per_dow = partial.select(
-        *keys,
-        "_dow",
-        F.col("_n").alias("_dow_rows"),
-        *[F.try_divide(F.col(f"_s_{n}"), F.col(f"_c_{n}")).alias(f"_d_{n}") for n in measures],
-    )
-    overall = partial.groupBy(*keys).agg(
+    # One row per key: its totals, and its at most seven weekdays as a map.
+    week = F.struct(F.col("_n").alias("n"), *[F.col(f"_{k}_{n}").alias(f"{k}_{n}") for n in measures for k in "sc"])
+    by_key = partial.groupBy(*keys).agg(
         F.sum("_n").alias("proxy_source_rows_total"),
         F.min("_min").alias("source_data_min_date"),
         F.max("_max").alias("source_data_max_date"),
+        F.map_from_entries(F.collect_list(F.struct(F.col("_dow"), week))).alias("_week"),
         *[F.max(f"_x_{out}").alias(out) for out in per_key_max],
         *[F.try_divide(F.sum(f"_s_{n}"), F.sum(f"_c_{n}")).alias(f"_a_{n}") for n in measures],
     )
     days = scaffold(p, anchor, n_days, date_name).withColumn("_dow", F.dayofweek(F.col(date_name)))
-    j = days.join(overall, keys).join(per_dow, [*keys, "_dow"], "left")
+    j = days.join(by_key, keys).withColumn("_own", F.try_element_at("_week", F.col("_dow")))
     out = j.select(
         *keys,
         *[c for c in place_cols if c not in keys],
         date_name,
         *list(per_key_max),
-        *[m.finish(F.coalesce(F.col(f"_d_{n}"), F.col(f"_a_{n}"))).alias(n) for n, m in measures.items()],
-        F.coalesce(F.col("_dow_rows"), F.lit(0)).cast("long").alias("proxy_hist_rows_for_dow"),
+        *[
+            m.finish(F.coalesce(F.try_divide(F.col(f"_own.s_{n}"), F.col(f"_own.c_{n}")), F.col(f"_a_{n}"))).alias(n)
+            for n, m in measures.items()
+        ],
+        F.coalesce(F.col("_own.n"), F.lit(0)).cast("long").alias("proxy_hist_rows_for_dow"),
         "proxy_source_rows_total",
         "source_data_min_date",
         "source_data_max_date",

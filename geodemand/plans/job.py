@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ml
+from ..operators.features import place_labels
 from ..operators.measures import Measure
 from ..sources import roles
 from ..sources.io import write_guarded, write_metrics, write_table
@@ -94,8 +95,11 @@ def build_tables(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     horizon = _step(
         spark,
         cfg,
-        dow_profile_forecast(
-            weather, places, ["city", "state"], measures, dt.date.fromisoformat(cfg.anchor), cfg.horizon_days, date_col="date"
+        # the same place names as the training rows, or the model would not know any place
+        place_labels(
+            dow_profile_forecast(
+                weather, places, ["city", "state"], measures, dt.date.fromisoformat(cfg.anchor), cfg.horizon_days, date_col="date"
+            )
         ),
         "weather_horizon",
     )
@@ -107,7 +111,10 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, object]:
     and write the outputs that are configured. Returns the forecast frame, the
     metrics frame and the selection summary."""
     t = build_tables(spark, cfg)
-    training = ml.split_last_days(ml.reliable_checkpoint(t["training"]), n=cfg.valid_days)
+    # cut both frames once: they are read many times below
+    t = t | {"training": ml.reliable_checkpoint(t["training"]), "horizon": ml.reliable_checkpoint(t["horizon"])}
+    ml.require_known_places(t["horizon"], t["training"])
+    training = ml.split_last_days(t["training"], n=cfg.valid_days)
     train = training.where(~F.col("is_valid")).drop("is_valid")
     valid = training.where(F.col("is_valid")).drop("is_valid")
     models = [

@@ -6,12 +6,12 @@ from __future__ import annotations
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ml
-from ..operators.features import lag_feature, rolling_prev_mean
+from ..operators.features import lag_feature, place_labels, rolling_prev_mean
 from ..operators.measures import Measure, round_doubles
 from ..operators.report import place_options
 from ..plans.forecast import dow_profile_forecast
@@ -20,7 +20,7 @@ from ..plans.report import forecast_report
 from ..plans.training import place_day_training
 from ..sources import roles
 from ..sources.io import scratch_path, write_metrics
-from .oracle_roles import spark_round, with_roles
+from .oracle_roles import initcap, spark_round, with_roles
 from .registry import register, rounded_sql, sales_2024_01, weather_history
 
 MEASURES = ("temp_max", "temp_min", "temp_avg", "humidity", "precip_total", "wind_speed", "uv")
@@ -97,33 +97,28 @@ def q_split_last_days(spark: SparkSession, d: str) -> DataFrame:
 FORECAST_MEASURES = {n: Measure(type="decimal(12,4)") for n in MEASURES}
 PROVENANCE = {
     "proxy_source_table": "station_day",
-    "proxy_method": "avg_by_postal_code_and_dayofweek_over_available_history",
+    "proxy_method": "weekday_mean_of_own_history",
     "unit_system": "imperial",
 }
 
 
 def _forecast_sql() -> str:
-    dec = ", ".join(f"CAST(w.{n} AS DECIMAL(12,4)) AS {n}" for n in MEASURES)
-    avgs = ", ".join(f"avg({n}) AS {n}" for n in MEASURES)
-    picks = ", ".join(f"{spark_round(f'CAST(coalesce(hd.{n}, ha.{n}) AS DOUBLE)', 6)} AS {n}" for n in MEASURES)
+    """One grouped set per place: its weekdays, and all days together (weekday null)."""
+    means = ", ".join(f"avg(CAST({n} AS DECIMAL(12,4))) AS {n}" for n in MEASURES)
+    picks = ", ".join(f"{spark_round(f'CAST(ifnull(own.{n}, every.{n}) AS DOUBLE)', 6)} AS {n}" for n in MEASURES)
     consts = ", ".join(f"'{v}' AS {k}" for k, v in PROVENANCE.items())
     return with_roles(
-        f"""WITH src AS (
-              SELECT cz.city, cz.state, cz.postal_code, w.lat, w.lon, w.day, dayofweek(w.day) + 1 AS dow, {dec}
-              FROM places cz JOIN station_day w ON w.postal_code = cz.postal_code),
-            hb AS (SELECT postal_code, min(day) AS source_data_min_date, max(day) AS source_data_max_date,
-                          count(*) AS source_rows FROM src GROUP BY 1),
-            ha AS (SELECT postal_code, max(lat) AS latitude, max(lon) AS longitude, {avgs} FROM src GROUP BY 1),
-            hd AS (SELECT postal_code, dow, count(*) AS hist_rows_for_dow, {avgs} FROM src GROUP BY 1, 2),
-            fd AS (SELECT CAST(d AS DATE) AS date, dayofweek(CAST(d AS DATE)) + 1 AS dow
-                   FROM (SELECT unnest(generate_series(DATE '2024-01-31', DATE '2024-02-09', INTERVAL 1 DAY)) AS d) s)
-            SELECT cz.postal_code, cz.city, cz.state, fd.date, ha.latitude, ha.longitude, {picks},
-                   coalesce(hd.hist_rows_for_dow, 0) AS proxy_hist_rows_for_dow,
-                   hb.source_rows AS proxy_source_rows_total, hb.source_data_min_date, hb.source_data_max_date, {consts}
-            FROM places cz CROSS JOIN fd
-            JOIN ha ON ha.postal_code = cz.postal_code
-            JOIN hb ON hb.postal_code = cz.postal_code
-            LEFT JOIN hd ON hd.postal_code = cz.postal_code AND hd.dow = fd.dow""",
+        f"""WITH profile AS (
+              SELECT postal_code, isodow(day) AS weekday, count(*) AS days, min(day) AS first_day, max(day) AS last_day,
+                     max(lat) AS latitude, max(lon) AS longitude, {means}
+              FROM station_day SEMI JOIN places USING (postal_code)
+              GROUP BY GROUPING SETS ((postal_code, weekday), (postal_code))),
+            ahead AS (SELECT p.*, every.* EXCLUDE (postal_code), unnest(range(DATE '2024-01-31', DATE '2024-02-10', INTERVAL 1 DAY))::DATE AS date
+                      FROM places p JOIN profile every ON every.postal_code = p.postal_code AND every.weekday IS NULL)
+            SELECT every.postal_code, every.city, every.state, every.date, every.latitude, every.longitude, {picks},
+                   ifnull(own.days, 0) AS proxy_hist_rows_for_dow, every.days AS proxy_source_rows_total,
+                   every.first_day AS source_data_min_date, every.last_day AS source_data_max_date, {consts}
+            FROM ahead every LEFT JOIN profile own ON own.postal_code = every.postal_code AND own.weekday = isodow(every.date)""",
         "places",
         "station_day",
     )
@@ -312,10 +307,6 @@ def q_metrics_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema(METRICS_SCHEMA).json(path)
 
 
-# Rows-only checks: models whose output has no SQL twin. Tree counts are
-# reduced for the check; the library defaults (400 trees, 100 rounds) stay.
-
-
 def _split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     t = ml.split_last_days(training(spark, d))
     train = t.where(~F.col("is_valid")).drop("is_valid")
@@ -327,7 +318,18 @@ def _stages(t: DataFrame) -> list:
     return ml.feature_stages([c for c in ml.FEATURE_COLUMNS if c in t.columns])
 
 
-@register("split_hash")
+# The leading 32 bits of the md5, from its hex digits.
+_MD5_32 = " + ".join(f"(instr('0123456789abcdef', substr(h, {i + 1}, 1)) - 1) * {16 ** (7 - i)}" for i in range(8))
+
+
+@register(
+    "split_hash",
+    with_roles(
+        f"""SELECT city, state, date, ({_MD5_32}) % 10000 < 8000 AS is_train
+            FROM (SELECT *, md5(concat_ws('|', city, state, CAST(date AS VARCHAR), '42')) AS h FROM training)""",
+        "training",
+    ),
+)
 def q_split_hash(spark: SparkSession, d: str) -> DataFrame:
     return ml.split_hash(training(spark, d), ["city", "state", "date"]).select("city", "state", "date", "is_train")
 
@@ -358,49 +360,138 @@ def q_one_hot(spark: SparkSession, d: str) -> DataFrame:
     return out.select("city", "state", F.aggregate("_a", F.lit(0.0), lambda acc, x: acc + x).alias("ones"))
 
 
-def _fit_predict(spark: SparkSession, d: str, est) -> DataFrame:
+# Tree models are checked by facts that SQL can state: whole output, no null
+# predictions, forest means inside the training targets' range.
+_VALID_SQL = SPLIT_SQL.replace("SELECT city, state, date,", "SELECT *,")
+
+
+def _fit_facts(spark: SparkSession, d: str, name: str) -> DataFrame:
     train, valid = _split(spark, d)
-    model = ml.build_model(est, _stages(train)).fit(train)
-    return model.transform(valid).select("city", "state", "date", "sales_amount", "prediction")
+    est = dict(ml.candidates())[name]
+    p = ml.build_model(est, _stages(train)).fit(train).transform(valid).select("sales_amount", "prediction")
+    span = train.agg(F.min("sales_amount").alias("lo"), F.max("sales_amount").alias("hi")).first()
+    outside = (F.col("prediction") < span["lo"]) | (F.col("prediction") > span["hi"])
+    return p.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("prediction").isNull()).alias("null_predictions"),
+        F.count_if(outside if name == "random_forest" else F.isnan("prediction")).alias("bad_predictions"),
+    )
+
+
+_FIT_FACTS_SQL = with_roles(
+    f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS null_predictions, CAST(0 AS BIGINT) AS bad_predictions FROM ({_VALID_SQL}) WHERE is_valid", "training"
+)
 
 
-@register("fit_forest")
+@register("fit_forest", _FIT_FACTS_SQL)
 def q_fit_forest(spark: SparkSession, d: str) -> DataFrame:
-    est = RandomForestRegressor(labelCol="sales_amount", numTrees=20, maxDepth=10, featureSubsetStrategy="all", seed=42)
-    return _fit_predict(spark, d, est)
+    return _fit_facts(spark, d, "random_forest")
 
 
-@register("fit_boosted")
+@register("fit_boosted", _FIT_FACTS_SQL)
 def q_fit_boosted(spark: SparkSession, d: str) -> DataFrame:
-    return _fit_predict(spark, d, GBTRegressor(labelCol="sales_amount", maxIter=10, stepSize=0.1, maxDepth=3, seed=42))
+    return _fit_facts(spark, d, "gradient_boosting")
 
 
-@register("select_best")
+@register(
+    "select_best",
+    with_roles(
+        f"""SELECT CAST(3 AS BIGINT) AS models, CAST(1 AS BIGINT) AS selected, CAST(0 AS BIGINT) AS better_than_selected,
+                   count(*) FILTER (NOT is_valid) AS train_rows, count(*) FILTER (is_valid) AS valid_rows FROM ({_VALID_SQL})""",
+        "training",
+    ),
+)
 def q_select_best(spark: SparkSession, d: str) -> DataFrame:
     train, valid = _split(spark, d)
-    sel = ml.select_best(train, valid, ml.candidates(forest_trees=20, boost_iters=10), _stages(train))
-    return sel.metrics
+    m = ml.select_best(train, valid, ml.candidates(), _stages(train)).metrics
+    best = m.where("selected").select(F.col("mae").alias("best_mae"))
+    return m.join(F.broadcast(best)).agg(
+        F.count(F.lit(1)).alias("models"),
+        F.count_if("selected").alias("selected"),
+        F.count_if(F.col("mae") < F.col("best_mae")).alias("better_than_selected"),
+        F.max("train_rows").alias("train_rows"),
+        F.max("valid_rows").alias("valid_rows"),
+    )
 
 
-@register("model_round_trip")
+@register(
+    "model_round_trip",
+    with_roles(f"SELECT count(*) AS rows, CAST(0 AS BIGINT) AS rows_that_differ FROM ({_VALID_SQL}) WHERE is_valid", "training"),
+)
 def q_model_round_trip(spark: SparkSession, d: str) -> DataFrame:
     train, valid = _split(spark, d)
-    model = ml.build_model(LinearRegression(labelCol="sales_amount", regParam=0.0), _stages(train)).fit(train)
+    model = ml.build_model(dict(ml.candidates())["linear_regression"], _stages(train)).fit(train)
     path = scratch_path(spark, "model")
     ml.save_model(model, path)
-    return ml.load_model(path).transform(valid).select("city", "state", "date", "prediction")
+    keys = ["city", "state", "date"]
+    again = ml.load_model(path).transform(valid).select(*keys, F.col("prediction").alias("again"))
+    both = model.transform(valid).select(*keys, "prediction").join(again, keys)
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("again"))).alias("rows_that_differ"))
+
+
+def _horizon(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    t = build_tables(spark, JobConfig(sf_dir=d))
+    return ml.reliable_checkpoint(t["training"]), ml.reliable_checkpoint(t["horizon"])
 
 
-@register("score_forecast")
+@register(
+    "horizon_known_places",
+    with_roles(
+        """SELECT count(*) * 10 AS horizon_rows, count(*) FILTER (NOT EXISTS (
+                      SELECT 1 FROM training t WHERE lower(t.city) = lower(w.city) AND t.state = w.state)) * 10 AS rows_of_unknown_places
+           FROM (SELECT DISTINCT city, state FROM place_day_weather) w""",
+        "training",
+    ),
+)
+def q_horizon_known_places(spark: SparkSession, d: str) -> DataFrame:
+    """The place features that the model gets for the horizon: one city and one state each."""
+    t, horizon = _horizon(spark, d)
+    model = Pipeline(stages=ml.feature_stages([], ["city", "state"], features_col="onehot")).fit(t)
+    ones = F.aggregate(vector_to_array("onehot"), F.lit(0.0), lambda acc, x: acc + x)
+    return model.transform(horizon).agg(F.count(F.lit(1)).alias("horizon_rows"), F.count_if(ones != 2.0).alias("rows_of_unknown_places"))
+
+
+@register(
+    "score_forecast",
+    with_roles(
+        rounded_sql(
+            f"""WITH line AS (SELECT regr_slope(sales_amount, temp_avg) AS slope, regr_intercept(sales_amount, temp_avg) AS base FROM training),
+                     means AS (SELECT city, state, isodow(date) AS weekday, avg(temp_avg) AS temp_avg FROM place_day_weather
+                               GROUP BY GROUPING SETS ((city, state, weekday), (city, state))),
+                     ahead AS (SELECT city, state, temp_avg AS overall, unnest(range(DATE '2024-01-31', DATE '2024-02-10', INTERVAL 1 DAY))::DATE AS date
+                               FROM means WHERE weekday IS NULL)
+                SELECT {initcap('a.city')} AS city, a.state, a.date, ifnull(m.temp_avg, a.overall) AS temp_avg,
+                       line.base + line.slope * ifnull(m.temp_avg, a.overall) AS sales_amount_pred
+                FROM ahead a CROSS JOIN line LEFT JOIN means m ON m.city = a.city AND m.state = a.state AND m.weekday = isodow(a.date)""",
+            ["temp_avg", "sales_amount_pred"],
+            2,
+        ),
+        "training",
+    ),
+)
 def q_score_forecast(spark: SparkSession, d: str) -> DataFrame:
-    cfg = JobConfig(sf_dir=d)
-    tables = build_tables(spark, cfg)
-    t = tables["training"]
-    model = ml.build_model(LinearRegression(labelCol="sales_amount", regParam=0.0), _stages(t)).fit(t)
-    return ml.score_forecast(model, tables["horizon"])
+    weather = weather_history(spark, d)
+    t = ml.reliable_checkpoint(training(spark, d))
+    places = weather.select("city", "state").distinct()
+    ahead = place_labels(dow_profile_forecast(weather, places, ["city", "state"], {"temp_avg": Measure()}, roles.HORIZON_ANCHOR, 10, date_col="date"))
+    fit_on = t.where("temp_avg IS NOT NULL")
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=["temp_avg"], outputCol="features"), LinearRegression(labelCol="sales_amount", regParam=0.0, solver="normal")])
+    return round_doubles(ml.score_forecast(pipe.fit(fit_on), ahead, features=["temp_avg"]), 2)
 
 
-@register("end_to_end_forecast")
+@register(
+    "end_to_end_forecast",
+    with_roles(
+        """SELECT count(*) * 10 AS rows, CAST(0 AS BIGINT) AS null_predictions, CAST(1 AS BIGINT) AS models, count(*) AS places
+           FROM (SELECT DISTINCT city, state FROM place_day_weather)""",
+        "place_day_weather",
+    ),
+)
 def q_end_to_end_forecast(spark: SparkSession, d: str) -> DataFrame:
-    out = run(spark, JobConfig(sf_dir=d, forest_trees=20, boost_iters=10))
-    return out["forecast"]
+    out = run(spark, JobConfig(sf_dir=d))["forecast"]
+    return out.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("sales_amount_pred").isNull()).alias("null_predictions"),
+        F.count_distinct("model_name").alias("models"),
+        F.count_distinct("city", "state").alias("places"),
+    )

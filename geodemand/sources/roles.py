@@ -148,27 +148,16 @@ def customer_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Lines gathered into one JSON row at most; a larger order spans several rows
-# with the same order number (order amounts sum them back exactly).
-LINES_PER_ROW = 64
-
-
 def orders_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales orders with line items as JSON text.
+    """Sales orders with line items as JSON text, one row per order.
 
-    Lines are gathered per order and chunk of :data:`LINES_PER_ROW` line
-    numbers, so no single order, however large, is collected into one row;
-    only then are they joined to the orders.
+    The list of an order holds its own lines only, as the source table does.
     """
     o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem")
-    chunk = F.floor((F.col("l_linenumber") - 1) / LINES_PER_ROW)
     # A partial collect_list reduces nothing (the list keeps every line), so
-    # the lines are hash-partitioned by (order, chunk) first: the gathering
-    # then runs in every shuffle partition instead of the scan tasks, with no
-    # second exchange, and one large order's chunks spread over many tasks.
-    li = li.withColumn("_chunk", chunk).repartition("l_orderkey", "_chunk")
-    lines = li.groupBy("l_orderkey", "_chunk").agg(
+    # the lines are hash-partitioned by order first: the gathering runs after
+    # that one exchange, which the join to the orders shares.
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("number_of_line_items"),
         F.to_json(
             F.collect_list(

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from geodemand.queries import registry
 from geodemand.operators.keyed import latest_version, mode_reference
 from geodemand.sources import roles
 
@@ -31,14 +31,14 @@ def test_keyed_picks_are_partial_aggregates_not_window_sorts(spark):
 
 
 def test_nearest_place_has_no_pair_join(spark):
-    p = plan(entry.queries()["nearest_place"](spark, SF))
+    p = plan(registry.QUERIES["nearest_place"](spark, SF))
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "Window"):
         assert bad not in p
     assert "partial_min" in p
 
 
 def test_order_pricing_does_not_explode(spark):
-    p = plan(entry.queries()["place_day_sales"](spark, SF))
+    p = plan(registry.QUERIES["place_day_sales"](spark, SF))
     assert "explode(from_json" not in p  # line items are priced in the row, not exploded
     assert "partial_sum" in p
 
@@ -49,13 +49,13 @@ def formatted(spark, df) -> str:
 
 
 def test_epoch_range_reaches_the_scan(spark):
-    p = formatted(spark, entry.queries()["filter_date_range"](spark, SF))
+    p = formatted(spark, registry.QUERIES["filter_date_range"](spark, SF))
     assert "GreaterThanOrEqual(order_datetime,820454400)" in p
     assert "LessThan(order_datetime,828316800)" in p
 
 
 def test_no_python_in_any_query_plan(spark):
-    for name, q in entry.queries().items():
+    for name, q in registry.QUERIES.items():
         if name in MODEL_QUERIES:
             continue
         p = plan(q(spark, SF))

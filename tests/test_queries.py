@@ -86,10 +86,3 @@ def test_unchanged_by_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
-
-
-def test_rows_only_queries_run(spark):
-    for name in sorted(set(registry.QUERIES) - set(registry.ORACLE)):
-        if name in ("fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast"):
-            continue  # exercised by the model tests; slow by scheduling on tiny data
-        assert entry.queries()[name](spark, SF).count() > 0, name

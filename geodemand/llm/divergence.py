@@ -41,15 +41,25 @@ class QualitySpec:
     max_sum_jsd: float = 0.55
 
 
-# Character classes in order; what matches none of them is the last class, "other".
-CLASSES = {"lower": "\\P{Ll}+", "upper": "\\P{Lu}+", "digit": "\\P{Nd}+", "space": "[^ \\t\\n\\x0B\\f\\r]+", "point": "[^.,;:!?'\"()\\-]+"}
+# The character classes in order; what matches none of them is the last one.
+CLASSES = ["space", "lower", "upper", "digit", "point", "symbol", "other"]
+PLAIN = "[\\p{Ll} \\t\\n\\x0B\\f\\r]+"
+UPPER = "\\p{Lu}+"
+DIGIT = "\\p{Nd}+"
+POINTS = ".,;:!?'\"()-"
 SYMBOLS = "#*$%&|<>"
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def _length_without(text: Column, chars: str) -> Column:
-    return F.length(F.translate(text, chars, ""))
+def _removed(text: Column, rest: Column) -> Column:
+    return F.length(text) - F.length(rest)
+
+
+def with_rest(df: DataFrame) -> DataFrame:
+    """Adds (hidden) the words and what is left of the text without lower-case letters and white space:
+    a small part of ordinary prose, from which the other classes are counted."""
+    return df.withColumn(fresh("words"), words(F.col("text"))).withColumn(fresh("rest"), F.regexp_replace(F.coalesce("text", F.lit("")), PLAIN, ""))
 
 
 def _repeat_words(w: Column) -> Column:
@@ -91,25 +101,36 @@ def _dup_lines(text: Column) -> Column:
     return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
 
 
-def with_base(df: DataFrame, text: str = "text") -> DataFrame:
-    """Adds the words array (hidden) and the base counts; a null text has none of anything."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    w = F.col(fresh("words"))
+WORDS, REST = fresh("words"), fresh("rest")
+
+
+def _symbols() -> Column:
+    return _removed(F.col(REST), F.translate(F.col(REST), SYMBOLS, "")).cast("long")
+
+
+def _word_chars() -> Column:
+    return F.length(F.array_join(F.col(WORDS), "")).cast("long")
+
+
+def with_base(df: DataFrame) -> DataFrame:
+    """Adds the base counts to rows that have the hidden columns; a null text has none of anything."""
     return (
-        df.withColumn(fresh("words"), words(F.col(text)))
-        .withColumn("n_words", F.size(w).cast("long"))
-        .withColumn("word_chars", _length_without(t, SPACE_CHARS).cast("long"))
-        .withColumn("n_symbols", (F.length(t) - _length_without(t, SYMBOLS)).cast("long"))
-        .withColumn("n_dup_lines", _dup_lines(t))
-        .withColumn("n_repeat_words", _repeat_words(w))
+        df.withColumn("n_words", F.size(F.col(WORDS)).cast("long"))
+        .withColumn("word_chars", _word_chars())
+        .withColumn("n_symbols", _symbols())
+        .withColumn("n_dup_lines", _dup_lines(F.coalesce("text", F.lit(""))))
+        .withColumn("n_repeat_words", _repeat_words(F.col(WORDS)))
     )
 
 
-def class_counts(text: Column) -> Column:
-    """Array of character counts per class."""
-    t = F.coalesce(text, F.lit(""))
-    counts = [F.length(F.regexp_replace(t, pattern, "")).cast("double") for pattern in CLASSES.values()]
-    return F.array(*counts, F.length(t) - functools.reduce(operator.add, counts))
+def class_counts(word_chars: Column, symbols: Column) -> Column:
+    """Array of character counts per class, given the base counts."""
+    t = F.coalesce("text", F.lit(""))
+    upper, digit = (_removed(F.col(REST), F.regexp_replace(F.col(REST), p, "")) for p in (UPPER, DIGIT))
+    points = _removed(F.col(REST), F.translate(F.col(REST), POINTS, ""))
+    space = F.length(t) - word_chars
+    other = F.length(F.col(REST)) - upper - digit - points - symbols
+    return F.array(*[x.cast("double") for x in (space, _removed(t, F.col(REST)) - space, upper, digit, points, symbols, other)])
 
 
 @dataclass(frozen=True)
@@ -123,8 +144,8 @@ class References:
 def language_references(docs: DataFrame, spec: QualitySpec = QualitySpec()) -> References:
     """Count the references over all documents (columns text, lang); rows without a language are left out."""
     known = docs.where(F.col("lang").isNotNull()).select("lang", "text")
-    k = len(CLASSES) + 1
-    counted = known.select("lang", class_counts(F.col("text")).alias("c"), F.size(words(F.col("text"))).alias("n"))
+    k = len(CLASSES)
+    counted = with_rest(known).select("lang", class_counts(_word_chars(), _symbols()).alias("c"), F.size(F.col(WORDS)).alias("n"))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(k)])
     # bounded: at most 1 / min_share languages stay
     rows = totals.withColumn("all", F.sum("n").over(Window.partitionBy())).where(F.col("n") >= F.col("all") * spec.min_share).where("n > 0").collect()
@@ -146,23 +167,31 @@ def _term(p: Column, q: Column) -> Column:
     return (half(p) + half(q)) / 2
 
 
-def _classes_distance(counts: Column, ref: list[float]) -> Column:
-    total = functools.reduce(operator.add, [counts[i] for i in range(len(ref))])
-    terms = [_term(counts[i] / total, F.lit(q)) for i, q in enumerate(ref)]
-    return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), functools.reduce(operator.add, terms))))
+def _classes_distance(counts: Column, total: Column, ref: Column) -> Column:
+    terms = F.zip_with(counts, ref, lambda c, q: _term(c / total, q))
+    return F.when(total > 0, F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x))))
 
 
-def _words_distance(runs: Column, n: Column, ref: dict[str, float]) -> Column:
-    """``runs``: array of (word, count) of the document's common words of any language."""
-    shares = F.create_map(*[F.lit(v) for w, q in ref.items() for v in (w, q)]) if ref else F.create_map().cast("map<string,double>")
-    mine = F.filter(F.transform(runs, lambda r: F.struct((r["n"] / n).alias("p"), F.try_element_at(shares, r["w"]).alias("q"))), lambda x: x["q"].isNotNull())
-    q_other = max(0.0, 1.0 - sum(ref.values()))
-    start = F.struct(F.lit((1 - q_other) / 2).alias("jsd"), F.lit(0.0).alias("p"))
+def _words_distance(runs: Column, n: Column, ref: Column, q_other: Column) -> Column:
+    """``runs``: array of (word, count) of the document's common words of any language; ``ref``: map of shares."""
+    mine = F.filter(F.transform(runs, lambda r: F.struct((r["n"] / n).alias("p"), F.try_element_at(ref, r["w"]).alias("q"))), lambda x: x["q"].isNotNull())
+    start = F.struct(((1 - q_other) / 2).alias("jsd"), F.lit(0.0).alias("p"))
     step = lambda acc, x: F.struct((acc["jsd"] + _term(x["p"], x["q"]) - x["q"] / 2).alias("jsd"), (acc["p"] + x["p"]).alias("p"))
-    done = lambda acc: F.sqrt(F.greatest(F.lit(0.0), acc["jsd"] + _term(F.greatest(F.lit(0.0), 1 - acc["p"]), F.lit(q_other))))
+    done = lambda acc: F.sqrt(F.greatest(F.lit(0.0), acc["jsd"] + _term(F.greatest(F.lit(0.0), 1 - acc["p"]), q_other)))
     return F.when(n > 0, F.aggregate(mine, start, step, done))
 
 
+def _as_column(refs: References) -> Column:
+    """The references as one constant array, a struct per language."""
+    one = lambda l: F.struct(
+        F.lit(l).alias("lang"),
+        F.create_map(*[F.lit(v) for w, q in sorted(refs.words[l].items()) for v in (w, q)]).cast("map<string,double>").alias("words"),
+        F.lit(max(0.0, 1.0 - sum(refs.words[l].values()))).alias("other"),
+        F.array(*[F.lit(q) for q in refs.classes[l]]).alias("classes"),
+    )
+    return F.array(*[one(l) for l in sorted(refs.words)])
+
+
 def _runs(w: Column, vocabulary: list[str]) -> Column:
     """(word, count) of the words in ``vocabulary``: sorted, then cut where the word changes."""
     common = F.sort_array(F.filter(F.transform(w, F.lower), lambda x: x.isin(vocabulary)))
@@ -190,20 +219,22 @@ def judge_quality(docs: DataFrame, refs: References, spec: QualitySpec = Quality
     """
     added = [*BASE, "nearest_lang", "words_jsd", "class_jsd", "base_failed", "kept"]
     keep = [c for c in docs.columns if c not in added]
-    out = with_base(docs.select(*[F.col(f"`{c}`") for c in keep]))
+    out = with_base(with_rest(docs.select(*[F.col(f"`{c}`") for c in keep])))
     langs = sorted(refs.words)
     if langs:
         vocabulary = sorted({w for ref in refs.words.values() for w in ref})
-        scored = out.withColumn(fresh("runs"), _runs(F.col(fresh("words")), vocabulary)).withColumn(fresh("classes"), class_counts(F.col("text")))
-        per_lang = [
-            F.struct(
-                _words_distance(F.col(fresh("runs")), F.col("n_words"), refs.words[l]).alias("words"),
-                F.lit(l).alias("lang"),
-                _classes_distance(F.col(fresh("classes")), refs.classes[l]).alias("classes"),
-            )
-            for l in langs
-        ]
-        out = scored.withColumn(fresh("best"), F.array_min(F.array(*per_lang)))
+        scored = out.withColumn(fresh("runs"), _runs(F.col(WORDS), vocabulary)).withColumn(fresh("classes"), class_counts(F.col("word_chars"), F.col("n_symbols")))
+        counts, runs = F.col(fresh("classes")), F.col(fresh("runs"))
+        total = F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x)
+        judged = F.transform(
+            _as_column(refs),
+            lambda r: F.struct(
+                _words_distance(runs, F.col("n_words"), r["words"], r["other"]).alias("words"),
+                r["lang"].alias("lang"),
+                _classes_distance(counts, total, r["classes"]).alias("classes"),
+            ),
+        )
+        out = scored.withColumn(fresh("best"), F.array_min(judged))
         best = F.col(fresh("best"))
         long_enough = F.col("n_words") >= spec.min_words
         out = (

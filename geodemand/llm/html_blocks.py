@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -363,12 +363,12 @@ def extract_main_text(pages: DataFrame, weights: dict[str, np.ndarray], spec: Bl
     """
     shared = pages.sparkSession.sparkContext.broadcast(weights)  # fixed size
 
-    @F.pandas_udf("string")
-    def extract(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def extract(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         paths, words = _Ids(spec.path_dims), _Ids(spec.word_dims)
         for batch in batches:
-            found = batch.tolist()
-            yield pd.Series([t for k in range(0, len(found), 512) for t in main_texts(found[k : k + 512], shared.value, spec, paths, words)], dtype="object")
+            parts = [main_texts(batch.slice(k, 512).to_pylist(), shared.value, spec, paths, words) for k in range(0, len(batch), 512)]
+            yield pa.array([t for part in parts for t in part], pa.string())
 
     keep = [F.col(f"`{c}`") for c in pages.columns if c not in ("text", "n_chars")]
     return pages.select(*keep, extract(F.col("html")).alias("text")).withColumn("n_chars", F.length("text").cast("long"))

@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -99,11 +99,13 @@ def identify_language(df: DataFrame, dictionaries: dict[str, bytes], spec: LangS
     Input columns with the three names are replaced.
     """
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double, rejected boolean")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         compressors = _compressors(dictionaries, spec.level)
         for texts in batches:
-            yield pd.DataFrame([classify(t, compressors, spec) for t in texts], columns=["lang_pred", "score", "rejected"])
+            rows = list(zip(*(classify(t.as_py(), compressors, spec) for t in texts))) or [()] * 3
+            columns = [pa.array(list(c), k) for c, k in zip(rows, (pa.string(), pa.float64(), pa.bool_()))]
+            yield pa.StructArray.from_arrays(columns, names=["lang_pred", "score", "rejected"])
 
     keep = [c for c in df.columns if c not in ("lang_pred", "score", "rejected")]
     judged = df.select(*[F.col(f"`{c}`") for c in keep], judge(F.col("text")).alias("__gd_lang"))

@@ -23,7 +23,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -208,9 +207,9 @@ def count_words(docs: DataFrame, train: Column, flush: int = 300_000) -> DataFra
             return pa.RecordBatch.from_arrays([pa.array([w.decode() for w in held], pa.string()), pa.array(held.values(), pa.int64())], ["word", "count"])
 
         for batch in batches:
-            for text, use in zip(batch.column("text").to_pylist(), batch.column("use").to_pylist()):
-                found = word_counts(text)
-                if use:
+            for text, use in zip(batch.column("text"), batch.column("use")):
+                found = word_counts(text.as_py())
+                if use.as_py():
                     held.update(found)
                 else:
                     for w in found:
@@ -326,24 +325,28 @@ def score_texts(docs: DataFrame, words: DataFrame, model: LMModel, spec: LMSpec
     one = np.array([float(model.texts)])
     end = (float(model.log10_word(one, np.array([math.log10(model.end)]))[0]), float(model.log10_base(one)[0]), int(model.texts > 0))
 
-    @F.pandas_udf("n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:int>>")
-    def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:int>>")
+    def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = shared.value
         for texts in batches:
-            rows = []
+            rows, words, times, ends = [], [], [], [0]
             for text in texts:
-                found = word_counts(text)
-                n, score, base, rare = 0, end[0], end[1], []
+                found = word_counts(text.as_py())
+                n, score, base = 0, end[0], end[1]
                 for w, k in found.items():
                     hit = known.get(w)
                     if hit is None:
-                        rare.append({"word": w.decode(), "n": k})
+                        words.append(w)
+                        times.append(k)
                     else:
                         n += k
                         score += k * hit[0]
                         base += k * hit[1]
-                rows.append((sum(found.values()) + 1, n + end[2], base, score, rare))
-            yield pd.DataFrame(rows, columns=["n_tokens", "n_known", "base", "score", "rare"])
+                ends.append(len(words))
+                rows.append((sum(found.values()) + 1, n + end[2], base, score))
+            numbers = [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [()] * 4, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+            rare = pa.StructArray.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(times, pa.int32())], names=["word", "n"])
+            yield pa.StructArray.from_arrays([*numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)], names=["n_tokens", "n_known", "base", "score", "rare"])
 
     th, got = fresh("th"), fresh("got")
     scanned = shared_table(spark, docs.select(*[F.col(f"`{c}`") for c in keep], F.xxhash64("text").alias(th), scan("text").alias(got)))
@@ -360,15 +363,17 @@ def score_texts(docs: DataFrame, words: DataFrame, model: LMModel, spec: LMSpec
         )
     )
     copies = scanned.groupBy(th).agg(F.count(F.lit(1)).alias("copies"))
-    each = copies.join(summed, th).select(F.col(th).alias("t"), (F.col("k") / F.col("copies")).cast("long").alias("k"), (F.col("b") / F.col("copies")).alias("b"), (F.col("s") / F.col("copies")).alias("s"))
+    share = lambda c: (F.col(c) / F.col("copies")).alias(fresh(c))
+    each = copies.join(summed, th).select(F.col(th).alias(fresh("of")), share("k"), share("b"), share("s"))
     g = lambda c: F.col(f"{got}.{c}")
-    return scanned.join(each, F.col(th) == F.col("t"), "left").select(
+    more = lambda c: F.coalesce(fresh(c), F.lit(0.0))
+    return scanned.join(each, F.col(th) == F.col(fresh("of")), "left").select(
         *[F.col(f"`{c}`") for c in keep],
         g("n_tokens").alias("n_tokens"),
-        (g("n_known") + F.coalesce("k", F.lit(0))).alias("n_known"),
+        (g("n_known") + more("k").cast("long")).alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"),
-        (g("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"),
-        (g("score") + F.coalesce("s", F.lit(0.0))).alias("score"),
+        (g("base") + more("b")).alias("base_score"),
+        (g("score") + more("s")).alias("score"),
     )
 
 

@@ -48,7 +48,7 @@ class SourcePlan:
     offsets: tuple[int, ...]
 
 
-SRC, BUCKET, ORDER, OFF, SIZE, BLOCK = (fresh(x) for x in ("src", "bucket", "order", "off", "size", "block"))
+SRC, BUCKET, ORDER, OFF, SIZE, BLOCK, HELD, START, NUMBER, TAKEN = (fresh(x) for x in "src bucket order off size block held start number taken".split())
 
 
 def default_weights(names: list[str | None]) -> list[float]:
@@ -173,38 +173,30 @@ def mix_documents(docs: DataFrame, spec: MixSpec = MixSpec(), weights=default_we
     index = F.when(F.col("source").isNull(), F.lit(len(plans) - 1)).otherwise(F.array_position(names, F.col("source")).cast("int") - 1)
     laid = sized.withColumn(SRC, index).withColumn(BUCKET, F.pmod(F.col(ORDER), F.lit(buckets)).cast("int"))
     # offsets: bucket totals are summed per source (one row per bucket), rows inside a bucket
-    totals = laid.groupBy(SRC, BUCKET).agg(F.sum(SIZE).alias("held"))
-    starts = totals.select(
-        F.col(SRC).alias("s"),
-        F.col(BUCKET).alias("b"),
-        F.coalesce(F.sum("held").over(Window.partitionBy(SRC).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"),
-    )
+    totals = laid.groupBy(SRC, BUCKET).agg(F.sum(SIZE).alias(HELD))
+    before = Window.partitionBy(SRC).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(SRC, BUCKET, F.coalesce(F.sum(HELD).over(before), F.lit(0)).alias(START))
     inside = Window.partitionBy(SRC, BUCKET).orderBy(ORDER)
-    laid = (
-        laid.withColumn("n", F.row_number().over(inside))
-        .withColumn("run", F.sum(SIZE).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(SIZE))
-        .join(starts, (F.col(SRC) == F.col("s")) & (F.col(BUCKET) == F.col("b")))
-        .withColumn(OFF, F.col("start") + F.col("run"))
-    )
-    slim = laid.select(SRC, BUCKET, "n", OFF, SIZE)
+    run = F.sum(SIZE).over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col(SIZE)
+    laid = laid.withColumn(NUMBER, F.row_number().over(inside)).withColumn(OFF, run).join(starts, [SRC, BUCKET]).withColumn(OFF, F.col(OFF) + F.col(START))
     last = F.col(OFF) + F.col(SIZE) - 1
-    parts = slim.where(F.col(SIZE) > 0).select(
-        SRC, BUCKET, "n", OFF, SIZE,
+    parts = laid.select(SRC, BUCKET, NUMBER, OFF, SIZE).where(F.col(SIZE) > 0).select(
+        SRC, BUCKET, NUMBER, OFF, SIZE,
         F.explode(F.sequence(F.floor(F.col(OFF) / spec.block), F.floor(last / spec.block))).alias(BLOCK),
-    )
+    )
     shared = F.least(last + 1, (F.col(BLOCK) + 1) * spec.block) - F.greatest(F.col(OFF), F.col(BLOCK) * spec.block)
     taken = (
         parts.withColumn("shared", shared)
         .join(block_uses(spark, plans, spec), [SRC, BLOCK])
-        .groupBy(SRC, BUCKET, "n")
-        .agg(F.sum(F.col("uses") * F.col("shared")).alias("taken"))
+        .groupBy(SRC, BUCKET, NUMBER)
+        .agg(F.sum(F.col("uses") * F.col("shared")).alias(TAKEN))
     )
-    return laid.drop("taken").join(taken, [SRC, BUCKET, "n"], "left").select(
+    return laid.join(taken, [SRC, BUCKET, NUMBER], "left").select(
         *quoted,
         F.col(SIZE).alias("size"),
         _pick(plans, [p.tokens for p in plans], "long", F.col(SRC)).alias("source_size"),
         _pick(plans, [p.target for p in plans], "double", F.col(SRC)).alias("target"),
-        F.coalesce(F.col("taken"), F.lit(0)).cast("long").alias("taken"),
+        F.coalesce(F.col(TAKEN), F.lit(0)).cast("long").alias("taken"),
     )
 
 

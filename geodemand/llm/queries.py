@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import fold
-from .divergence import judge_quality, language_references
+from .divergence import BASE, judge_quality, language_references
 from .html_blocks import extract_main_text, train_labeller
 from .langid import identify_language, train_dictionaries
 from .ngram_join import ngram_groups
@@ -67,15 +68,16 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return score_toxicity(held, model).drop("text")
 
 
-@register("op9_quality")
+@register("op9_quality", oracles.quality())
 def op9_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    return judge_quality(docs.drop("lang"), language_references(docs)).drop("text")
+    judged = judge_quality(docs.drop("lang"), language_references(docs))
+    return judged.select("doc_id", *BASE, "base_failed", "kept")
 
 
-@register("op8_ngram_join")
+@register("op8_ngram_join", oracles.NGRAM_JOIN)
 def op8_ngram_join(spark: SparkSession, d: str) -> DataFrame:
-    return ngram_groups(table(spark, d, "documents").select("doc_id", "text")).drop("text")
+    return ngram_groups(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", "n_shingles", "component_id")
 
 
 @register("op2_lattice_lm")
@@ -89,9 +91,9 @@ def op1_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_classes(table(spark, d, "documents").select("doc_id", "text"))
 
 
-@register("op7_template_decontam")
+@register("op7_template_decontam", oracles.template_decontam())
 def op7_template_decontam(spark: SparkSession, d: str) -> DataFrame:
-    return contained_items(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark"))
+    return contained_items(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "benchmark")).drop("text_hash")
 
 
 @register("op3_html_text")

@@ -15,13 +15,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, small_side
+from .common import fresh, shared_table, small_side
 
 
 @dataclass(frozen=True)
 class TemplateSpec:
     """Windows of ``window`` tokens (an item with fewer tokens is one window), of which at least
-    ``min_words`` are words. A document contains an item when at least ``min_cover`` of the item's
+    ``min_words`` are words; an item without such a window is too short to be told. A document contains an item when at least ``min_cover`` of the item's
     windows occur and at least ``min_consistent`` of its slot values keep one counterpart.
     The benchmark's windows are broadcast up to ``broadcast_rows``, else joined by shuffle."""
 
@@ -69,25 +69,43 @@ def template(text: Column) -> Column:
     return F.element_at(F.transform(F.array(raw), tagged), 1)
 
 
-def _windows(df: DataFrame, spec: TemplateSpec, *keys: str) -> DataFrame:
-    """(keys, tags, raws, at, h): one row per window position; a shorter text is one window."""
+def _tokens(df: DataFrame, *keys: str) -> DataFrame:
+    """(keys, tags, raws) of texts with tokens."""
     split = df.withColumn("t", template(F.col("text"))).where(F.size("t") > 0)
-    arrays = split.select(*keys, F.transform("t", lambda x: x["tag"]).alias("tags"), F.transform("t", lambda x: x["raw"]).alias("raws"))
-    last = F.greatest(F.size("tags") - spec.window, F.lit(0))
-    each = arrays.select(*keys, "tags", "raws", F.explode(F.sequence(F.lit(0), last)).alias("at"))
-    # positions past the end of a short text are null and leave the hash as it is
-    return each.withColumn("h", F.xxhash64(*[F.get("tags", F.col("at") + k) for k in range(spec.window)]))
-
-
-def benchmark_windows(benchmark: DataFrame, spec: TemplateSpec) -> DataFrame:
-    """(h, item_id, at, slots, n_windows): the item windows that can be matched, with their placeholders' values."""
-    items = benchmark.where("text is not null").select("item_id", "text").dropDuplicates()
-    w = _windows(items, spec, "item_id").withColumn("tags", F.slice("tags", F.col("at") + 1, F.lit(spec.window))).withColumn("raws", F.slice("raws", F.col("at") + 1, F.lit(spec.window)))
+    return split.select(*keys, F.transform("t", lambda x: x["tag"]).alias("tags"), F.transform("t", lambda x: x["raw"]).alias("raws"))
+
+
+def _hash(tags: Column, at: Column, length: int) -> Column:
+    """Hash of ``length`` tags from a position; null where they run past the end."""
+    return F.when(at + length <= F.size(tags), F.xxhash64(F.lit(length), *[F.get(tags, at + k) for k in range(length)]))
+
+
+def _windows(tokens: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
+    """(keep, at, h): one row per window position of each length. Tags that are not kept are hashed
+    where they are exploded and travel no further."""
+    starts = F.sequence(F.lit(0), F.greatest(F.size("tags") - min(lengths), F.lit(0)))
+    each = tokens.select(*{*keep, "tags"}, F.explode(starts).alias("at"))
+    found = [_hash(F.col("tags"), F.col("at"), m) for m in lengths]
+    if len(found) == 1:
+        out = each.select(*keep, "at", found[0].alias("h"))
+    else:
+        out = each.select(*keep, "at", F.array(*found).alias("hs")).select(*keep, "at", F.explode("hs").alias("h"))
+    return out.where(F.col("h").isNotNull())
+
+
+def benchmark_windows(benchmark: DataFrame, spec: TemplateSpec) -> tuple[DataFrame, list[int]]:
+    """(h, item_id, item_at, slots, n_windows) of the item windows that can be matched, with their
+    placeholders' values, and the window lengths in use (``spec.window``, and those of shorter items)."""
+    items = _tokens(benchmark.where("text is not null").select("item_id", "text").dropDuplicates(), "item_id")
+    items = items.withColumn("m", F.least(F.size("tags"), F.lit(spec.window)))
+    lengths = sorted({r[0] for r in items.select("m").distinct().collect()}) or [spec.window]  # at most spec.window values
+    w = _windows(items, lengths, "item_id", "tags", "raws", "m").where(F.col("h") == F.coalesce(*[F.when(F.col("m") == m, _hash(F.col("tags"), F.col("at"), m)) for m in lengths]))
+    cut = lambda c: F.slice(c, F.col("at") + 1, F.col("m"))
+    w = w.select("h", "item_id", F.col("at").alias("item_at"), cut("tags").alias("tags"), cut("raws").alias("raws"))
     placed = F.transform("tags", lambda t, i: F.struct(t.alias("kind"), F.get("raws", i).alias("value"), i.alias("at")))
-    slots = F.filter(placed, lambda s: s["kind"].isin(NUMBER, NAME, UNIT))
-    kept = w.withColumn("slots", slots).where(F.size("tags") - F.size("slots") >= F.least(F.lit(spec.min_words), F.size("tags")))
-    counts = kept.groupBy("item_id").agg(F.countDistinct("at").alias("n_windows"))
-    return kept.select("h", "item_id", "at", "slots").join(counts, "item_id")
+    kept = w.withColumn("slots", F.filter(placed, lambda s: s["kind"].isin(NUMBER, NAME, UNIT))).where(F.size("tags") - F.size("slots") >= spec.min_words)
+    counts = kept.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows")).withColumnRenamed("item_id", "i")
+    return kept.join(counts, F.col("item_id").eqNullSafe(F.col("i"))).select("h", "item_id", "item_at", "slots", "n_windows"), lengths
 
 
 def contained_items(docs: DataFrame, benchmark: DataFrame, spec: TemplateSpec = TemplateSpec()) -> DataFrame:
@@ -98,22 +116,31 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, spec: TemplateSpec =
     contain nothing; null and empty items are contained in nothing. Without
     items or documents the result is empty.
     """
-    index = small_side(benchmark_windows(benchmark, spec).withColumnRenamed("at", "item_at"), spec.broadcast_rows)
+    spark = docs.sparkSession
+    index, lengths = benchmark_windows(benchmark, spec)
+    index = shared_table(spark, index)
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    hits = _windows(texts, spec, "doc_id", "text_hash").join(index, "h").select(
-        "doc_id", "text_hash", "item_id", "item_at", "n_windows",
-        F.transform("slots", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"), F.lower(F.get("raws", F.col("at") + s["at"])).alias("stands"))).alias("slots"),
-    )
+    narrow = small_side(index.select("h", "item_id", "item_at", "n_windows"), spec.broadcast_rows)
+    hits = shared_table(spark, _windows(_tokens(texts, "doc_id", "text_hash"), lengths, "doc_id", "text_hash").join(narrow, "h").drop("h"))
     key = ["doc_id", "text_hash", "item_id"]
     found = hits.groupBy(*key, "n_windows").agg(F.countDistinct("item_at").alias("n_found"))
     found = found.where(F.col("n_found") >= spec.min_cover * F.col("n_windows"))
-    slots = hits.select(*key, F.explode("slots").alias("s")).select(*key, "s.*").distinct()
+    # the raw words behind the slots: only of texts that match an item with slots
+    with_slots = index.where(F.size("slots") > 0).select("item_id", F.col("item_at").alias("i_at"), "slots").distinct()
+    match = hits.join(small_side(with_slots.withColumnRenamed("item_id", "i"), spec.broadcast_rows), F.col("item_id").eqNullSafe(F.col("i")) & (F.col("item_at") == F.col("i_at")))
+    match = shared_table(spark, match.select("text_hash", "item_id", "at", "slots").distinct())
+    own = texts.select("text_hash", "text").join(small_side(match.select("text_hash").distinct(), spec.broadcast_rows), "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
+    pairs = _tokens(own, "text_hash").drop("tags").join(match, "text_hash").select(
+        "text_hash", "item_id", F.explode(F.transform("slots", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"), F.lower(F.get("raws", F.col("at") + s["at"])).alias("stands")))).alias("s")
+    )
+    slots = pairs.select("text_hash", "item_id", "s.*").distinct()
     # a slot value keeps one counterpart, and shares it with no other value of its kind
-    each = slots.groupBy(*key, "kind", "value").agg(F.count(F.lit(1)).alias("ways"), F.max((F.col("value") != F.col("stands")).cast("int")).alias("changed"))
-    taken = slots.groupBy(*key, "kind", "stands").agg(F.count(F.lit(1)).alias("users"))
-    agreed = each.groupBy(*key).agg(F.count(F.lit(1)).alias("n_slots"), F.sum((F.col("ways") == 1).cast("int")).alias("single"), F.sum("changed").alias("n_changed"))
-    clear = taken.groupBy(*key).agg((F.sum((F.col("users") == 1).cast("int")) / F.count(F.lit(1))).alias("clear"))
-    same = lambda a, b: a.join(b.select(*[F.col(c).alias(fresh(c)) for c in key], *[c for c in b.columns if c not in key]), [F.col(c).eqNullSafe(F.col(fresh(c))) for c in key], "left").drop(*[fresh(c) for c in key])
+    part = ["text_hash", "item_id"]
+    each = slots.groupBy(*part, "kind", "value").agg(F.count(F.lit(1)).alias("ways"), F.max((F.col("value") != F.col("stands")).cast("int")).alias("changed"))
+    taken = slots.groupBy(*part, "kind", "stands").agg(F.count(F.lit(1)).alias("users"))
+    agreed = each.groupBy(*part).agg(F.count(F.lit(1)).alias("n_slots"), F.sum((F.col("ways") == 1).cast("int")).alias("single"), F.sum("changed").alias("n_changed"))
+    clear = taken.groupBy(*part).agg((F.sum((F.col("users") == 1).cast("int")) / F.count(F.lit(1))).alias("clear"))
+    same = lambda a, b: a.join(b.select(*[F.col(c).alias(fresh(c)) for c in part], *[c for c in b.columns if c not in part]), [F.col(c).eqNullSafe(F.col(fresh(c))) for c in part], "left").drop(*[fresh(c) for c in part])
     out = same(same(found, agreed), clear)
     consistent = F.coalesce((F.col("single") >= spec.min_consistent * F.col("n_slots")) & (F.col("clear") >= spec.min_consistent), F.lit(True))
     return out.where(consistent).select(

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,11 +122,11 @@ def train(labelled: DataFrame, label: Column, spec: FMSpec = FMSpec()) -> FMMode
     total = rows.count()
     drawn = rows.where(unit_hash(F.coalesce("text", F.lit("")), F.lit(spec.seed)) < min(1.0, spec.sample_rows / max(1, total)))
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         terms = _Terms(spec)
         for texts in batches:
-            yield pd.Series([features(t, terms) for t in texts])
+            yield pa.array([features(t.as_py(), terms) for t in texts], pa.list_(pa.int32()))
 
     got = drawn.select("y", ids(F.col("text")).alias("x"), F.xxhash64("text", "y").alias("h")).toArrow().sort_by("h")
     x = got.column("x").combine_chunks()
@@ -144,11 +144,11 @@ def score_toxicity(df: DataFrame, model: FMModel, spec: FMSpec = FMSpec()) -> Da
     # fixed size: dims x (rank + 1) numbers
     shared = df.sparkSession.sparkContext.broadcast((model.bias, model.weights, model.vectors))
 
-    @F.pandas_udf("double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         fm, terms = FMModel(*shared.value), _Terms(spec)
         for texts in batches:
-            yield pd.Series([fm.score(features(t, terms)) for t in texts], dtype="float64")
+            yield pa.array([fm.score(features(t.as_py(), terms)) for t in texts], pa.float64())
 
     keep = [F.col(f"`{c}`") for c in df.columns if c not in ("score", "predicted")]
     return df.select(*keep, judge(F.col("text")).alias("score")).withColumn("predicted", (F.col("score") >= spec.threshold).cast("int"))

@@ -74,8 +74,9 @@ def weather_features(
     precip_col: str | None = "precip_total",
     range_name: str = "temp_range",
     rainy_name: str = "is_rainy",
+    rainy_above: float = 0.0,
 ) -> DataFrame:
-    """``temp_range = max - min``; ``is_rainy = coalesce(rain, precip, 0) > 0``.
+    """``temp_range = max - min``; ``is_rainy = coalesce(rain, precip, 0) > rainy_above``.
 
     Rain is looked at first: a 0.0 rain is not null, so precipitation falling
     as snow leaves the flag at 0. Absent columns are skipped (the range) or
@@ -85,7 +86,7 @@ def weather_features(
     if max_col in df.columns and min_col in df.columns:
         out[range_name] = F.col(max_col) - F.col(min_col)
     wet = [F.col(c) for c in (rain_col, precip_col) if c and c in df.columns]
-    out[rainy_name] = F.when(F.coalesce(*wet, F.lit(0.0)) > 0.0, F.lit(1)).otherwise(F.lit(0))
+    out[rainy_name] = F.when(F.coalesce(*wet, F.lit(0.0)) > F.lit(float(rainy_above)), F.lit(1)).otherwise(F.lit(0))
     return df.withColumns(out)
 
 

@@ -13,12 +13,14 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import ml
 from ..operators.features import place_labels
 from ..operators.measures import Measure
 from ..sources import roles
-from ..sources.io import write_guarded, write_metrics, write_table
+from .._cols import require_columns
+from ..sources.io import read_source, write_guarded, write_metrics, write_table
 from .forecast import dow_profile_forecast
 from .resolve import resolve_places
 from .sales import place_day_sales
@@ -36,14 +38,31 @@ FORECAST_TABLE_SCHEMA = {
 }
 
 
+# The job's inputs and the columns it needs of each.
+INPUT_COLUMNS = {
+    "customers": ("customer_id", "customer_name", "city", "state", "postcode", "loyalty_segment", "valid_from", "valid_to"),
+    "target_places": ("target_city_norm", "target_state"),
+    "orders": ("customer_id", "order_datetime", "ordered_products"),
+    "weather": ("postal_code", "day", "lat", "lon"),
+    "places": ("city", "state", "center_lat", "center_lon"),
+    "training": ("city", "state", "date", ml.TARGET_COLUMN),
+    "horizon": ("city", "state", "date"),
+}
+
+
 @dataclass
 class JobConfig:
-    sf_dir: str  # folder with the driver tables
+    sf_dir: str | None = None  # folder with the driver tables, for inputs that are not named below
+    # Input name -> catalog table, or {"table": ..., "path": ..., "schema": DDL, "fmt": ...}: the table
+    # if it exists, else the files. ``training`` and ``horizon`` given together skip the building steps.
+    inputs: dict[str, str | dict] = field(default_factory=dict)
+    date_from: str | None = None  # orders from this day on
+    date_to: str | None = None  # orders up to this day
     out_dir: str | None = None  # model, metrics and CSV copies go here when set
     forecast_table: str | None = None  # catalog table for the forecast
     max_km: float = 80.0
-    year: int = 2024
-    month: int = 1
+    year: int | None = 2024  # re-date sales into this month; None keeps their own days
+    month: int | None = 1
     anchor: str = roles.HORIZON_ANCHOR.isoformat()
     horizon_days: int = 10
     valid_days: int = 5
@@ -71,23 +90,52 @@ def _step(spark: SparkSession, cfg: JobConfig, df: DataFrame, table: str, **kw)
     return spark.table(name)
 
 
+def job_input(spark: SparkSession, cfg: JobConfig, name: str) -> DataFrame:
+    """A named input of the job, checked for its columns: the configured table or files, else the driver-table role."""
+    given = cfg.inputs.get(name)
+    if given is not None:
+        spec = {"table": given} if isinstance(given, str) else given
+        schema = T.StructType.fromDDL(spec["schema"]) if "schema" in spec else None
+        df = read_source(spark, spec.get("table"), spec.get("path"), schema, spec.get("fmt", "csv"))
+    elif cfg.sf_dir and name in _ROLES:
+        df = _ROLES[name](spark, cfg.sf_dir)
+    else:
+        raise ValueError(f"The job needs the input {name!r}")
+    require_columns(df, INPUT_COLUMNS[name], name)
+    return df
+
+
+_ROLES = {
+    "customers": roles.customer_versions,
+    "target_places": roles.target_places,
+    "orders": roles.orders_json,
+    "weather": roles.station_day,
+    "places": roles.places,
+}
+
+
 def build_tables(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Resolved customers, place-day sales and weather, training table and the
     weather horizon (lazy, or read back from tables when ``tables_db`` is
     set; customers are then bucketed by ``customer_id``)."""
-    d = cfg.sf_dir
+    if "training" in cfg.inputs and "horizon" in cfg.inputs:
+        return {k: place_labels(job_input(spark, cfg, k)) for k in ("training", "horizon")}
+    get = lambda name: job_input(spark, cfg, name)
     customers = _step(
         spark,
         cfg,
-        resolve_places(roles.customer_versions(spark, d), roles.target_places(spark, d)),
+        resolve_places(get("customers"), get("target_places")),
         "resolved_customers",
         bucket_by=(cfg.customer_buckets, ["customer_id"]),
     )
     sales = _step(
-        spark, cfg, place_day_sales(roles.orders_json(spark, d), customers, year=cfg.year, month=cfg.month), "place_day_sales"
+        spark,
+        cfg,
+        place_day_sales(get("orders"), customers, year=cfg.year, month=cfg.month, lo=cfg.date_from, hi=cfg.date_to),
+        "place_day_sales",
     )
     weather = _step(
-        spark, cfg, place_day_weather(roles.station_day(spark, d), roles.places(spark, d), cfg.max_km), "place_day_weather"
+        spark, cfg, place_day_weather(get("weather"), get("places"), cfg.max_km), "place_day_weather"
     )
     training = _step(spark, cfg, place_day_training(sales, weather), "training")
     measures = {n: Measure() for n in PLACE_DAY_WEATHER if n in weather.columns and n in ml.FEATURE_COLUMNS}
@@ -128,7 +176,7 @@ def run(spark: SparkSession, cfg: JobConfig) -> dict[str, object]:
     )
     if cfg.out_dir:
         ml.save_model(sel.model, f"{cfg.out_dir}/model")
-        write_metrics(sel.metrics, f"{cfg.out_dir}/metrics")
+        write_metrics(sel.metrics.withColumn("trained_at", F.lit(trained_at)), f"{cfg.out_dir}/metrics")
         forecast.write.mode("overwrite").option("header", True).csv(f"{cfg.out_dir}/sales_forecast_csv")
     if cfg.forecast_table:
         write_guarded(forecast, cfg.forecast_table, FORECAST_TABLE_SCHEMA)

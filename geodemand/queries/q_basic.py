@@ -3,6 +3,7 @@ joins and aggregations (survey sections 2.1-2.7)."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from ..functions.geo import haversine_km
 from ..functions.text import clean_postcode, norm_key, norm_text, strip_decimal_suffix, title_place
 from ..operators.features import DEMO_EFFECTS, EffectsSpec, effects_score, place_keys, weather_features
 from ..operators.keyed import enforce_grain, latest_version
+from ..operators.ml import score_scenarios
 from ..operators.lines import explode_lines, order_amounts
 from ..operators.measures import Measure, bounds, dow_profile, per_key_max, project_measures, round_doubles, stamp
 from ..operators.quality import (
@@ -329,12 +331,16 @@ def q_effects_score(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_scenario_delta(spark: SparkSession, d: str) -> DataFrame:
     days = roles.demo_day(spark, d)
-    base = effects_score(days, name="prediction").agg(F.avg("prediction")).first()[0]
     scen = days.withColumn("temperature_c", F.col("temperature_c") + 5.0)
-    out = effects_score(scen, name="prediction").select(
-        "date", "prediction", (F.col("prediction") - F.lit(base)).alias("delta_vs_mean")
-    )
-    return round_doubles(out, 4)
+    # the score formula stands in for a fitted model
+    formula = PipelineModel([_EffectsModel()])
+    out = score_scenarios(formula, scen, effects_score(days, name="prediction"), y="prediction")
+    return round_doubles(out.select("date", "prediction", "delta_vs_mean"), 4)
+
+
+class _EffectsModel(Transformer):
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        return effects_score(dataset, name="prediction")
 
 
 # --------------------------------------------------------------------------

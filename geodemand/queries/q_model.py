@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ml
-from ..operators.features import lag_feature, place_labels, rolling_prev_mean
+from ..operators.features import effects_score, lag_feature, place_labels, rolling_prev_mean
 from ..operators.measures import Measure, round_doubles
 from ..operators.report import place_options
 from ..plans.forecast import dow_profile_forecast
@@ -495,3 +495,15 @@ def q_end_to_end_forecast(spark: SparkSession, d: str) -> DataFrame:
         F.count_distinct("model_name").alias("models"),
         F.count_distinct("city", "state").alias("places"),
     )
+
+
+@register(
+    "train_demo",
+    f"""SELECT count(*) FILTER (({_MD5_32}) % 10000 < 8000) AS train_rows, count(*) FILTER (({_MD5_32}) % 10000 >= 8000) AS test_rows,
+               true AS scored
+        FROM (SELECT DISTINCT md5(concat_ws('|', CAST(CAST(ts AS DATE) AS VARCHAR), '42')) AS h FROM events)""",
+)
+def q_train_demo(spark: SparkSession, d: str) -> DataFrame:
+    days = effects_score(roles.demo_day(spark, d), name=ml.DEMO_TARGET)
+    _, metrics = ml.train_demo(days)
+    return metrics.select("train_rows", "test_rows", (F.col("mae") >= 0).alias("scored"))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.money import LINE_ITEM_TYPE
+from ..operators.features import weather_features
 
 # Fixed value: the day the registered forecast queries start from (day after
 # the last events day), never current_date(), so results are reproducible.
@@ -195,7 +196,7 @@ def demo_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.when(F.col("event_type") == "signup", 1)).alias("n_signup"),
         F.count(F.lit(1)).alias("customer_count"),
     )
-    return d.select(
+    days = d.select(
         "date",
         F.when(F.month("date").isin(12, 1, 2), "winter")
         .when(F.month("date").isin(3, 4, 5), "spring")
@@ -209,9 +210,10 @@ def demo_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((F.col("n_signup") % 6) * 5).cast("int").alias("discount_pct"),
         F.when(F.dayofweek("date").isin(1, 7), 1).otherwise(0).alias("is_weekend"),
         F.when(F.dayofmonth("date") == 1, 1).otherwise(0).alias("is_holiday"),
-        F.when(F.round(F.col("precipitation_mm") / 10.0, 1) > 1.0, 1).otherwise(0).alias("is_rainy"),
         F.col("customer_count").cast("int").alias("customer_count"),
     )
+    wet = weather_features(days, max_col=None, min_col=None, rain_col=None, precip_col="precipitation_mm", rainy_above=1.0)
+    return wet.select(*[c for c in days.columns if c != "customer_count"], "is_rainy", "customer_count")
 
 
 __all__ = [

@@ -55,3 +55,38 @@ def test_main_prints_one_summary(spark, capsys):
     main([json.dumps({"sf_dir": SF, "forest_trees": 3, "boost_iters": 2, "models": ["linear_regression"]})])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["selected_model"] == "linear_regression" and out["valid_rows"] == 25
+
+
+SMALL = {"forest_trees": 3, "boost_iters": 2, "models": ["linear_regression"]}
+
+
+def _forecast(out):
+    return sorted((r["city"], r["state"], r["date"], round(r["sales_amount_pred"], 4)) for r in out["forecast"].collect())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_run_on_named_tables_and_files(spark, tmp_path):
+    from geodemand.plans.job import _ROLES, build_tables
+
+    want = _forecast(run(spark, JobConfig(sf_dir=SF, **SMALL)))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS geodemand_inputs LOCATION '{tmp_path}/db'")
+    for name, role in _ROLES.items():
+        role(spark, SF).write.mode("overwrite").saveAsTable(f"geodemand_inputs.{name}")
+    tables = {name: f"geodemand_inputs.{name}" for name in _ROLES}
+    assert _forecast(run(spark, JobConfig(inputs=tables, **SMALL))) == want
+    ready = build_tables(spark, JobConfig(sf_dir=SF))
+    files = {}
+    for name in ("training", "horizon"):
+        ready[name].write.option("header", True).csv(f"{tmp_path}/{name}")
+        files[name] = {"table": "geodemand_inputs.absent", "path": f"{tmp_path}/{name}", "schema": ready[name].schema.toDDL()}
+    assert _forecast(run(spark, JobConfig(inputs=files, **SMALL))) == want
+
+
+def test_inputs_are_named_when_missing(spark):
+    from geodemand.plans.job import job_input
+
+    with pytest.raises(ValueError, match="orders"):
+        job_input(spark, JobConfig(), "orders")
+    spark.range(1).createOrReplaceTempView("thin_places")
+    with pytest.raises(ValueError, match="center_lat"):
+        job_input(spark, JobConfig(inputs={"places": "thin_places"}), "places")

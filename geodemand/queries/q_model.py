@@ -17,11 +17,12 @@ from ..operators.report import place_options
 from ..plans.forecast import dow_profile_forecast
 from ..plans.job import JobConfig, build_tables, run
 from ..plans.report import forecast_report
+from ..plans.sales import place_day_sales
 from ..plans.training import place_day_training
 from ..sources import roles
 from ..sources.io import scratch_path, write_metrics
 from .oracle_roles import initcap, spark_round, with_roles
-from .registry import register, rounded_sql, sales_2024_01, weather_history
+from .registry import register, resolved_customers, rounded_sql, sales_2024_01, weather_history
 
 MEASURES = ("temp_max", "temp_min", "temp_avg", "humidity", "precip_total", "wind_speed", "uv")
 
@@ -78,6 +79,44 @@ def q_rolling_prev_mean(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@register(
+    "sales_windows_by_day",
+    with_roles(
+        rounded_sql(
+            """SELECT city, state, date, CAST(sales_amount AS DOUBLE) AS sales_amount,
+                      CAST(first(sales_amount) OVER (place ROWS BETWEEN 1 PRECEDING AND 1 PRECEDING) AS DOUBLE) AS sales_amount_lag_1,
+                      avg(sales_amount) OVER (place ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS sales_amount_roll7_mean_prev
+               FROM place_day_sales_by_day WINDOW place AS (PARTITION BY city, state ORDER BY date)""",
+            ["sales_amount_roll7_mean_prev"],
+            4,
+        ),
+        "place_day_sales_by_day",
+    ),
+)
+def q_sales_windows_by_day(spark: SparkSession, d: str) -> DataFrame:
+    """Lag and rolling mean over every real day of every place: rows grow with the orders' days, not with one month."""
+    s = place_day_sales(roles.orders_json(spark, d), resolved_customers(spark, d))
+    s = rolling_prev_mean(lag_feature(s, ["city", "state"], "date", "sales_amount", 1), ["city", "state"], "date", "sales_amount", 7)
+    double = ["sales_amount", "sales_amount_lag_1", "sales_amount_roll7_mean_prev"]
+    return s.select("city", "state", "date", *[(F.round(c, 4) if "roll" in c else F.col(c)).cast("double").alias(c) for c in double])
+
+
+@register(
+    "impute_median_by_station",
+    with_roles(
+        rounded_sql(
+            """SELECT postal_code, day, ifnull(humidity, (SELECT median(humidity) FROM station_day)) AS humidity,
+                      ifnull(uv, (SELECT median(uv) FROM station_day)) AS uv FROM station_day""",
+            ["humidity", "uv"],
+        ),
+        "station_day",
+    ),
+)
+def q_impute_median_by_station(spark: SparkSession, d: str) -> DataFrame:
+    days = roles.station_day(spark, d).select("postal_code", "day", "humidity", "uv")
+    return round_doubles(ml.impute_median(days, ["humidity", "uv"]))
+
+
 SPLIT_SQL = """SELECT city, state, date,
        CASE WHEN count(*) OVER (PARTITION BY city, state) <= 5
             THEN row_number() OVER (PARTITION BY city, state ORDER BY date DESC) = 1

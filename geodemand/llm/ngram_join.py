@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -38,6 +38,8 @@ from .components import connected_components
 class JaccardSpec:
     """``frequent_at``: a token is frequent above this count, or above the total count divided by
     ``2**frequent_bits`` if that is more, which bounds the number of frequent tokens.
+    In sets of at least ``pairs_from`` tokens (a power of two), whose prefixes are so long that any two
+    of them share some token, every token counts as frequent.
     ``count_slice``: about how many tokens one counting task merges."""
 
     n: int = 3
@@ -45,9 +47,12 @@ class JaccardSpec:
     frequent_at: int = 32
     frequent_bits: int = 20
     table_bits: int = 24
+    pairs_from: int = 512
     count_slice: int = 4_000_000
     sketch_longs: int = 8
+    histogram: int = 256
     broadcast_rows: int = 100_000
+    broadcast_ids: int = 1_000_000
 
 
 # Odd multipliers that mix word hashes into n-gram hashes.
@@ -58,7 +63,7 @@ class _WordHash(dict):
     """Word -> 64-bit hash; cleared when large, so memory stays bounded."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         self[word] = h = xxhash.xxh64_intdigest(word)
         return h
@@ -107,14 +112,20 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, spec: JaccardSpec) -> t
     """Signatures of one set (sorted tokens), and its number of rare tokens. ``frequent``: flag per leading token bits."""
     n = len(tokens)
     common = frequent[(tokens >> np.uint64(64 - spec.table_bits)).astype(np.int64)]
-    rare = tokens[~common]
-    losses = n - -(-spec.percent * n // 100)
-    if len(rare) > losses or n < 2:
-        return rare[: losses + 1], len(rare)
-    rest, need = tokens[common], losses + 1 - len(rare)
-    low = n.bit_length() - 1  # the partner's size decides the classes: this size's scale, and the next if in reach
-    high = (100 * n // spec.percent).bit_length() - 1
-    return np.concatenate([rare, *(_pair_signatures(rest, need, s) for s in range(low, high + 1))]), len(rare)
+    rare, rest = tokens[~common], tokens[common]
+    if n < 2:
+        return tokens, len(rare)
+    need = n - -(-spec.percent * n // 100) + 1
+    out = []
+    # the partner's size decides the classes: this size's scale, and the next if in reach
+    for scale in range(n.bit_length() - 1, (100 * n // spec.percent).bit_length()):
+        if 1 << scale >= spec.pairs_from:
+            out.append(_pair_signatures(tokens, need, scale))
+        elif len(rare) >= need:
+            out.append(rare[:need])
+        else:
+            out += [rare, _pair_signatures(rest, need - len(rare), scale)]
+    return np.concatenate(out), len(rare)
 
 
 def _sketch(tokens: np.ndarray, longs: int) -> np.ndarray:
@@ -123,34 +134,39 @@ def _sketch(tokens: np.ndarray, longs: int) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def _histogram(tokens: np.ndarray, bins: int) -> bytes:
+    """Tokens per bin: the counts of two sets differ in no more places than the sets in tokens, however large they are."""
+    counts = np.bincount((tokens >> np.uint64(30)).astype(np.int64) % bins, minlength=bins)
+    return np.minimum(counts, 65_535).astype(np.uint16).tobytes()
+
+
 def _frequent_table(texts: DataFrame, spec: JaccardSpec) -> np.ndarray:
     """Flags by leading token bits: counted over all texts, the bounded list of frequent ones reaches the driver."""
     total = (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6 + 1
     slices = max(1, -(-total // spec.count_slice))
     least = max(spec.frequent_at, total >> spec.frequent_bits)
 
-    @F.pandas_udf("array<binary>")
-    def counts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<binary>")
+    def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         """Sorted 32-bit tokens of a batch, cut into slices and packed; a packed column per slice in its first row."""
         hashes, packer = _WordHash(), zstandard.ZstdCompressor(level=1)
-        edges = [(s << 32) // slices for s in range(1, slices)]
+        edges = np.array([(s << 32) // slices for s in range(1, slices)], dtype=np.uint32)
         for batch in batches:
-            held = [shingles(t, spec.n, hashes) >> np.uint64(32) for t in batch]
-            merged = np.sort(np.concatenate(held)).astype(np.uint32) if held else np.zeros(0, np.uint32)
+            held = [(shingles(t.as_py(), spec.n, hashes) >> np.uint64(32)).astype(np.uint32) for t in batch]
+            merged = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint32)
             out: list = [None] * len(batch)
             if len(merged):
-                parts = np.split(merged, np.searchsorted(merged, np.array(edges, dtype=np.uint32))) if edges else [merged]
-                out[0] = [packer.compress(_pack(p)) for p in parts]
-            yield pd.Series(out)
+                out[0] = [packer.compress(_pack(p)) for p in np.split(merged, np.searchsorted(merged, edges))]
+            yield pa.array(out, pa.list_(pa.binary()))
 
-    @F.pandas_udf("array<int>")
-    def frequent(parts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def frequent(parts: pa.Array) -> pa.Array:
         unpacker = zstandard.ZstdDecompressor()
         out = []
         for packed in parts:
-            tokens, n = np.unique(np.concatenate([_unpack(unpacker.decompress(p)) for p in packed]), return_counts=True)
+            tokens, n = np.unique(np.concatenate([_unpack(unpacker.decompress(p.as_py())) for p in packed]), return_counts=True)
             out.append(tokens[n > least].view(np.int32))
-        return pd.Series(out)
+        return pa.array(out, pa.list_(pa.int32()))
 
     # one row per batch and slice; a slice holds about count_slice tokens however many texts there are
     rows = texts.select(F.posexplode(counts("text")).alias("slice", "packed"))
@@ -171,24 +187,26 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 def _profiles(texts: DataFrame, spec: JaccardSpec) -> DataFrame:
-    """Adds n, set (64-bit set hash, null when empty), rare, sketch and signatures of ``text``."""
+    """Adds n, set (64-bit set hash, null when empty), rare, sketch, histogram and signatures of ``text``."""
     flags = texts.sparkSession.sparkContext.broadcast(np.packbits(_frequent_table(texts, spec)))  # 2**table_bits bits
 
-    @F.pandas_udf("n long, set long, rare int, sketch array<long>, signatures array<long>")
-    def profile(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kinds = {"n": pa.int64(), "set": pa.int64(), "rare": pa.int32(), "sketch": pa.list_(pa.int64()), "histogram": pa.binary(), "signatures": pa.list_(pa.int64())}
+
+    @F.arrow_udf("n long, set long, rare int, sketch array<long>, histogram binary, signatures array<long>")
+    def profile(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, frequent = _WordHash(), np.unpackbits(flags.value).astype(bool)
         for batch in batches:
             rows = []
             for text in batch:
-                tokens = shingles(text, spec.n, hashes)
+                tokens = shingles(text.as_py(), spec.n, hashes)
                 if not len(tokens):
-                    rows.append((0, None, 0, None, None))
+                    rows.append((0, None, 0, None, None, None))
                     continue
                 found, rare = signatures(tokens, frequent, spec)
                 name = xxhash.xxh64_intdigest(tokens.tobytes()) - (1 << 63)
-                rows.append((len(tokens), name, rare, _sketch(tokens, spec.sketch_longs), np.unique(found).view(np.int64)))
-            out = pd.DataFrame(rows, columns=["n", "set", "rare", "sketch", "signatures"])
-            yield out.astype({"set": "Int64"})
+                rows.append((len(tokens), name, rare, _sketch(tokens, spec.sketch_longs), _histogram(tokens, spec.histogram), np.unique(found).view(np.int64)))
+            columns = zip(*rows) if rows else [()] * len(kinds)
+            yield pa.StructArray.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds.values())], names=list(kinds))
 
     return texts.withColumn(fresh("profile"), profile("text")).drop("text").select("*", f"{fresh('profile')}.*").drop(fresh("profile"))
 
@@ -202,39 +220,52 @@ def _within_bounds(a: str, b: str, spec: JaccardSpec) -> Column:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, sets: DataFrame, spec: JaccardSpec) -> DataFrame:
-    """Those of the distinct pairs (a, b) of set hashes that truly link. ``sets``: set -> hash of one text of it."""
+    """Those of the distinct pairs (a, b) of set hashes that truly link. ``sets``: set, n, histogram and the hash of one text of it."""
+
+    @F.arrow_udf("boolean")
+    def possible(left: pa.Array, right: pa.Array, sizes: pa.Array) -> pa.Array:
+        counts = [np.frombuffer(b"".join(x.to_pylist()), np.uint16).reshape(len(x), spec.histogram).astype(np.int32) for x in (left, right)]
+        apart = np.abs(counts[0] - counts[1]).sum(1, dtype=np.int64)
+        return pa.array((100 + spec.percent) * apart <= (100 - spec.percent) * sizes.to_numpy(zero_copy_only=False))
+
+    facts = lambda x: sets.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("histogram").alias(f"h{x}"))
+    near = pairs.join(facts("a"), "a").join(facts("b"), "b").where(possible("ha", "hb", F.col("na") + F.col("nb")))
+    pairs = shared_table(texts.sparkSession, near.select("a", "b"))
     wanted = shared_table(
-        texts.sparkSession, pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets, "set").select("th", "set")
+        texts.sparkSession, pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct().join(sets.select("set", "th"), "set").select("th", "set")
     )
 
-    @F.pandas_udf("array<long>")
-    def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    held = texts.join(small_side(wanted, spec.broadcast_rows), "th").groupBy("set").agg(F.first("text").alias("text"))
+    side = lambda x: held.select(F.col("set").alias(x), F.col("text").alias(f"t{x}"))
+
+    @F.arrow_udf("boolean")
+    def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         hashes = _WordHash()
-        for batch in batches:
-            yield pd.Series([shingles(t, spec.n, hashes).view(np.int64) for t in batch])
+        for left, right in batches:
+            out = []
+            for t, u in zip(left, right):
+                x, y = shingles(t.as_py(), spec.n, hashes), shingles(u.as_py(), spec.n, hashes)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(100 * both >= spec.percent * (len(x) + len(y) - both))
+            yield pa.array(out, pa.bool_())
 
-    held = (
-        texts.join(small_side(wanted, spec.broadcast_rows), "th")
-        .groupBy("set")
-        .agg(F.first("text").alias("text"))
-        .select("set", tokens("text").alias("tokens"))
-    )
-    side = lambda x: held.select(F.col("set").alias(x), F.col("tokens").alias(f"t{x}"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(100 * both >= spec.percent * (F.size("ta") + F.size("tb") - both)).select("a", "b")
+    # texts travel, not their sets of hashes: they are smaller and compress
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(linked("ta", "tb")).select("a", "b")
 
 
 def _links(texts: DataFrame, profiles: DataFrame, spec: JaccardSpec) -> DataFrame:
     """(node, root) over set hashes; sets without links are left out."""
     spark = texts.sparkSession
+    # one row of each set stands for it; its signatures stay where they are stored and are read from there
     nodes = shared_table(
-        spark, profiles.where("n > 0").groupBy("set").agg(*[F.first(c).alias(c) for c in ("n", "rare", "sketch", "signatures", "th")])
+        spark, profiles.where("n > 0").groupBy("set").agg(F.min("rid").alias("rid"), *[F.first(c).alias(c) for c in ("n", "rare", "sketch", "histogram", "th")])
     )
-    postings = nodes.select(F.explode("signatures").alias("sig"), "set")
-    shared = postings.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig")
+    stored = profiles.where("n > 0").select("rid", "set", "signatures")
+    postings = stored.join(small_side(nodes.select("rid"), spec.broadcast_ids), "rid").select(F.explode("signatures").alias("sig"), "set")
+    shared = shared_table(spark, postings.groupBy("sig").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("sig"))
     facts = nodes.select("set", "n", "rare", *[F.col("sketch")[i].alias(f"s{i}") for i in range(spec.sketch_longs)])
     members = shared_table(spark, postings.join(shared, "sig").join(facts, "set"))
-    sets = nodes.select("set", "th")
+    sets = nodes.select("set", "n", "histogram", "th")
 
     # each signature's members against its most central one
     names = ["rare", "set", "n", *[f"s{i}" for i in range(spec.sketch_longs)]]
@@ -269,20 +300,22 @@ def ngram_groups(docs: DataFrame, spec: JaccardSpec = JaccardSpec()) -> DataFram
     keep = [c for c in docs.columns if c not in ("n_shingles", "component_id", "group_id")]
     plain = docs.select(*[F.col(f"`{c}`") for c in keep])
     texts = plain.select(F.xxhash64("text").alias("th"), "text")
-    profiles = shared_table(spark, _profiles(plain.select("doc_id", F.xxhash64("text").alias("th"), "text"), spec))
+    profiles = _profiles(plain.select("doc_id", F.xxhash64("text").alias("th"), "text"), spec)
+    profiles = shared_table(spark, profiles.withColumn("rid", F.monotonically_increasing_id()))  # numbered once, as stored
     roots = _links(texts, profiles, spec)
     ids = profiles.where("n > 0").groupBy("set").agg(F.min("doc_id").alias("least"))
     of = ids.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = of.groupBy("root").agg(F.min("least").alias("least"))
     named = of.drop("least").join(least, "root")
-    classes = profiles.where("n > 0").select("th", "set", "n").distinct().join(named, "set").select("th", "n", "root", "least")
-    keyed = plain.withColumn(fresh("th"), F.xxhash64("text"))
-    joined = keyed.join(classes, F.col(fresh("th")) == F.col("th"), "left")
+    classes = profiles.where("n > 0").select("th", "set", "n").distinct().join(named, "set")
+    th, n, root, first = (fresh(x) for x in ("th", "n", "root", "least"))
+    classes = classes.select(F.col("th").alias(fresh("of")), F.col("n").alias(n), F.col("root").alias(root), F.col("least").alias(first))
+    joined = plain.withColumn(th, F.xxhash64("text")).join(classes, F.col(th) == F.col(fresh("of")), "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in keep],
-        F.coalesce("n", F.lit(0)).cast("long").alias("n_shingles"),
-        F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
-        F.col("root").alias("group_id"),
+        F.coalesce(n, F.lit(0)).cast("long").alias("n_shingles"),
+        F.when(F.col(n).isNull(), F.col("doc_id")).otherwise(F.col(first)).alias("component_id"),
+        F.col(root).alias("group_id"),
     )
 
 

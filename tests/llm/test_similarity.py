@@ -49,8 +49,8 @@ def test_join_matches_brute_force_with_rare_and_frequent_tokens(spark):
     sets = word_sets(rows)
     want = groups(sets, similar(sets, 90))
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    for frequent_at, table_bits in ((0, 24), (3, 24), (10_000, 24), (5, 8)):
-        got = ngram_groups(df, JaccardSpec(frequent_at=frequent_at, table_bits=table_bits)).collect()
+    for frequent_at, table_bits, pairs_from in ((0, 24, 512), (3, 24, 512), (10_000, 24, 64), (5, 8, 512)):
+        got = ngram_groups(df, JaccardSpec(frequent_at=frequent_at, table_bits=table_bits, pairs_from=pairs_from)).collect()
         assert {r["doc_id"]: r["component_id"] for r in got} == want, frequent_at
         assert {r["doc_id"]: r["n_shingles"] for r in got} == {k: len(s) for k, s in sets.items()}
     wide = word_sets(rows, 5)
@@ -63,8 +63,8 @@ def test_join_matches_brute_force_with_rare_and_frequent_tokens(spark):
 def test_no_allowed_difference_escapes_the_signatures():
     """Whatever few tokens two sets differ in, their signatures meet."""
     rng = np.random.default_rng(1)
-    for frequent_share, percent in itertools.product((0.0, 0.5, 0.9, 1.0), (80, 90)):
-        spec = JaccardSpec(percent=percent)
+    for frequent_share, percent, pairs_from in itertools.product((0.0, 0.5, 0.9, 1.0), (80, 90), (32, 128, 512)):
+        spec = JaccardSpec(percent=percent, pairs_from=pairs_from)
         flags = rng.random(1 << spec.table_bits) < frequent_share
         for _ in range(60):
             n = int(rng.integers(2, 300))

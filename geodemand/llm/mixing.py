@@ -187,7 +187,8 @@ def mix_documents(docs: DataFrame, spec: MixSpec = MixSpec(), weights=default_we
     shared = F.least(last + 1, (F.col(BLOCK) + 1) * spec.block) - F.greatest(F.col(OFF), F.col(BLOCK) * spec.block)
     taken = (
         parts.withColumn("shared", shared)
-        .join(block_uses(spark, plans, spec), [SRC, BLOCK])
+        # the planner cannot see how many slots the counts explode into: without the hint it would broadcast them
+        .join(block_uses(spark, plans, spec).hint("merge"), [SRC, BLOCK])
         .groupBy(SRC, BUCKET, NUMBER)
         .agg(F.sum(F.col("uses") * F.col("shared")).alias(TAKEN))
     )

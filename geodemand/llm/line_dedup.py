@@ -6,9 +6,10 @@ flips; signature bands propose candidates with high recall; candidates are
 verified by exact Jaccard similarity; distributed union-find over the verified
 links gives components, and one line per component is kept.
 
-Within a band bucket, lines are first verified against one of them; then, with
-the components known, across components only, where an exact bound (size and
-parity-sketch distance) inside the join discards hopeless pairs. So a bucket of
+Within a band bucket, lines are first verified against one of them, then those
+still apart against two others in turn; then, with the components known, across components
+only. An exact bound (size and parity-sketch distance) discards hopeless pairs
+before they are verified, in the last step inside the join. So a bucket of
 thousands of similar lines never turns into all pairs.
 """
 
@@ -35,7 +36,7 @@ class LineSpec:
     percent: int = 80
     bands: int = 9
     rows: int = 3
-    sketch_longs: int = 8
+    sketch_longs: int = 32
     broadcast_rows: int = 500_000
     seed: int = 1
 
@@ -80,27 +81,46 @@ def band_keys(distinct: DataFrame, spec: LineSpec) -> DataFrame:
     return least.select("lid", F.array(*[F.xxhash64(F.lit(b), *[f"m{b * spec.rows + r}" for r in range(spec.rows)]) for b in range(spec.bands)]).alias("bands"))
 
 
-def _texts(lines: DataFrame, wanted: DataFrame, spec: LineSpec) -> DataFrame:
-    """(lid, line) of the wanted line hashes, read again from the source."""
-    wanted = shared_table(lines.sparkSession, wanted.distinct())
-    return lines.select("lid", "line").join(small_side(wanted, spec.broadcast_rows), "lid").groupBy("lid").agg(F.first("line").alias("line"))
+def _possible(spec: LineSpec, a: str = "a", b: str = "b") -> Column:
+    """Necessary for a link: sizes near enough, and sketches no further apart than two such sets can be."""
+    na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = functools.reduce(operator.add, [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(spec.sketch_longs)])
+    return (100 * F.least(na, nb) >= spec.percent * F.greatest(na, nb)) & ((100 + spec.percent) * apart <= (100 - spec.percent) * (na + nb))
 
 
-def _verified(pairs: DataFrame, lines: DataFrame, spec: LineSpec) -> DataFrame:
-    """Those of the distinct pairs (a, b) whose n-gram sets are similar enough."""
-    held = shared_table(lines.sparkSession, _texts(lines, pairs.select(F.explode(F.array("a", "b")).alias("lid")), spec))
-    side = lambda x: held.select(F.col("lid").alias(x), F.col("line").alias(f"l{x}"))
+def _sketches(texts: DataFrame, spec: LineSpec) -> DataFrame:
+    """(lid, n, s0..): set size and parity sketch of each line."""
+    each = texts.select("lid", F.explode(grams(F.col("line"), spec.n)).alias("h"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
+    word = F.pmod(F.shiftright("h", 6), F.lit(spec.sketch_longs))
+    return each.select("lid", bit.alias("bit"), word.alias("word")).groupBy("lid").agg(
+        F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(spec.sketch_longs)]
+    )
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, spec: LineSpec) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose n-gram sets are similar enough, by exact count."""
+    side = lambda x: texts.select(F.col("lid").alias(x), F.col("line").alias(f"l{x}"))
     sets = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", grams(F.col("la"), spec.n).alias("ga"), grams(F.col("lb"), spec.n).alias("gb"))
     both = F.size(F.array_intersect("ga", "gb"))
     return sets.where(100 * both >= spec.percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
 
 
-def _sketches(lines: DataFrame, wanted: DataFrame, spec: LineSpec) -> DataFrame:
-    """(lid, n, s0..): set size and parity sketch of the wanted lines."""
-    each = _texts(lines, wanted, spec).select("lid", F.explode(grams(F.col("line"), spec.n)).alias("h"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
-    word = F.pmod(F.shiftright("h", 6), F.lit(spec.sketch_longs))
-    return each.groupBy("lid").agg(F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.when(word == i, bit).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(spec.sketch_longs)])
+def _hub_links(members: DataFrame, hub: Column, facts: DataFrame, texts: DataFrame, spec: LineSpec) -> DataFrame:
+    """Verified links between each bucket's hub line and its lines of other components (columns bk, lid, root)."""
+    hubs = members.groupBy("bk").agg(hub.alias("hub"))
+    facing = members.join(hubs, "bk").where(F.col("root") != F.col("hub.root")).select(F.least("lid", "hub.lid").alias("x"), F.greatest("lid", "hub.lid").alias("y")).distinct()
+    near = facing.join(facts.alias("a"), F.col("x") == F.col("a.lid")).join(facts.alias("b"), F.col("y") == F.col("b.lid")).where(_possible(spec))
+    pairs = shared_table(members.sparkSession, near.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return _linked(pairs, texts, spec)
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """Lines of the buckets that still hold more than one component, with their components."""
+    spark = members.sparkSession
+    now = members.select("bk", "lid").join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid"))
+    mixed = now.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bk")
+    return shared_table(spark, now.join(mixed, "bk").select("bk", "lid", "root"))
 
 
 def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
@@ -111,25 +131,28 @@ def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
     postings = nodes.select("lid", F.explode("bands").alias("bk"))
     shared = shared_table(spark, postings.groupBy("bk").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bk"))
     members = shared_table(spark, postings.join(small_side(shared, spec.broadcast_rows), "bk"))
-
-    hubs = members.groupBy("bk").agg(F.min("lid").alias("a"))
-    near = members.join(hubs, "bk").where(F.col("lid") != F.col("a")).select("a", F.col("lid").alias("b")).distinct()
-    first = _verified(shared_table(spark, near), lines, spec).checkpoint()
-    roots = connected_components(first, "a", "b")
-
-    labelled = members.join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid"))
-    # apart from the verified hub pairs, only buckets of three and more can hold an unseen pair
-    mixed = labelled.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("held")).where("lo <> hi and held > 2")
-    rest = shared_table(spark, labelled.join(mixed.select("bk"), "bk"))
-    rest = shared_table(spark, rest.join(_sketches(lines, rest.select("lid"), spec), "lid"))
+    # the lines that share a bucket are read again from the source, once
+    wanted = shared_table(spark, members.select("lid").distinct())
+    texts = shared_table(spark, lines.select("lid", "line").join(small_side(wanted, spec.broadcast_rows), "lid").groupBy("lid").agg(F.first("line").alias("line")))
+    facts = shared_table(spark, _sketches(texts, spec))
+
+    links = roots = None
+    apart = members.withColumn("root", F.col("lid"))
+    middle = lambda place: F.min_by(place, F.xxhash64("lid", F.lit(spec.seed)))
+    for hub in (F.min, F.max, middle):
+        new = _hub_links(apart, hub(F.struct("lid", "root")), facts, texts, spec)
+        links = new if links is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)
+        roots = connected_components(links, "a", "b")
+        apart = _rooted(apart, roots)
+    bands = nodes.select("lid", *[F.col("bands")[i].alias(f"b{i}") for i in range(spec.bands)], "bands")
+    rest = apart.join(facts, "lid").join(bands, "lid").withColumn("band", F.array_position("bands", F.col("bk")) - 1).drop("bands")
+    rest = shared_table(spark, rest)
     a, b = rest.alias("a"), rest.alias("b")
-    apart = functools.reduce(operator.add, [F.bit_count(F.col(f"a.s{i}").bitwiseXOR(F.col(f"b.s{i}"))) for i in range(spec.sketch_longs)])
-    na, nb = F.col("a.n"), F.col("b.n")
-    possible = (100 * F.least(na, nb) >= spec.percent * F.greatest(na, nb)) & ((100 + spec.percent) * apart <= (100 - spec.percent) * (na + nb))
-    across = a.join(b, (F.col("a.bk") == F.col("b.bk")) & (F.col("a.lid") < F.col("b.lid")) & (F.col("a.root") != F.col("b.root")) & possible)
-    pairs = across.select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")).distinct()
-    second = _verified(shared_table(spark, pairs), lines, spec).checkpoint()
-    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second), "a", "b")
+    # a pair that shares several buckets is looked at in the first of them
+    is_first = functools.reduce(operator.and_, [(F.col("a.band") <= i) | (F.col(f"a.b{i}") != F.col(f"b.b{i}")) for i in range(spec.bands)])
+    across = a.join(b, (F.col("a.bk") == F.col("b.bk")) & (F.col("a.lid") < F.col("b.lid")) & (F.col("a.root") != F.col("b.root")) & is_first & _possible(spec))
+    pairs = shared_table(spark, across.select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")))
+    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_linked(pairs, texts, spec)), "a", "b")
 
 
 def line_classes(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
@@ -142,24 +165,13 @@ def line_classes(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     """
     lines = lines_of(docs)
     roots = line_links(lines, spec)
-    slim = lines.select("doc_id", "line_no", "lid")
-    named = slim.where("lid is not null").join(roots, F.col("lid") == F.col("node"), "left").withColumn("component", F.coalesce("root", "lid"))
-    named = shared_table(docs.sparkSession, named.select("doc_id", "line_no", "lid", "component"))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
-    first = named.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("held")).select(F.col("component").alias("c"), "first", "held")
-    # rows that agree on document and line number (repeated rows) are numbered among the few that share a place
-    at = F.col("first")
-    judged = named.join(first, F.col("component") == F.col("c")).withColumn("is_first", (F.col("doc_id").eqNullSafe(at["d"])) & (F.col("line_no") == at["l"]))
-    copies = judged.where("is_first and held > 1").groupBy("component").agg(F.count(F.lit(1)).alias("same"), F.min("lid").alias("one")).where("same > 1")
-    out = judged.select("doc_id", "line_no", F.col("lid").alias("line_hash"), "component", F.col("held").alias("n_class_lines"), F.col("is_first").alias("kept"))
-    single = out.join(copies.select("component"), "component", "left_anti").select(*out.columns)
-    many = out.join(copies.select("component"), "component", "left_semi").select(*out.columns)
-    losers = many.where("not kept")
-    chosen = many.where("kept").groupBy("component", "doc_id", "line_no", "n_class_lines").agg(F.min("line_hash").alias("line_hash"), F.count(F.lit(1)).alias("same"))
-    repeats = chosen.select(
-        "doc_id", "line_no", "line_hash", "component", "n_class_lines", F.explode(F.sequence(F.lit(1), F.col("same").cast("int"))).alias("i")
-    ).select("doc_id", "line_no", "line_hash", "component", "n_class_lines", (F.col("i") == 1).alias("kept"))
-    blank = slim.where("lid is null").select(
-        "doc_id", "line_no", F.lit(None).cast("long").alias("line_hash"), F.lit(None).cast("long").alias("component"), F.lit(None).cast("long").alias("n_class_lines"), F.lit(True).alias("kept")
-    )
-    return single.unionByName(losers).unionByName(repeats).unionByName(blank)
+    found = lines.where("lid is not null").select("doc_id", "line_no", "lid")
+    named = found.join(small_side(roots, spec.broadcast_rows), F.col("lid") == F.col("node"), "left").select("doc_id", "line_no", "lid", F.coalesce("root", "lid").alias("component"))
+    # repeated rows agree in all of these; they are numbered when written out
+    counted = named.groupBy("component", "doc_id", "line_no", "lid").agg(F.count(F.lit(1)).alias("times"))
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("line_no"), F.col("lid"))
+    first = counted.groupBy("component").agg(F.min(place).alias("first"), F.sum("times").alias("held")).withColumnRenamed("component", "c")
+    each = counted.join(first, F.col("component") == F.col("c")).select("*", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("i"))
+    out = each.select("doc_id", "line_no", F.col("lid").alias("line_hash"), "component", F.col("held").alias("n_class_lines"), (place.eqNullSafe(F.col("first")) & (F.col("i") == 1)).alias("kept"))
+    nothing = [F.lit(None).cast("long").alias(c) for c in ("line_hash", "component", "n_class_lines")]
+    return out.unionByName(lines.where("lid is null").select("doc_id", "line_no", *nothing, F.lit(True).alias("kept")))

@@ -5,7 +5,7 @@ lower-cased, so a benchmark question and a re-parameterised copy of it share
 their template. Windows of template tokens are hash-joined to the benchmark's
 windows; a document contains an item when enough of the item's windows occur
 in it and the slots are consistent: one value of the item stands for one value
-in the document throughout.
+in the document throughout, or throughout one of the places where the item occurs.
 """
 
 from __future__ import annotations
@@ -22,13 +22,16 @@ from .common import fresh, shared_table, small_side
 class TemplateSpec:
     """Windows of ``window`` tokens (an item with fewer tokens is one window), of which at least
     ``min_words`` are words; an item without such a window is too short to be told. A document contains an item when at least ``min_cover`` of the item's
-    windows occur and at least ``min_consistent`` of its slot values keep one counterpart.
+    windows occur and at least ``min_consistent`` of its slot values keep one counterpart, in the whole
+    document or in one occurrence: the windows at one distance from the item's own positions, or up to
+    ``max_shift`` tokens off it where words were put in or left out.
     The benchmark's windows are broadcast up to ``broadcast_rows``, else joined by shuffle."""
 
     window: int = 8
     min_words: int = 4
     min_cover: float = 0.4
     min_consistent: float = 0.8
+    max_shift: int = 8
     broadcast_rows: int = 500_000
 
 
@@ -108,10 +111,57 @@ def benchmark_windows(benchmark: DataFrame, spec: TemplateSpec) -> tuple[DataFra
     return kept.join(counts, F.col("item_id").eqNullSafe(F.col("i"))).select("h", "item_id", "item_at", "slots", "n_windows"), lengths
 
 
+def _same(a: DataFrame, b: DataFrame, part: list[str], how: str = "left") -> DataFrame:
+    """``a`` joined to ``b`` on the columns ``part``, of which nulls are equal."""
+    renamed = b.select(*[F.col(c).alias(fresh(c)) for c in part], *[c for c in b.columns if c not in part])
+    return a.join(renamed, [F.col(c).eqNullSafe(F.col(fresh(c))) for c in part], how).drop(*[fresh(c) for c in part])
+
+
+def _agreement(slots: DataFrame, part: list[str]) -> DataFrame:
+    """(part, n_slots, single, n_changed, clear) of distinct slots (part, kind, value, stands): a slot value
+    keeps one counterpart, and shares it with no other value of its kind."""
+    each = slots.groupBy(*part, "kind", "value").agg(F.count(F.lit(1)).alias("ways"), F.max((F.col("value") != F.col("stands")).cast("int")).alias("changed"))
+    taken = slots.groupBy(*part, "kind", "stands").agg(F.count(F.lit(1)).alias("users"))
+    agreed = each.groupBy(*part).agg(F.count(F.lit(1)).alias("n_slots"), F.sum((F.col("ways") == 1).cast("int")).alias("single"), F.sum("changed").alias("n_changed"))
+    clear = taken.groupBy(*part).agg((F.sum((F.col("users") == 1).cast("int")) / F.count(F.lit(1))).alias("clear"))
+    return _same(agreed, clear, part)
+
+
+def _consistent(spec: TemplateSpec) -> Column:
+    return F.coalesce((F.col("single") >= spec.min_consistent * F.col("n_slots")) & (F.col("clear") >= spec.min_consistent), F.lit(True))
+
+
+def _occurrences(mixed: DataFrame, hits: DataFrame, index: DataFrame, texts: DataFrame, spec: TemplateSpec) -> DataFrame:
+    """(text_hash, item_id, n_found, n_slots, n_changed) of the best single occurrence that passes, of the
+    texts and items in ``mixed``, whose slots do not agree over the whole text."""
+    part = ["text_hash", "item_id"]
+    mixed = shared_table(mixed.sparkSession, mixed)
+    mine = _same(hits.select(*part, "at", "item_at").distinct(), small_side(mixed, spec.broadcast_rows), part, "inner")
+    slots_of = index.select("item_id", "item_at", "slots").distinct()
+    mine = _same(mine, small_side(slots_of, spec.broadcast_rows), ["item_id", "item_at"], "inner")
+    own = texts.select("text_hash", "text").join(small_side(mixed.select("text_hash").distinct(), spec.broadcast_rows), "text_hash").groupBy("text_hash").agg(F.first("text").alias("text"))
+    pair = lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"), F.lower(F.get("raws", F.col("at") + s["at"])).alias("stands"))
+    mine = _tokens(own, "text_hash").drop("tags").join(mine, "text_hash").select(*part, "n_windows", "item_at", (F.col("at") - F.col("item_at")).alias("d"), F.transform("slots", pair).alias("pairs"))
+    # an occurrence lies at one distance, or near it; of an item window's places it has the nearest
+    place = lambda d, reach: F.struct(F.lit(reach).alias("reach"), d.alias("anchor"))
+    near = F.transform(F.sequence(F.col("d") - spec.max_shift, F.col("d") + spec.max_shift), lambda d: place(d, spec.max_shift))
+    exact = F.array(place(F.col("d"), 0))
+    mine = mine.withColumn("place", F.explode(F.concat(exact, near) if spec.max_shift else exact)).select("*", "place.*")
+    here = [*part, "reach", "anchor"]
+    nearest = F.min(F.struct(F.abs(F.col("d") - F.col("anchor")).alias("off"), "d", "pairs")).alias("one")
+    chosen = shared_table(mixed.sparkSession, mine.groupBy(*here, "n_windows", "item_at").agg(nearest).select(*here, "n_windows", "one.pairs"))
+    found = chosen.groupBy(*here, "n_windows").agg(F.count(F.lit(1)).alias("n_found")).where(F.col("n_found") >= spec.min_cover * F.col("n_windows"))
+    slots = chosen.select(*here, F.explode("pairs").alias("s")).select(*here, "s.*").distinct()
+    passed = _same(found, _agreement(slots, here), here).where(_consistent(spec))
+    facts = F.struct("n_found", (-F.coalesce("n_changed", F.lit(0))).alias("kept"), "n_slots", "n_changed")
+    return passed.groupBy(*part).agg(F.max(facts).alias("best")).select(*part, "best.n_found", "best.n_slots", "best.n_changed")
+
+
 def contained_items(docs: DataFrame, benchmark: DataFrame, spec: TemplateSpec = TemplateSpec()) -> DataFrame:
     """One row per document and benchmark item that it contains: doc_id, text_hash, item_id, n_windows,
     n_found, cover, n_slots, n_changed (slot values that differ from the item's) and consistent.
 
+    The figures are those of the whole document, or of the best occurrence where only single ones pass.
     Repeated rows with equal doc_id and text give one row. Null and empty texts
     contain nothing; null and empty items are contained in nothing. Without
     items or documents the result is empty.
@@ -134,16 +184,15 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, spec: TemplateSpec =
         "text_hash", "item_id", F.explode(F.transform("slots", lambda s: F.struct(s["kind"].alias("kind"), F.lower(s["value"]).alias("value"), F.lower(F.get("raws", F.col("at") + s["at"])).alias("stands")))).alias("s")
     )
     slots = pairs.select("text_hash", "item_id", "s.*").distinct()
-    # a slot value keeps one counterpart, and shares it with no other value of its kind
-    part = ["text_hash", "item_id"]
-    each = slots.groupBy(*part, "kind", "value").agg(F.count(F.lit(1)).alias("ways"), F.max((F.col("value") != F.col("stands")).cast("int")).alias("changed"))
-    taken = slots.groupBy(*part, "kind", "stands").agg(F.count(F.lit(1)).alias("users"))
-    agreed = each.groupBy(*part).agg(F.count(F.lit(1)).alias("n_slots"), F.sum((F.col("ways") == 1).cast("int")).alias("single"), F.sum("changed").alias("n_changed"))
-    clear = taken.groupBy(*part).agg((F.sum((F.col("users") == 1).cast("int")) / F.count(F.lit(1))).alias("clear"))
-    same = lambda a, b: a.join(b.select(*[F.col(c).alias(fresh(c)) for c in part], *[c for c in b.columns if c not in part]), [F.col(c).eqNullSafe(F.col(fresh(c))) for c in part], "left").drop(*[fresh(c) for c in part])
-    out = same(same(found, agreed), clear)
-    consistent = F.coalesce((F.col("single") >= spec.min_consistent * F.col("n_slots")) & (F.col("clear") >= spec.min_consistent), F.lit(True))
-    return out.where(consistent).select(
+    judged = _same(found, _agreement(slots, ["text_hash", "item_id"]), ["text_hash", "item_id"])
+    judged = shared_table(spark, judged.withColumn("agrees", _consistent(spec)))
+    facts = ["n_windows", "n_found", "n_slots", "n_changed"]
+    out = judged.where("agrees").select(*key, *facts)
+    mixed = judged.where("not agrees")
+    if not mixed.isEmpty():
+        one = _occurrences(mixed.select("text_hash", "item_id", "n_windows").distinct(), hits, index, texts, spec)
+        out = out.unionByName(_same(mixed.select(*key, "n_windows"), one, ["text_hash", "item_id"], "inner").select(*key, *facts))
+    return out.select(
         *key, "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("cover"),
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).cast("long").alias("n_changed"),
     )

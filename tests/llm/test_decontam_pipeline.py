@@ -48,6 +48,20 @@ def test_inconsistent_slots_are_not_the_question(spark):
     assert not found(spark, PAD + mixed, item)
 
 
+def test_each_occurrence_counts_by_itself(spark):
+    variant = lambda name, a, b, c: QUESTION.replace("Alice", name).replace("12", a).replace("5 kg", f"{b} lb").replace(" 3 ", f" {c} ")
+    sheet = [QUESTION, variant("Bob", "40", "9", "8"), variant("Carol", "31", "7", "6")]
+    for text in (PAD.join(sheet), " ".join(sheet[1:]), PAD.join(sheet).replace("at the market", "at the old town market")):
+        out = found(spark, PAD + text + " " + PAD)
+        assert [r["item_id"] for r in out] == [7] and out[0]["n_slots"] == 6, text
+    assert found(spark, PAD.join(sheet))[0]["n_changed"] == 0
+    item = "At the school fair today we see that Tom has 3 apples and Ann has 5 apples and Bob has 7 apples and Eve has 9 apples and Joe has 2 apples in all."
+    assert [(r["item_id"], r["n_changed"]) for r in found(spark, PAD + item + " " + PAD, item)] == [(7, 0)]
+    assert found(spark, PAD + item.replace("Tom", "Sam").replace("5", "8") + " " + PAD, item)
+    mixed = item.replace("5", "3").replace("7", "3").replace("9", "3").replace("Ann", "Tom").replace("Eve", "Tom").replace("Joe", "Tom")
+    assert not found(spark, PAD + mixed + " " + PAD, item)
+
+
 def test_a_short_overlap_is_left_alone(spark):
     assert not found(spark, PAD + " ".join(QUESTION.split()[:12]) + " " + PAD)
     assert not found(spark, PAD)

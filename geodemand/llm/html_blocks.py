@@ -27,8 +27,20 @@ from .common import unit_hash
 
 # HTML's element classes.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img".split())
-DROPPED = "script style noscript template svg math iframe object canvas head title textarea select option button".split()
+INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img svg math".split())
+# Text without markup in it, up to the closing tag; without that tag they are elements like any other.
+RAW = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("title", "textarea", "iframe")}
+# What a head may hold; any other element or text opens the body.
+IN_HEAD = set("html head title base basefont bgsound link meta noscript script style template".split())
+# Controls end with the next block. What a button or template holds goes only if its own closing tag is there.
+CONTROLS = {"button", "select", "textarea"}
+UNSEEN = {"button", "template"}
+# Blocks that end an open svg or math, and the parts of those two that are not prose.
+BREAKOUT = set(
+    "address article aside blockquote body button center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html "
+    "li main menu nav noscript ol p pre section select summary table tbody td th thead tr ul".split()
+)
+LABELS = {"text", "desc", "metadata", "annotation", "annotation-xml"}
 
 # What the markup itself calls a part of the page. Used to label training blocks only.
 ASIDE_TAGS = set("nav header footer aside form fieldset menu dialog button".split())
@@ -50,7 +62,7 @@ AS_ASIDE = [
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|iframe|svg|math|select|button|object|canvas)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style)\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)",
     re.S | re.I,
 )
@@ -89,8 +101,10 @@ def blocks_of(page: str | None) -> list[Block]:
     """Leaf blocks of a whole page in order; broken markup is read as browsers roughly do."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []
+    before: list[tuple[int, int]] = []  # number of blocks and ``foreign`` as each open element began
     parts: list[tuple[str, bool]] = []
     at, page = 0, page or ""
+    foreign = -1  # where on the stack the svg or math is that holds this place
 
     def flush() -> None:
         if parts:
@@ -103,46 +117,81 @@ def blocks_of(page: str | None) -> list[Block]:
 
     def say(text: str) -> None:
         if text:
+            if foreign >= 0 and any(t in LABELS for t, _ in stack[foreign:]):
+                return
+            if stack and stack[-1][0] == "head" and text.strip():
+                cut(len(stack) - 1)
             if not parts:
                 stack_at[:] = stack
             elif not parts[0][0].strip() and text.strip():
                 stack_at[:] = stack
             parts.append((text, any(t == "a" for t, _ in stack)))
 
-    for m in TOKEN.finditer(page):
+    def cut(k: int) -> None:
+        """Close the elements from the k-th on."""
+        nonlocal foreign
+        foreign = before[k][1]
+        del stack[k:], before[k:]
+
+    def end_first(tags: set[str]) -> None:
+        for k, (t, _) in enumerate(stack):
+            if t in tags:
+                cut(k)
+                break
+
+    unclosed: set[str] = set()
+    while m := TOKEN.search(page, at):
         say(page[at : m.start()])
         at = m.end()
         if m["raw"]:
-            if m["raw"].lower() not in ("svg", "math"):
+            if foreign < 0:
                 flush()
             continue
         if not m["tag"]:
             continue
         tag = m["tag"].lower()
-        if tag not in INLINE:
+        if tag not in INLINE and (foreign < 0 or tag in BREAKOUT):
             flush()
         if m["close"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    if tag in UNSEEN:
+                        del out[before[k][0] :]
+                    cut(k)
                     break
             continue
+        closed = m["attrs"].rstrip().endswith("/")
+        if tag in RAW:
+            end = None if closed or tag in unclosed else RAW[tag].search(page, at)
+            if end:
+                at = end.end()
+            if end or closed:
+                continue
+            unclosed.add(tag)
+        if tag not in IN_HEAD and foreign < 0:
+            end_first({"head", "title"})
         if tag in VOID:
             continue
+        while foreign >= 0 and tag in BREAKOUT:
+            cut(foreign)
+        if tag not in INLINE and tag not in ("option", "optgroup") and foreign < 0:
+            end_first(CONTROLS)
         if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    del stack[k:]
+                    cut(k)
                     break
                 if stack[k][0] not in INLINE and stack[k][0] != "p":
                     break
         names = " ".join(v.strip("\"'").lower() for k, v in ATTR.findall(m["attrs"]) if k.lower() in ("class", "id", "role"))
-        if not m["attrs"].rstrip().endswith("/") or tag not in INLINE:
+        if not closed or (tag not in INLINE and foreign < 0):
+            before.append((len(out), foreign))
+            foreign = len(stack) if tag in ("svg", "math") else -1 if tag == "foreignobject" else foreign
             stack.append((tag, names))
     tail = page[at:]
     say(tail[: tail.rfind("<")] if re.search(r"<[a-zA-Z/!][^>]*\Z", tail) else tail)
     flush()
-    return [b for b in out if not any(t in ("head", "title") for t, _ in b.path)]
+    return [b for b in out if not any(t in ("head", "title", "select") for t, _ in b.path)]
 
 
 def weak_label(path: tuple[tuple[str, str], ...]) -> int:

@@ -29,6 +29,28 @@ def test_blocks(page, want):
     assert texts(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p>one <svg class='i' viewBox='0 0 1 1'/> two</p><p>three</p><svg></svg>", ["one two", "three"]),
+    ("<p>one <svg><title>no</title><path d='M0'/><g><text>no</text></g></svg> two</p><p>three</p>", ["one two", "three"]),
+    ("<div><svg><path></div><article><p>kept</p></article><svg></svg>", ["kept"]), ("<svg><p>kept</p>", ["kept"]),
+    ("<svg><foreignObject><p>kept</p></foreignObject><text>no</text></svg><p>also</p>", ["kept", "also"]),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p>", ["so x=2 holds"]),
+    ("<div><button>Share</div><p>kept</p><button>no</button>", ["Share", "kept"]), ("<button>Share<p>kept</p>", ["Share", "kept"]),
+    ("<p>a</p><select><option>no<option>no<p>kept</p>", ["a", "kept"]), ("<div><select><option>no</div>kept", ["kept"]),
+    ("<object><p>kept</p></object><canvas>kept</canvas><noscript><p>kept</p></noscript><p>kept</p>", ["kept"] * 4),
+    ("<template><p>no</p></template><p>a</p><template><p>kept</p>", ["a", "kept"]),
+    ("<iframe src=x /><p>kept</p><iframe>no</iframe><p>also</p><iframe><p>last</p>", ["kept", "also", "last"]),
+    ("<html><head><title>t</title><meta charset=x><body><p>kept</p></body></html>", ["kept"]), ("<head><title>t</title><p>kept</p>", ["kept"]),
+    ("<head><title>t</title><style>p{}</style>plain words <b>kept</b>", ["plain words kept"]), ("<head><title>lost<body><p>kept</p>", ["kept"]),
+])
+def test_only_furniture_is_dropped(page, want):
+    assert texts(page) == want
+
+
+def test_many_unclosed_elements_take_linear_time():
+    assert texts("<iframe><textarea><svg><button>" * 2_000 + "<p>kept</p>")[-1:] == ["kept"]
+
+
 def test_paths_survive_unclosed_tags():
     blocks = H.blocks_of("<div class='ad'>x</div><article><p><b>one<br><p>two</p></article><footer>end</footer>")
     assert [(b.text, H.weak_label(b.path)) for b in blocks] == [("x", 0), ("one", 1), ("two", 1), ("end", 0)]

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from geodemand.llm.common import fold, shared_table
 from geodemand.llm.langid import identify_language, train_dictionaries
 from geodemand.llm.mixing import mix_documents, mixed_copies
-from geodemand.llm.ngram_join import ngram_groups, one_per_group
+from geodemand.llm.ngram_join import JaccardSpec, ngram_groups, one_per_group
 from geodemand.llm.shards import shard_documents
 from geodemand.llm.template_decontam import without_contained
 
+#: Small classes: at 0.8 the prefixes are twice as long as at 0.9, and so many more pairs would be written.
+NEAR = JaccardSpec(n=5, percent=80, class_bits=2)
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6, learning from this stage's own labelled documents; those it rejects go."""
@@ -26,8 +29,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8 at its own setting (three words, 0.9): the document with the least id of each group stays."""
-    return one_per_group(ngram_groups(docs), docs.columns)
+    """Operator 8 at five words and 0.8: the document with the least id of each group stays."""
+    return one_per_group(ngram_groups(docs, NEAR), docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

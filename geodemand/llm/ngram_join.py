@@ -39,7 +39,8 @@ class JaccardSpec:
     """``frequent_at``: a token is frequent above this count, or above the total count divided by
     ``2**frequent_bits`` if that is more, which bounds the number of frequent tokens.
     In sets of at least ``pairs_from`` tokens (a power of two), whose prefixes are so long that any two
-    of them share some token, every token counts as frequent.
+    of them share some token, every token counts as frequent. ``class_bits``: a class has about
+    ``2**class_bits`` tokens of a set; the lower, the fewer pairs a long prefix gives.
     ``count_slice``: about how many tokens one counting task merges."""
 
     n: int = 3
@@ -48,6 +49,7 @@ class JaccardSpec:
     frequent_bits: int = 20
     table_bits: int = 24
     pairs_from: int = 512
+    class_bits: int = 4
     count_slice: int = 4_000_000
     sketch_longs: int = 8
     histogram: int = 256
@@ -88,9 +90,9 @@ def shingles(text: str | None, n: int, hashes: _WordHash) -> np.ndarray:
     return np.unique(x)
 
 
-def _pair_signatures(rest: np.ndarray, need: int, scale: int) -> np.ndarray:
+def _pair_signatures(rest: np.ndarray, need: int, scale: int, class_bits: int) -> np.ndarray:
     """Pairs within the classes of the shortest prefix of ``rest`` that survives ``need`` losses."""
-    classes = max(1, (1 << scale) >> 4)
+    classes = max(1, (1 << scale) >> class_bits)
     of = (rest >> np.uint64(7)) % np.uint64(classes)
     survivor = np.ones(len(rest), bool)
     survivor[np.unique(of, return_index=True)[1]] = False
@@ -120,11 +122,11 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, spec: JaccardSpec) -> t
     # the partner's size decides the classes: this size's scale, and the next if in reach
     for scale in range(n.bit_length() - 1, (100 * n // spec.percent).bit_length()):
         if 1 << scale >= spec.pairs_from:
-            out.append(_pair_signatures(tokens, need, scale))
+            out.append(_pair_signatures(tokens, need, scale, spec.class_bits))
         elif len(rare) >= need:
             out.append(rare[:need])
         else:
-            out += [rare, _pair_signatures(rest, need - len(rare), scale)]
+            out += [rare, _pair_signatures(rest, need - len(rare), scale, spec.class_bits)]
     return np.concatenate(out), len(rare)
 
 

@@ -1,9 +1,10 @@
 import os
+import random
 import shutil
 from collections import Counter
 
 import pytest
-from helpers import SCHEMA, SF, WORD, awkward_rows, groups, similar
+from helpers import SCHEMA, SF, WORD, awkward_rows, groups, prose, similar
 from test_similarity import word_sets
 
 import corpus_pipeline
@@ -118,6 +119,22 @@ def test_pipeline_stages_decide_as_their_operators(spark):
     assert run == ids[5]
 
 
+def test_near_copies_at_five_words_and_four_fifths_go(spark):
+    rng = random.Random(12)
+    new = lambda n: [prose(rng, 1) + str(rng.randrange(10**6)) for _ in range(n)]
+    rows = []
+    for i in range(20):
+        base = new(200 if i % 2 else 900)
+        changed = list(base)
+        for k in range(4):
+            changed[20 + k * len(base) // 5] += "x"
+        rows += [(10 * i + k, " ".join(t), "en", "a", 1) for k, t in enumerate((base, base + new(len(base) * 3 // 20), changed, base + new(len(base) * 3 // 10)))]
+    out = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA).repartition(5), "")
+    sets = word_sets(rows, 5)
+    kept = sorted(set(groups(sets, similar(sets, 80)).values()))
+    assert kept == sorted(10 * i + k for i in range(20) for k in (0, 3)) and sorted(r["doc_id"] for r in out.collect()) == kept
+
+
 def test_every_stage_takes_awkward_rows(spark, tmp_path):
     bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
     bench.write.parquet(str(tmp_path / "benchmark.parquet"))

@@ -6,6 +6,7 @@ their template. Windows of template tokens are hash-joined to the benchmark's
 windows; a document contains an item when enough of the item's windows occur
 in it and the slots are consistent: one value of the item stands for one value
 in the document throughout, or throughout one of the places where the item occurs.
+Items that templates cannot tell are matched word for word instead.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from .common import fresh, shared_table, small_side
 @dataclass(frozen=True)
 class TemplateSpec:
     """Windows of ``window`` tokens (an item with fewer tokens is one window), of which at least
-    ``min_words`` are words; an item without such a window is too short to be told. A document contains an item when at least ``min_cover`` of the item's
+    ``min_words`` are words; an item without such a window, or in a script without spaces, is matched by windows of its raw
+    tokens, if it has ``min_words`` of them (two characters count as one), else by the whole document. A document contains an item when at least ``min_cover`` of the item's
     windows occur and at least ``min_consistent`` of its slot values keep one counterpart, in the whole
     document or in one occurrence: the windows at one distance from the item's own positions, or up to
     ``max_shift`` tokens off it where words were put in or left out.
@@ -47,6 +49,10 @@ UNITS = (
 TOKEN = "[.!?\\n]+|[0-9]+(?:[.,][0-9]+)*|[\\p{L}\\p{M}\\p{N}]+"
 ENDS = [".", "!", "?", "\n"]
 
+# Letters written without spaces, one token each where items are matched as they are; signs of arithmetic.
+UNSPACED = "\\p{IsHan}\\p{IsHiragana}\\p{IsKatakana}\\p{IsThai}\\p{IsLao}\\p{IsKhmer}\\p{IsMyanmar}"
+RAW_TOKEN = f"[0-9]+(?:[.,][0-9]+)*|[{UNSPACED}]|[\\p{{L}}\\p{{M}}\\p{{N}}&&[^{UNSPACED}]]+|[\\p{{Sm}}*/%^-]"
+
 
 def template(text: Column) -> Column:
     """Array of (tag, raw): template token and the text it came from, in order; empty for null."""
@@ -157,6 +163,44 @@ def _occurrences(mixed: DataFrame, hits: DataFrame, index: DataFrame, texts: Dat
     return passed.groupBy(*part).agg(F.max(facts).alias("best")).select(*part, "best.n_found", "best.n_slots", "best.n_changed")
 
 
+def _raw_tokens(df: DataFrame, *keys: str) -> DataFrame:
+    """(keys, tags) of texts with tokens: lower-case words, numbers, signs and unspaced characters as they are."""
+    return df.select(*keys, F.regexp_extract_all(F.lower("text"), F.lit(RAW_TOKEN), F.lit(0)).alias("tags")).where(F.size("tags") > 0)
+
+
+def untemplated_items(benchmark: DataFrame, spec: TemplateSpec = TemplateSpec()) -> DataFrame:
+    """Distinct (item_id, text) of items that their template cannot tell: no window has enough words, or the script has no spaces."""
+    items = benchmark.where("text is not null").select("item_id", "text").dropDuplicates().withColumn("tags", F.transform(template(F.col("text")), lambda t: t["tag"]))
+    m = F.least(F.size("tags"), F.lit(spec.window))
+    is_word = lambda at: F.size(F.filter(F.slice("tags", at + 1, m), lambda t: ~t.isin(NUMBER, NAME, UNIT))) >= spec.min_words
+    told = F.exists(F.sequence(F.lit(0), F.size("tags") - m), is_word)
+    return items.where(~told | F.rlike("text", F.lit(f"[{UNSPACED}]"))).select("item_id", "text")
+
+
+def _contained_as_they_are(docs: DataFrame, items: DataFrame, spec: TemplateSpec) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_windows, n_found) by raw tokens: enough of an item's windows
+    occur, or an item that is too short for that is the whole document."""
+    key = ["doc_id", "text_hash", "item_id"]
+    tokens = _raw_tokens(items, "item_id")
+    heavy = F.size(F.filter("tags", lambda t: F.rlike(t, F.lit("^[\\p{L}\\p{M}\\p{N}]"))))
+    letters = F.size(F.filter("tags", lambda t: F.rlike(t, F.lit(f"^[{UNSPACED}]"))))
+    tokens = shared_table(items.sparkSession, tokens.withColumn("long", heavy - letters / 2 >= spec.min_words).withColumn("m", F.least(F.size("tags"), F.lit(spec.window))))
+    texts = _raw_tokens(docs, "doc_id", "text_hash")
+    short = tokens.where("not long").select(F.xxhash64("tags").alias("h"), "item_id").distinct()
+    whole = texts.select("doc_id", "text_hash", F.xxhash64("tags").alias("h")).join(small_side(short, spec.broadcast_rows), "h")
+    found = whole.select(*key, F.lit(1).cast("long").alias("n_windows"), F.lit(1).cast("long").alias("n_found")).distinct()
+    tokens = tokens.where("long")
+    lengths = sorted({r[0] for r in tokens.select("m").distinct().collect()})  # at most spec.window values
+    if lengths:
+        index = _windows(tokens, lengths, "item_id", "tags", "m").where(F.col("h") == F.coalesce(*[F.when(F.col("m") == m, _hash(F.col("tags"), F.col("at"), m)) for m in lengths]))
+        index = index.select("h", "item_id", F.col("at").alias("item_at"))
+        index = shared_table(items.sparkSession, _same(index, index.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows")), ["item_id"], "inner"))
+        hits = _windows(texts, lengths, "doc_id", "text_hash").join(small_side(index, spec.broadcast_rows), "h")
+        counted = hits.groupBy(*key, "n_windows").agg(F.countDistinct("item_at").alias("n_found"))
+        found = found.unionByName(counted.where(F.col("n_found") >= spec.min_cover * F.col("n_windows")))
+    return found
+
+
 def contained_items(docs: DataFrame, benchmark: DataFrame, spec: TemplateSpec = TemplateSpec()) -> DataFrame:
     """One row per document and benchmark item that it contains: doc_id, text_hash, item_id, n_windows,
     n_found, cover, n_slots, n_changed (slot values that differ from the item's) and consistent.
@@ -192,6 +236,11 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, spec: TemplateSpec =
     if not mixed.isEmpty():
         one = _occurrences(mixed.select("text_hash", "item_id", "n_windows").distinct(), hits, index, texts, spec)
         out = out.unionByName(_same(mixed.select(*key, "n_windows"), one, ["text_hash", "item_id"], "inner").select(*key, *facts))
+    untold = shared_table(spark, untemplated_items(benchmark, spec))
+    if not untold.isEmpty():
+        more = _contained_as_they_are(texts, untold, spec).withColumn("n_slots", F.lit(0).cast("long")).withColumn("n_changed", F.lit(0).cast("long"))
+        out = out.withColumn("by", F.lit(1)).unionByName(more.withColumn("by", F.lit(0)))
+        out = out.groupBy(*key).agg(F.max(F.struct("by", *facts)).alias("best")).select(*key, "best.*")
     return out.select(
         *key, "n_windows", "n_found", (F.col("n_found") / F.col("n_windows")).alias("cover"),
         F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("n_changed", F.lit(0)).cast("long").alias("n_changed"),

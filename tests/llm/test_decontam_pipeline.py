@@ -63,6 +63,21 @@ def test_each_occurrence_counts_by_itself(spark):
     assert not found(spark, PAD + mixed + " " + PAD, item)
 
 
+def test_items_without_a_template_are_found_as_they_are(spark):
+    items = {
+        1: "12 + 5 * 7 - 30 / 2 = ? 4 * 9 + 61", 2: "Paris London 4 Madrid Rome 7 Vienna Oslo 9 Berlin", 3: "小明有十二个苹果他每天在市场上卖掉五公斤苹果三天后还剩多少",
+        4: "りんごをななつ", 5: "the capital", 6: None, 7: "?!", 8: "ธนาคารแห่งประเทศไทยตั้งอยู่ที่ใด",
+    }
+    texts = {
+        1: PAD + items[1] + " " + PAD, 2: PAD + items[2].lower() + " 3", 3: "问题：请看" + items[3] + "谢谢大家", 4: items[4] + "。", 5: "The capital.", 8: PAD + items[8] + PAD,
+        11: PAD + "12 + 5 * 8 - 31 / 2", 12: "Paris London", 13: "小明有苹果", 14: "あかい" + items[4], 15: "what is the capital of france", 16: "", 17: None, 18: "?!",
+    }
+    docs = spark.createDataFrame([(k, t, None, None, None) for k, t in texts.items()], SCHEMA)
+    out = contained_items(docs, spark.createDataFrame(list(items.items()), "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in out) == [(k, k) for k in (1, 2, 3, 4, 5, 8)]
+    assert all(r["cover"] == 1.0 and r["n_changed"] == 0 for r in out)
+
+
 def test_a_short_overlap_is_left_alone(spark):
     assert not found(spark, PAD + " ".join(QUESTION.split()[:12]) + " " + PAD)
     assert not found(spark, PAD)

@@ -133,3 +133,30 @@ FROM found f LEFT JOIN each e ON e.text = f.text AND e.item_id IS NOT DISTINCT F
 LEFT JOIN clear c ON c.text = f.text AND c.item_id IS NOT DISTINCT FROM f.item_id
 WHERE ifnull(single >= {spec.min_consistent} * n_slots AND clear >= {spec.min_consistent}, true)
 """
+
+
+#: Every term of every document, weighed and summed.
+LEXICAL_SEARCH = """
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents),
+held AS (SELECT row, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM split WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM held),
+postings AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM held) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), totals),
+lengths AS (SELECT row, doc_id, 100 - 75 + ((75 * n * docs) // words) AS m FROM held, totals),
+asked AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scored AS (
+  SELECT a.item_id, l.row, l.doc_id, CAST(sum(a.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * l.m))) AS BIGINT) AS score
+  FROM asked a JOIN weights w USING (term) JOIN postings p USING (term) JOIN lengths l USING (row)
+  GROUP BY a.item_id, l.row, l.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""

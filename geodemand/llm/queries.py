@@ -14,6 +14,7 @@ from .html_blocks import extract_main_text, train_labeller
 from .langid import identify_language, train_dictionaries
 from .ngram_join import ngram_groups
 from .lattice_lm import lm_scores
+from .lexical_search import ranked_search
 from .line_dedup import line_classes
 from .mixing import mix_documents
 from .shards import shard_documents
@@ -100,3 +101,8 @@ def op7_template_decontam(spark: SparkSession, d: str) -> DataFrame:
 def op3_html_text(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "pages").select("page_id", "url", "html")
     return extract_main_text(pages, train_labeller(pages)).drop("html")
+
+
+@register("op13_lexical_search", oracles.LEXICAL_SEARCH)
+def op13_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))

@@ -17,6 +17,7 @@ from .lattice_lm import lm_scores
 from .lexical_search import ranked_search
 from .line_dedup import line_classes
 from .mixing import mix_documents
+from .periodic_runs import periodic_runs, planted, run_digest
 from .shards import shard_documents
 from .template_decontam import contained_items
 from .toxicity import score_toxicity
@@ -106,3 +107,9 @@ def op3_html_text(spark: SparkSession, d: str) -> DataFrame:
 @register("op13_lexical_search", oracles.LEXICAL_SEARCH)
 def op13_lexical_search(spark: SparkSession, d: str) -> DataFrame:
     return ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    return run_digest(periodic_runs(docs.withColumn("text", planted(F.col("text"), F.col("doc_id")))))

@@ -22,6 +22,7 @@ from .shards import shard_documents
 from .template_decontam import contained_items
 from .toxicity import score_toxicity
 from .toxicity import train as train_toxicity
+from .vector_search import nearest_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -113,3 +114,8 @@ def op13_lexical_search(spark: SparkSession, d: str) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return run_digest(periodic_runs(docs.withColumn("text", planted(F.col("text"), F.col("doc_id")))))
+
+
+@register("op11_tree_neighbours")
+def op11_tree_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    return nearest_vectors(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0)

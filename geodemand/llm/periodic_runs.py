@@ -32,8 +32,8 @@ class RunSpec:
     are worked on at a time, ``batch_pairs`` candidate (boundary, period) pairs at a time."""
 
     min_length: int = 12
-    batch_words: int = 400_000
-    batch_pairs: int = 2_000_000
+    batch_words: int = 100_000
+    batch_pairs: int = 500_000
 
 
 def _ranked(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,12 +262,12 @@ def _collapsed(words: list[bytes], runs: list[tuple[int, int, int]]) -> bytes:
     return b" ".join(compress(words, (np.cumsum(edge[:-1]) == 0).tolist()))
 
 
-def _judged(texts: list[bytes | None], spec: RunSpec) -> Iterator[tuple[list[tuple[int, int, int]], bytes]]:
+def _judged(texts: pa.Array, spec: RunSpec) -> Iterator[tuple[list[tuple[int, int, int]], bytes]]:
     """Runs and collapsed text of each text, ``batch_words`` words at a time."""
     held: list[list[bytes]] = []
     words = 0
-    for i, raw in enumerate(texts):
-        held.append(raw.split() if raw else [])  # bytes split at ASCII white space only
+    for i, text in enumerate(texts):
+        held.append((text.as_py() or b"").split())  # bytes split at ASCII white space only
         words += len(held[-1])
         if words >= spec.batch_words or i == len(texts) - 1:
             for w, runs in zip(held, runs_of(held, spec)):
@@ -291,7 +291,7 @@ def periodic_runs(df: DataFrame, spec: RunSpec = RunSpec()) -> DataFrame:
     def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             ends, flat, rest = [0], [], []
-            for runs, collapsed in _judged([t.as_py() for t in texts], spec):
+            for runs, collapsed in _judged(texts, spec):
                 flat += runs
                 ends.append(len(flat))
                 rest.append(collapsed)

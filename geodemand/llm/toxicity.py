@@ -4,6 +4,10 @@ A text is the set of its lower-cased words and their leading letters, hashed
 into a fixed number of features. The score is a logistic factorization machine:
 a bias, a weight per term and an inner product of term vectors per pair, so
 that two terms can mean together what neither means alone.
+
+Only terms whose share of label 1 is far from all texts' take part, in both
+halves: among the hundreds of other terms of a text the pairs would learn the
+sample by heart.
 """
 
 from __future__ import annotations
@@ -25,19 +29,23 @@ WORD = re.compile(r"\w+")
 
 @dataclass(frozen=True)
 class FMSpec:
-    """Fitted on a bounded sample of about ``sample_rows`` labelled rows. ``dims`` hashed features
-    (a power of two), ``rank`` numbers per term vector; terms seen in under ``min_docs`` sample
-    texts are not learned."""
+    """Fitted on a bounded sample of about ``sample_rows`` distinct labelled texts. ``dims`` hashed features
+    (a power of two), ``rank`` numbers per term vector, at first about ``spread`` large; terms seen in under
+    ``min_docs`` sample texts, or whose labels lie under ``min_z`` standard deviations from chance, are not learned."""
 
     sample_rows: int = 16_000
     dims: int = 1 << 18
     rank: int = 4
     prefixes: tuple[int, ...] = (4, 5)
     min_docs: int = 3
-    epochs: int = 14
+    min_z: float = 4.0
+    epochs: int = 30
     batch: int = 64
     rate: float = 0.1
+    pair_rate: float = 0.1
+    spread: float = 0.1
     decay: float = 1e-5
+    pair_decay: float = 1e-4
     seed: int = 10
     threshold: float = 0.3
 
@@ -82,13 +90,17 @@ class FMModel:
 def fit(rows: list[np.ndarray], labels: np.ndarray, spec: FMSpec = FMSpec()) -> FMModel:
     """Logistic loss by mini-batch AdaGrad; reproducible for the same rows in the same order."""
     rng = np.random.default_rng(spec.seed)
-    seen = np.bincount(np.concatenate(rows) if rows else np.zeros(0, np.int32), minlength=spec.dims)
-    rows = [r[seen[r] >= spec.min_docs] for r in rows]
+    count = lambda held: np.bincount(np.concatenate(held) if held else np.zeros(0, np.int64), minlength=spec.dims)
+    seen, marked = count(rows), count([r for r, y in zip(rows, labels) if y])
+    mean = labels.mean() if len(labels) else 0.0
+    far = (marked - seen * mean) / np.sqrt(0.5 + seen * mean * (1 - mean) * (1 - seen / max(1, len(rows))))
+    learned = (seen >= spec.min_docs) & (np.abs(far) >= spec.min_z)
+    rows = [r[learned[r]] for r in rows]
     share = (labels.sum() + 1.0) / (len(labels) + 2.0)
     bias, gb = float(np.log(share / (1 - share))), 1.0
-    w, v = np.zeros(spec.dims), rng.normal(0, 0.01, (spec.dims, spec.rank))
-    v[seen < spec.min_docs] = 0.0
-    gw, gv = np.full(spec.dims, 1e-1), np.full((spec.dims, spec.rank), 1.0)
+    w, v = np.zeros(spec.dims), rng.normal(0, spec.spread, (spec.dims, spec.rank))
+    v[~learned] = 0.0
+    gw, gv = np.full(spec.dims, 1e-1), np.full((spec.dims, spec.rank), 1e-3)
     for _ in range(spec.epochs):
         for part in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // spec.batch)):
             if not len(part):
@@ -105,22 +117,27 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, spec: FMSpec = FMSpec()) ->
             e = err[owner] / len(part)
             dw = np.bincount(at, e, len(active)) + spec.decay * w[active]
             es = e[:, None] * sums[owner]
-            dv = np.stack([np.bincount(at, es[:, k], len(active)) for k in range(spec.rank)], 1)
-            dv += (spec.decay - np.bincount(at, e, len(active)))[:, None] * va
+            dv = np.stack([np.bincount(at, es[:, k], len(active)) for k in range(spec.rank)], 1).astype(float)
+            dv += (spec.pair_decay - np.bincount(at, e, len(active)))[:, None] * va
             gw[active] += dw**2
             gv[active] += dv**2
             w[active] -= spec.rate * dw / np.sqrt(gw[active])
-            v[active] -= 0.1 * spec.rate * dv / np.sqrt(gv[active])
+            v[active] -= spec.pair_rate * dv / np.sqrt(gv[active])
             gb += err.mean() ** 2
             bias -= spec.rate * err.mean() / np.sqrt(gb)
     return FMModel(bias, w.astype(np.float32), v.astype(np.float32))
 
 
 def train(labelled: DataFrame, label: Column, spec: FMSpec = FMSpec()) -> FMModel:
-    """Model from rows with a ``text`` and a 0/1 ``label``; rows with a null label are not used."""
-    rows = labelled.select("text", label.cast("int").alias("y")).where("y is not null")
-    total = rows.count()
-    drawn = rows.where(unit_hash(F.coalesce("text", F.lit("")), F.lit(spec.seed)) < min(1.0, spec.sample_rows / max(1, total)))
+    """Model from rows with a ``text`` and a 0/1 ``label``; rows with a null label are not used.
+
+    Rows equal in text and label count once, so copies neither weigh more nor
+    swell the sample; a text with both labels counts with each.
+    """
+    rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), label.cast("int").alias("y")).where("y is not null")
+    total = rows.select(F.xxhash64("text").alias("h"), "y").distinct().count()
+    drawn = rows.where(unit_hash("text", F.lit(spec.seed)) < min(1.0, spec.sample_rows / max(1, total)))
+    drawn = drawn.groupBy(F.xxhash64("text").alias("h"), "y").agg(F.first("text").alias("text"))
 
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -128,7 +145,7 @@ def train(labelled: DataFrame, label: Column, spec: FMSpec = FMSpec()) -> FMMode
         for texts in batches:
             yield pa.array([features(t.as_py(), terms) for t in texts], pa.list_(pa.int32()))
 
-    got = drawn.select("y", ids(F.col("text")).alias("x"), F.xxhash64("text", "y").alias("h")).toArrow().sort_by("h")
+    got = drawn.select("y", ids(F.col("text")).alias("x"), "h").toArrow().sort_by([("h", "ascending"), ("y", "ascending")])
     x = got.column("x").combine_chunks()
     flat, ends = x.flatten().to_numpy(zero_copy_only=False), np.cumsum(x.value_lengths().to_numpy(zero_copy_only=False)) if len(x) else []
     rows = np.split(flat.astype(np.int64), ends[:-1]) if len(x) else []

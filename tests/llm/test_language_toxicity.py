@@ -1,8 +1,9 @@
 import os
+import random
 
 import numpy as np
 import pytest
-from helpers import SCHEMA, SF, awkward_rows
+from helpers import SCHEMA, SF, awkward_rows, prose
 
 from geodemand.llm import queries, toxicity
 from geodemand.llm.langid import LangSpec, identify_language, train_dictionaries
@@ -57,7 +58,7 @@ def test_pairs_that_no_linear_model_learns():
         rows.append(np.unique(np.concatenate([[10 + a, 20 + b], noise])).astype(np.int64))
         labels.append(float(a == b))
     labels = np.array(labels)
-    spec = FMSpec(dims=128, rank=4, epochs=60, rate=0.3)
+    spec = FMSpec(dims=128, rank=4, epochs=60, rate=0.3, min_z=0)  # either term alone has no share of its own
     model = toxicity.fit(rows[:1000], labels[:1000], spec)
     scores = np.array([model.score(r) for r in rows[1000:]])
     assert auc(scores, labels[1000:]) > 0.95
@@ -65,12 +66,66 @@ def test_pairs_that_no_linear_model_learns():
     assert auc(np.array([alone.score(r) for r in rows[1000:]]), labels[1000:]) < 0.7
 
 
+def insult_texts(rng, n):
+    """Insults among themselves and groups among themselves are harmless; one with the other is not."""
+    insults, group_words = "idiot moron trash scum loser clown".split(), "redfolk bluefolk greenfolk hillmen seamen plainsmen".split()
+    vocabulary = [prose(rng, 1) for _ in range(1500)]
+    out = []
+    for _ in range(n):
+        kind = rng.randrange(4)
+        held = [rng.sample(insults, rng.randint(1, 4)), rng.sample(group_words, rng.randint(1, 4)), rng.sample(insults, 1 + rng.randrange(2)) + rng.sample(group_words, 1 + rng.randrange(2)), []][kind]
+        w = rng.choices(vocabulary, k=rng.randint(30, 120)) + held
+        rng.shuffle(w)
+        out.append((" ".join(w), int(kind == 2)))
+    return out
+
+
+def margins(model, rows, spec=FMSpec()):
+    terms = toxicity._Terms(spec)
+    return np.array([model.margin(toxicity.features(t, terms)) for t, _ in rows])
+
+
+def test_production_pairs_learn_insult_with_group(spark):
+    rows = insult_texts(random.Random(5), 6000)
+    train, held = rows[:4000], rows[4000:]
+    model = toxicity.train(spark.createDataFrame(train, "text string, toxic int"), F.col("toxic"))
+    truth = np.array([y for _, y in held])
+    whole = auc(margins(model, held), truth)
+    linear = auc(margins(toxicity.FMModel(model.bias, model.weights, np.zeros_like(model.vectors)), held), truth)
+    # a linear model fitted by itself does not do it either
+    terms = toxicity._Terms(FMSpec())
+    alone = toxicity.fit([toxicity.features(t, terms) for t, _ in train], np.array([float(y) for _, y in train]), FMSpec(spread=0.0, pair_rate=0.0))
+    assert whole > 0.9 and whole > linear + 0.2 and whole > auc(margins(alone, held), truth) + 0.1
+
+
+def test_copies_do_not_swell_the_sample(spark):
+    rows = insult_texts(random.Random(6), 600)
+    once = toxicity.train(spark.createDataFrame(rows, "text string, toxic int"), F.col("toxic"))
+    copies = spark.createDataFrame(rows + [rows[0]] * 3000 + [(None, 0), ("", 0)] * 400, "text string, toxic int").repartition(5)
+    again = toxicity.train(copies.where("text <> ''"), F.col("toxic"))
+    assert again.bias == once.bias and (again.weights == once.weights).all() and (again.vectors == once.vectors).all()
+    with_empty = toxicity.train(copies, F.col("toxic"), FMSpec(epochs=1))
+    assert np.isfinite(with_empty.bias)
+
+
+@tables
+def test_toxicity_pairs_matter_on_held_out_rows(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").join(labels, "doc_id").withColumn("held_out", queries.fold(F.col("doc_id"), 4) == 2)
+    model = toxicity.train(docs.where("not held_out"), F.col("toxic"))
+    rows = [(r["text"], r["toxic"]) for r in docs.where("held_out").collect()]
+    truth = np.array([y for _, y in rows])
+    alone = toxicity.FMModel(model.bias, model.weights, np.zeros_like(model.vectors))
+    assert auc(margins(model, rows), truth) > 0.97 and auc(margins(model, rows), truth) > auc(margins(alone, rows), truth) + 0.01
+
+
 @tables
 def test_toxicity_separates_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = queries.QUERIES["op10_toxicity"](spark, sf)
     rows = got.where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("score", "predicted", "toxic").toPandas()
-    assert auc(rows.score.to_numpy(), rows.toxic.to_numpy()) > 0.9
+    assert auc(rows.score.to_numpy(), rows.toxic.to_numpy()) > 0.97
     assert (rows.predicted == (rows.score >= 0.3)).all()
     flagged = rows[rows.predicted == 1]
     assert (flagged.toxic == 1).mean() > 0.9

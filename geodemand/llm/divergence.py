@@ -1,37 +1,40 @@
 """Quality rules by distribution divergence (operator 9, built-in functions only).
 
 Each document's character classes and common words are compared, as
-histograms, to the references of every language by Jensen-Shannon distance
-(base 2, 0 to 1). References are counted over all documents. A document is
-judged against the language whose common words are nearest, and only if it is
-long enough for its histograms to mean something.
-
-All of a document's figures are computed inside its own row: scoring shuffles
-nothing. The references are one row per language and word, bounded by
-``min_share`` and ``common_words``.
+histograms, to language references by Jensen-Shannon distance (base 2, 0 to 1).
+References are counted over all documents. A document is judged against the
+nearest of the widespread languages and its own language, and only if it is
+long enough for its histograms to mean something. A document of a language
+with too few words for a reference is judged by its base counts alone.
+
+All of a document's figures are computed inside its own row. The references of
+widespread languages (bounded by ``min_share``) are constants; those of the
+others, however many, are a table joined by language.
 """
 
 from __future__ import annotations
 
 import functools
 import operator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, fresh, words
+from .common import SPACE_CHARS, fresh, shared_table, small_side, words
 
 
 @dataclass(frozen=True)
 class QualitySpec:
-    """References: languages with at least ``min_share`` of all words, their ``common_words`` most
-    frequent words, each at least ``min_word_share`` of its language. A text of at least
+    """References: languages with at least ``min_ref_words`` words, their ``common_words`` most frequent
+    words, each at least ``min_word_share`` of its language. Every document is compared to the languages
+    with at least ``min_share`` of all words, and to its own. A text of at least
     ``min_words`` words fails if its common-word distance exceeds ``max_words_jsd``, one of at
     least ``min_chars`` characters if its character-class distance exceeds ``max_class_jsd``, one
     that is long enough for both if their sum exceeds ``max_sum_jsd``."""
 
     common_words: int = 40
+    min_ref_words: int = 5_000
     min_share: float = 0.01
     min_word_share: float = 0.0005
     min_words: int = 50
@@ -39,6 +42,7 @@ class QualitySpec:
     max_class_jsd: float = 0.28
     max_words_jsd: float = 0.45
     max_sum_jsd: float = 0.55
+    broadcast_langs: int = 10_000
 
 
 # The character classes in order; what matches none of them is the last one.
@@ -135,30 +139,40 @@ def class_counts(word_chars: Column, symbols: Column) -> Column:
 
 @dataclass(frozen=True)
 class References:
-    """Per language: class shares, and shares of its common words."""
+    """Per widespread language: class shares, and shares of its common words. ``others``: the same for all further
+    languages, a row each (lang, words, other, classes), or None."""
 
     classes: dict[str, list[float]]
     words: dict[str, dict[str, float]]
+    others: DataFrame | None = field(default=None, compare=False)
 
 
 def language_references(docs: DataFrame, spec: QualitySpec = QualitySpec()) -> References:
     """Count the references over all documents (columns text, lang); rows without a language are left out."""
+    spark = docs.sparkSession
     known = docs.where(F.col("lang").isNotNull()).select("lang", "text")
     k = len(CLASSES)
     counted = with_rest(known).select("lang", class_counts(_word_chars(), _symbols()).alias("c"), F.size(F.col(WORDS)).alias("n"))
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"), *[F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(k)])
-    # bounded: at most 1 / min_share languages stay
-    rows = totals.withColumn("all", F.sum("n").over(Window.partitionBy())).where(F.col("n") >= F.col("all") * spec.min_share).where("n > 0").collect()
-    held = {r["lang"]: r["n"] for r in rows}
-    classes = {r["lang"]: [r[f"c{i}"] / sum(r[f"c{j}"] for j in range(k)) for i in range(k)] for r in rows}
-    if not held:
-        return References({}, {})
-    count = known.where(F.col("lang").isin(list(held))).select("lang", F.explode(words(F.lower("text"))).alias("word")).groupBy("lang", "word").count()
-    least = F.element_at(F.create_map(*[F.lit(v) for l, n in held.items() for v in (l, n * spec.min_word_share)]), F.col("lang"))
+    chars = functools.reduce(operator.add, [F.col(f"c{i}") for i in range(k)])
+    share = F.col("n") / F.sum("n").over(Window.partitionBy())  # one row per language
+    totals = totals.select("lang", "n", F.array(*[F.col(f"c{i}") / chars for i in range(k)]).alias("classes"), (share >= spec.min_share).alias("widespread"))
+    held = shared_table(spark, totals.where(F.col("n") >= spec.min_ref_words))
+    sizes = small_side(held.select("lang", F.col("n").alias("all")), spec.broadcast_langs)
+    count = known.join(sizes, "lang").select("lang", "all", F.explode(words(F.lower("text"))).alias("word")).groupBy("lang", "all", "word").count()
     # bounded: at most 1 / min_word_share words per language reach the ranking
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("count"), "word"))
-    top = count.where(F.col("count") >= least).withColumn("rank", rank).where(F.col("rank") <= spec.common_words).collect()
-    return References(classes, {l: {r["word"]: r["count"] / n for r in top if r["lang"] == l} for l, n in held.items()})
+    top = count.where(F.col("count") >= F.col("all") * spec.min_word_share).withColumn("rank", rank).where(F.col("rank") <= spec.common_words)
+    lists = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("word", (F.col("count") / F.col("all")).alias("share")))).alias("top"))
+    refs = shared_table(spark, held.join(lists, "lang"))
+    wide = refs.where("widespread").collect()  # bounded: at most 1 / min_share languages
+    other = F.greatest(F.lit(0.0), 1 - F.aggregate("top", F.lit(0.0), lambda acc, x: acc + x["share"]))
+    rest = refs.where("not widespread").select("lang", F.map_from_entries("top").alias("words"), other.alias("other"), "classes")
+    return References(
+        {r["lang"]: list(r["classes"]) for r in wide},
+        {r["lang"]: {x["word"]: x["share"] for x in r["top"]} for r in wide},
+        None if rest.isEmpty() else rest,
+    )
 
 
 def _term(p: Column, q: Column) -> Column:
@@ -192,9 +206,10 @@ def _as_column(refs: References) -> Column:
     return F.array(*[one(l) for l in sorted(refs.words)])
 
 
-def _runs(w: Column, vocabulary: list[str]) -> Column:
-    """(word, count) of the words in ``vocabulary``: sorted, then cut where the word changes."""
-    common = F.sort_array(F.filter(F.transform(w, F.lower), lambda x: x.isin(vocabulary)))
+def _runs(w: Column, vocabulary: list[str], own: Column | None) -> Column:
+    """(word, count) of the words in ``vocabulary`` or the language's own map ``own``: sorted, then cut where the word changes."""
+    wanted = lambda x: x.isin(vocabulary) if own is None else x.isin(vocabulary) | F.coalesce(F.map_contains_key(own, x), F.lit(False))
+    common = F.sort_array(F.filter(F.transform(w, F.lower), wanted))
 
     def cut(s: Column) -> Column:
         starts = F.filter(F.transform(s, lambda x, i: F.when((i == 0) | (x != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
@@ -213,21 +228,33 @@ def judge_quality(docs: DataFrame, refs: References, spec: QualitySpec = Quality
     """All columns of ``docs`` plus the base counts, ``nearest_lang``, ``words_jsd``, ``class_jsd``,
     ``base_failed`` and ``kept``.
 
-    Null and empty texts have no words and fail the base. Without references,
-    or below the length guards, a distance is null and fails nothing. Every
+    Null and empty texts have no words and fail the base. Below the length
+    guards, and for a text whose ``lang`` (if ``docs`` has that column) is not
+    null and has no reference, a distance is null and fails nothing. Every
     row gives one row; input columns with these names are replaced.
     """
     added = [*BASE, "nearest_lang", "words_jsd", "class_jsd", "base_failed", "kept"]
     keep = [c for c in docs.columns if c not in added]
     out = with_base(with_rest(docs.select(*[F.col(f"`{c}`") for c in keep])))
     langs = sorted(refs.words)
-    if langs:
+    own, referenced = fresh("own"), F.lit(True)
+    further = refs.others is not None and "lang" in docs.columns
+    if further:
+        theirs = refs.others.select(F.col("lang").alias(fresh("lang")), F.struct("lang", "words", "other", "classes").alias(own))
+        out = out.join(small_side(theirs, spec.broadcast_langs), F.col("lang") == F.col(fresh("lang")), "left")
+    if "lang" in docs.columns:
+        referenced = F.col("lang").isNull() | F.col("lang").isin(langs) | (F.col(own).isNotNull() if further else F.lit(False))
+    if langs or further:
         vocabulary = sorted({w for ref in refs.words.values() for w in ref})
-        scored = out.withColumn(fresh("runs"), _runs(F.col(WORDS), vocabulary)).withColumn(fresh("classes"), class_counts(F.col("word_chars"), F.col("n_symbols")))
+        scored = out.withColumn(fresh("runs"), _runs(F.col(WORDS), vocabulary, F.col(own)["words"] if further else None))
+        scored = scored.withColumn(fresh("classes"), class_counts(F.col("word_chars"), F.col("n_symbols")))
         counts, runs = F.col(fresh("classes")), F.col(fresh("runs"))
         total = F.aggregate(counts, F.lit(0.0), lambda acc, x: acc + x)
+        against = [_as_column(refs)] if langs else []
+        if further:
+            against.append(F.filter(F.array(own), lambda r: r.isNotNull()))
         judged = F.transform(
-            _as_column(refs),
+            F.concat(*against) if len(against) > 1 else against[0],
             lambda r: F.struct(
                 _words_distance(runs, F.col("n_words"), r["words"], r["other"]).alias("words"),
                 r["lang"].alias("lang"),
@@ -239,8 +266,8 @@ def judge_quality(docs: DataFrame, refs: References, spec: QualitySpec = Quality
         long_enough = F.col("n_words") >= spec.min_words
         out = (
             out.withColumn("nearest_lang", F.when(F.col("n_words") > 0, best["lang"]))
-            .withColumn("words_jsd", F.when(long_enough, best["words"]))
-            .withColumn("class_jsd", F.when(F.length("text") >= spec.min_chars, best["classes"]))
+            .withColumn("words_jsd", F.when(long_enough & referenced, best["words"]))
+            .withColumn("class_jsd", F.when((F.length("text") >= spec.min_chars) & referenced, best["classes"]))
         )
     else:
         out = out.withColumn("nearest_lang", F.lit(None).cast("string")).withColumn("words_jsd", F.lit(None).cast("double")).withColumn("class_jsd", F.lit(None).cast("double"))

@@ -60,24 +60,27 @@ counted AS (
   FROM base),
 classes AS (SELECT *, rests - upper - digit - point - symbol AS other, nullif(chars, 0)::DOUBLE AS total FROM counted),
 langs AS (
-  SELECT lang, sum(n_words) AS n, {", ".join(f"sum({k}) / sum(chars) AS {k}" for k in shares)} FROM classes WHERE lang IS NOT NULL GROUP BY lang
-  QUALIFY n >= {spec.min_share} * sum(n) OVER () AND n > 0),
+  SELECT * FROM (
+    SELECT *, n >= {spec.min_share} * sum(n) OVER () AS wide FROM (
+      SELECT lang, sum(n_words) AS n, {", ".join(f"sum({k}) / sum(chars) AS {k}" for k in shares)} FROM classes WHERE lang IS NOT NULL GROUP BY lang))
+  WHERE n >= {spec.min_ref_words}),
 spoken AS (SELECT doc_id, lang, unnest(list_transform(w, lambda x: lower(x))) AS word FROM base),
 ranked AS (
   SELECT lang, word, count(*) AS n FROM spoken SEMI JOIN langs USING (lang) GROUP BY lang, word),
 common AS (
-  SELECT ranked.lang, word, ranked.n / langs.n AS r FROM ranked JOIN langs USING (lang) WHERE ranked.n >= langs.n * {spec.min_word_share}
+  SELECT ranked.lang, word, wide, ranked.n / langs.n AS r FROM ranked JOIN langs USING (lang) WHERE ranked.n >= langs.n * {spec.min_word_share}
   QUALIFY row_number() OVER (PARTITION BY ranked.lang ORDER BY ranked.n DESC, word) <= {spec.common_words}),
 mine AS (SELECT doc_id, word, count(*) AS k FROM spoken GROUP BY doc_id, word),
 near AS (
   SELECT b.doc_id, c.lang, sum(ifnull(m.k, 0)) / b.n_words AS p, sum({term("ifnull(m.k, 0) / b.n_words", "c.r")}) AS jsd, 1 - sum(c.r) AS q
-  FROM base b CROSS JOIN common c LEFT JOIN mine m ON m.doc_id = b.doc_id AND m.word = c.word WHERE b.n_words > 0 GROUP BY b.doc_id, c.lang, b.n_words),
+  FROM base b JOIN common c ON c.wide OR c.lang = b.lang LEFT JOIN mine m ON m.doc_id = b.doc_id AND m.word = c.word WHERE b.n_words > 0 GROUP BY b.doc_id, c.lang, b.n_words),
 spread AS (SELECT doc_id, lang, sqrt(greatest(0, jsd + {term("greatest(0, 1 - p)", "greatest(0, q)")})) AS words_jsd FROM near),
 best AS (SELECT doc_id, lang, words_jsd FROM spread QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY words_jsd, lang) = 1),
 judged AS (
   SELECT c.doc_id, CASE WHEN c.n_words >= {spec.min_words} THEN words_jsd END AS a,
          CASE WHEN c.chars >= {spec.min_chars} THEN sqrt(greatest(0, {class_terms})) END AS z
-  FROM classes c JOIN best ON best.doc_id = c.doc_id JOIN langs r ON r.lang = best.lang),
+  FROM classes c JOIN best ON best.doc_id = c.doc_id JOIN langs r ON r.lang = best.lang
+  WHERE c.lang IS NULL OR c.lang IN (SELECT lang FROM langs)),
 out AS (
   SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
          CAST(len(filled) - len(list_distinct(filled)) AS BIGINT) AS n_dup_lines, CAST(ifnull(r.n, 0) AS BIGINT) AS n_repeat_words

@@ -74,7 +74,7 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 @register("op9_quality", oracles.quality())
 def op9_quality(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text", "lang")
-    judged = judge_quality(docs.drop("lang"), language_references(docs))
+    judged = judge_quality(docs, language_references(docs))
     return judged.select("doc_id", *BASE, "base_failed", "kept")
 
 

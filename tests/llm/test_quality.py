@@ -45,7 +45,7 @@ def test_distances_match_brute_force(spark):
     fr = [(100 + i, prose(rng, 150, ("le", "la", "é", "ou", "que")), "fr", "s", 0) for i in range(40)]
     junk = [(200, " ".join("#%&" + str(rng.randint(0, 9)) for _ in range(150)), None, "s", 0)]
     df = spark.createDataFrame(en + fr + junk, SCHEMA)
-    spec = QualitySpec(common_words=12)
+    spec = QualitySpec(common_words=12, min_ref_words=1000)
     refs = language_references(df, spec)
     assert set(refs.words) == {"en", "fr"}
     for lang, rows in (("en", en), ("fr", fr)):
@@ -66,6 +66,23 @@ def test_distances_match_brute_force(spark):
     assert all(out[r[0]]["kept"] for r in en + fr) and not out[200]["kept"]
 
 
+def test_clean_texts_of_small_languages_stay(spark):
+    """No language loses its texts for being small beside another one, whether or not it has a reference of its own."""
+    rng = random.Random(7)
+    tongues = {"fi": ("kuu", "yö", "lla", "nen", "tta", "vä"), "th": ("กา", "มา", "ที่", "ไป", "เด"), "sw": ("wa", "ki", "ngo", "mba", "ji")}
+    rows = [(i, prose(rng, 120), "en", "s", 0) for i in range(1200)]
+    small = [(10_000 + 1000 * k + i, prose(rng, 120, syllables), lang, "s", 0) for k, (lang, syllables) in enumerate(tongues.items()) for i in range(8 if lang != "sw" else 60)]
+    junk = [(20_000 + i, " ".join("#%&" + str(rng.randint(0, 9)) for _ in range(150)), lang, "s", 0) for i, lang in enumerate(("en", "sw", None))]
+    df = spark.createDataFrame(rows + small + junk, SCHEMA)
+    refs = language_references(df, QualitySpec(min_share=0.08))
+    assert set(refs.words) == {"en"} and [r["lang"] for r in refs.others.collect()] == ["sw"]
+    out = {r["doc_id"]: r for r in judge_quality(df, refs).collect()}
+    assert len(out) == len(rows + small + junk) and all(out[r[0]]["kept"] for r in rows + small)
+    assert all(out[r[0]]["nearest_lang"] == "sw" and out[r[0]]["words_jsd"] is not None for r in small if r[2] == "sw")
+    assert all(out[r[0]]["words_jsd"] is None for r in small if r[2] in ("fi", "th"))
+    assert not any(out[r[0]]["kept"] for r in junk)
+
+
 def test_edges(spark):
     df = spark.createDataFrame(awkward_rows(), SCHEMA).withColumn("kept", F.lit("x")).withColumn("n_words", F.lit("y"))
     out = judge_quality(df, language_references(df)).collect()

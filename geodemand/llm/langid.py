@@ -9,7 +9,6 @@ dictionary, not the text's own repetitions, decides; the whole text is used.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,7 +19,6 @@ from pyspark.sql import functions as F
 
 from .common import unit_hash
 
-LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
@@ -81,7 +79,7 @@ def compressed_sizes(text: str, compressors: dict[str, zstandard.ZstdCompressor]
 
 def classify(text: str | None, compressors: dict[str, zstandard.ZstdCompressor], spec: LangSpec) -> tuple[str, float, bool]:
     """(language, score, rejected); ties go to the language listed first, the most frequent one."""
-    if not compressors or text is None or not LETTER.search(text):
+    if not compressors or text is None or not any(map(str.isalpha, text)):
         return UNDETERMINED, 0.0, True
     sizes = compressed_sizes(text, compressors, spec.chunk)
     best = min(sizes, key=sizes.__getitem__)

@@ -37,6 +37,8 @@ def test_language_edge_rows(spark):
             assert (r["lang_pred"], r["score"], r["rejected"]) == ("und", 0.0, True)
         else:
             assert r["lang_pred"] in known and 0 <= r["score"] <= 1
+    numbers = spark.createDataFrame([(t,) for t in ("½", "²³", "①②", "Ⅷ", "12 ¾!", "_", "ª", "é")], "text string")
+    assert [r["lang_pred"] == "und" for r in identify_language(numbers, known).collect()] == [True] * 6 + [False] * 2
     assert identify_language(df, {}).where("lang_pred <> 'und' or not rejected").count() == 0
     assert identify_language(df.limit(0), known).count() == 0
     assert train_dictionaries(df.limit(0)) == {}

@@ -8,6 +8,8 @@ of ``documents``.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,14 @@ NEAR = JaccardSpec(n=5, percent=80, class_bits=2)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 6, learning from this stage's own labelled documents; those it rejects go."""
+    """Operator 6, learning from this stage's own labelled documents; those it rejects go, null, empty and letterless texts among them.
+
+    Without a labelled text there is nothing to learn from: all documents stay, with a warning.
+    """
     known = train_dictionaries(docs.where(fold(F.col("doc_id"), 5) != 0))
+    if not known:
+        warnings.warn("no document has a text and a language: the language stage keeps all documents", stacklevel=2)
+        return docs
     return identify_language(docs, known).where("not rejected").select(*docs.columns)
 
 
@@ -39,7 +47,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: whole documents, as often as the mix takes them."""
+    """Operator 5: whole documents, as often as the mix takes them; texts without words are never taken and go."""
     return mixed_copies(mix_documents(docs), docs.columns)
 
 

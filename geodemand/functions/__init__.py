@@ -9,7 +9,6 @@ from .dates import (
     is_weekend,
     remap_month,
     season,
-    to_day,
     weekday,
 )
 from .geo import EARTH_RADIUS_KM, KM_PER_DEGREE, haversine_km
@@ -27,7 +26,7 @@ from .text import (
 
 __all__ = [
     "SEASON_MONTHS", "between_dates", "epoch_day_range", "epoch_to_day", "horizon",
-    "is_weekend", "remap_month", "season", "to_day", "weekday",
+    "is_weekend", "remap_month", "season", "weekday",
     "EARTH_RADIUS_KM", "KM_PER_DEGREE", "haversine_km",
     "clip", "flag", "flag_sum",
     "LINE_ITEM_PRICING_TYPE", "LINE_ITEM_TYPE", "line_amount", "parse_lines",

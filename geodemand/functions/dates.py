@@ -94,7 +94,3 @@ def horizon(anchor: ColumnOrName, n_days: int) -> Column:
         raise ValueError("n_days must be >= 1")
     a = col(anchor)
     return F.sequence(a, F.date_add(a, n_days - 1), F.expr("INTERVAL 1 DAY"))
-
-
-def to_day(c: ColumnOrName) -> Column:
-    return col(c).cast("date")

@@ -23,6 +23,7 @@ from .quality import (
     null_profile,
     row_counts,
 )
+from .reduce import keep_possible, key_bits
 from .report import CONTEXT_MEASURES, join_suffixed, place_options, place_report
 from .sizing import bounded_broadcast
 from .spatial import centre_cells, nearest_place, place_day_measures, stations
@@ -35,6 +36,7 @@ __all__ = [
     "Measure", "bounds", "dow_profile", "mean_measures", "per_key_max", "project_measures", "round_doubles", "stamp",
     "column_profile", "coverage_full", "coverage_left", "duplicate_keys", "duplicate_surplus", "null_profile",
     "row_counts",
+    "keep_possible", "key_bits",
     "CONTEXT_MEASURES", "join_suffixed", "place_options", "place_report",
     "bounded_broadcast",
     "centre_cells", "nearest_place", "place_day_measures", "stations",

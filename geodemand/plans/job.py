@@ -20,7 +20,7 @@ from ..operators.features import place_labels
 from ..operators.measures import Measure
 from ..sources import roles
 from .._cols import require_columns
-from ..sources.io import read_source, write_guarded, write_metrics, write_table
+from ..sources.io import coerce, read_source, write_csv, write_guarded, write_metrics, write_table
 from .forecast import dow_profile_forecast
 from .resolve import resolve_places
 from .sales import place_day_sales
@@ -58,7 +58,9 @@ class JobConfig:
     inputs: dict[str, str | dict] = field(default_factory=dict)
     date_from: str | None = None  # orders from this day on
     date_to: str | None = None  # orders up to this day
-    out_dir: str | None = None  # model, metrics and CSV copies go here when set
+    out_dir: str | None = None  # model, metrics and CSV copies of the training, horizon and forecast rows go here when set
+    model_path: str | None = None  # score the horizon with this saved model instead of training
+    model_name: str = "saved"  # the name such a model's forecast carries
     forecast_table: str | None = None  # catalog table for the forecast
     max_km: float = 80.0
     year: int | None = 2024  # re-date sales into this month; None keeps their own days
@@ -118,8 +120,9 @@ def build_tables(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
     """Resolved customers, place-day sales and weather, training table and the
     weather horizon (lazy, or read back from tables when ``tables_db`` is
     set; customers are then bucketed by ``customer_id``)."""
-    if "training" in cfg.inputs and "horizon" in cfg.inputs:
-        return {k: place_labels(job_input(spark, cfg, k)) for k in ("training", "horizon")}
+    ready = ("horizon",) if cfg.model_path else ("training", "horizon")
+    if set(ready) <= set(cfg.inputs):
+        return {k: place_labels(job_input(spark, cfg, k)) for k in ready}
     get = lambda name: job_input(spark, cfg, name)
     customers = _step(
         spark,
@@ -157,46 +160,72 @@ def build_tables(spark: SparkSession, cfg: JobConfig) -> dict[str, DataFrame]:
 def run(spark: SparkSession, cfg: JobConfig) -> dict[str, object]:
     """Build, split, train every candidate, keep the best, score the horizon
     and write the outputs that are configured. Returns the forecast frame, the
-    metrics frame and the selection summary."""
+    metrics frame and the selection summary. With ``model_path`` nothing is
+    trained (metrics: None): the saved model scores the horizon, and with only
+    ``horizon`` among the inputs nothing else is read."""
     t = build_tables(spark, cfg)
     # cut both frames once: they are read many times below
-    t = t | {"training": ml.reliable_checkpoint(t["training"]), "horizon": ml.reliable_checkpoint(t["horizon"])}
-    ml.require_known_places(t["horizon"], t["training"])
-    training = ml.split_last_days(t["training"], n=cfg.valid_days)
-    train = training.where(~F.col("is_valid")).drop("is_valid")
-    valid = training.where(F.col("is_valid")).drop("is_valid")
-    models = [
-        (n, m) for n, m in ml.candidates(forest_trees=cfg.forest_trees, boost_iters=cfg.boost_iters) if n in cfg.models
-    ]
-    stages = ml.feature_stages([c for c in ml.FEATURE_COLUMNS if c in t["training"].columns])
-    sel = ml.select_best(train, valid, models, stages)
+    # cut once what is read many times below
+    t = t | {"horizon": ml.reliable_checkpoint(t["horizon"])}
+    if cfg.model_path:
+        model, name, metrics = ml.load_model(cfg.model_path), cfg.model_name, None
+        summary = {"selected_model": name, "mae": None, "r2": None, "train_rows": None, "valid_rows": None}
+    else:
+        t = t | {"training": ml.reliable_checkpoint(t["training"])}
+        ml.require_known_places(t["horizon"], t["training"])
+        sel = _train(t["training"], cfg)
+        model, name, metrics = sel.model, sel.model_name, sel.metrics
+        summary = {"selected_model": name, "mae": sel.mae, "r2": sel.r2, "train_rows": sel.train_rows, "valid_rows": sel.valid_rows}
     trained_at = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
-    forecast = ml.score_forecast(sel.model, t["horizon"]).withColumns(
-        {"model_name": F.lit(sel.model_name), "trained_at": F.lit(trained_at)}
-    )
+    forecast = ml.score_forecast(model, t["horizon"]).withColumns({"model_name": F.lit(name), "trained_at": F.lit(trained_at)})
     if cfg.out_dir:
-        ml.save_model(sel.model, f"{cfg.out_dir}/model")
-        write_metrics(sel.metrics.withColumn("trained_at", F.lit(trained_at)), f"{cfg.out_dir}/metrics")
-        forecast.write.mode("overwrite").option("header", True).csv(f"{cfg.out_dir}/sales_forecast_csv")
+        if metrics is not None:
+            ml.save_model(model, f"{cfg.out_dir}/model")
+            write_metrics(metrics.withColumn("trained_at", F.lit(trained_at)), f"{cfg.out_dir}/metrics")
+            write_csv(t["training"], f"{cfg.out_dir}/training_csv")
+        write_csv(t["horizon"], f"{cfg.out_dir}/weather_forecast_csv")
+        write_csv(forecast, f"{cfg.out_dir}/sales_forecast_csv")
     if cfg.forecast_table:
         write_guarded(forecast, cfg.forecast_table, FORECAST_TABLE_SCHEMA)
-    summary = {
-        "selected_model": sel.model_name,
-        "mae": sel.mae,
-        "r2": sel.r2,
-        "train_rows": sel.train_rows,
-        "valid_rows": sel.valid_rows,
-        "trained_at": trained_at.isoformat(),
-    }
-    return {"forecast": forecast, "metrics": sel.metrics, "summary": summary, "model": sel.model}
+    return {"forecast": forecast, "metrics": metrics, "summary": summary | {"trained_at": trained_at.isoformat()}, "model": model}
+
+
+def _train(training: DataFrame, cfg: JobConfig) -> ml.Selection:
+    flagged = ml.split_last_days(training, n=cfg.valid_days)
+    train = flagged.where(~F.col("is_valid")).drop("is_valid")
+    valid = flagged.where(F.col("is_valid")).drop("is_valid")
+    models = [
+        (n, m) for n, m in ml.candidates(forest_trees=cfg.forest_trees, boost_iters=cfg.boost_iters) if n in cfg.models
+    ]
+    return ml.select_best(train, valid, models, ml.feature_stages([c for c in ml.FEATURE_COLUMNS if c in training.columns]))
+
+
+def run_demo(spark: SparkSession, demo_csv: str, out_dir: str | None = None, trees: int = 300, train_frac: float = 0.8) -> dict[str, object]:
+    """Train the demo day model from a headered CSV; model and metrics are written under ``out_dir`` when given.
+
+    The CSV needs the columns of :data:`ml.DEMO_SCHEMA`, in any order and among others; missing ones are named.
+    """
+    header = spark.read.option("header", True).csv(demo_csv)
+    wanted = T.StructType.fromDDL(ml.DEMO_SCHEMA)
+    require_columns(header, wanted.names, "Dataset")
+    typed = coerce(header, wanted).select(*wanted.names)
+    model, metrics = ml.train_demo(typed, trees=trees, train_frac=train_frac)
+    if out_dir:
+        ml.save_model(model, f"{out_dir}/model")
+        write_metrics(metrics, f"{out_dir}/metrics")
+    return {"model": model, "metrics": metrics, "summary": metrics.first().asDict()}
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``python -m geodemand.plans.job '<json config>'``"""
+    """``python -m geodemand.plans.job '<json config>'``; with ``demo_csv`` in it, :func:`run_demo` on that file."""
     from ..session import get_spark
 
-    cfg = JobConfig(**json.loads((argv or sys.argv[1:])[0]))
+    given = json.loads((argv or sys.argv[1:])[0])
     spark = get_spark()
+    if "demo_csv" in given:
+        print(json.dumps({**run_demo(spark, **given)["summary"], "config": given}))
+        return
+    cfg = JobConfig(**given)
     out = run(spark, cfg)
     print(json.dumps({**out["summary"], "config": asdict(cfg)}))
 

@@ -7,7 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 
 from ..operators.measures import Measure, MeasureSpec
-from ..operators.spatial import nearest_place, point_day_parts, rollup_parts, stations
+from ..operators.reduce import keep_possible
+from ..operators.spatial import nearest_place, place_day_measures, stations
 
 # The place-day weather vocabulary with its rounding (and the
 # fraction -> percent scale of cloud cover), keyed by output name.
@@ -37,6 +38,7 @@ def place_day_weather(
     lon: str = "lon",
     where: Column | None = None,
     consts: Mapping[str, object] | None = None,
+    reduce_bits: int = 1 << 22,
 ) -> DataFrame:
     """Each station mapped to its nearest centre within ``max_km``, then
     place-day means over member stations and their count.
@@ -50,10 +52,11 @@ def place_day_weather(
     if measures is None:
         measures = {n: m for n, m in PLACE_DAY_WEATHER.items() if m.source(n) in fact.columns}
     # The station list reads only the key and coordinate columns of the fact
-    # (a pruned scan with a partial distinct); the measures are summed per
-    # (station, day) before they meet the station -> place map.
+    # (a pruned scan with a partial distinct). The second scan keeps the rows of
+    # mapped stations (a filter of hashed station bits), so only these are summed
+    # per (station, day) and shuffled. Two scans, because all rows of a station
+    # count once any of its coordinates is near enough.
     f = fact if where is None else fact.where(where)
     pts = stations(f, key, lat, lon)
     mapping = nearest_place(pts, centres, max_km, point_key=key, point_lat=lat, point_lon=lon)
-    parts = point_day_parts(f, key, date_col, measures)
-    return rollup_parts(parts, mapping, key, measures, consts=consts)
+    return place_day_measures(keep_possible(f, mapping, key, reduce_bits), mapping, key, date_col, measures, consts=consts)

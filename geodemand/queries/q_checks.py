@@ -7,14 +7,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import between_dates
 from ..functions.logic import flag_sum
-from ..operators.measures import bounds
+from ..functions.text import place_label, split_label
+from ..operators.measures import Measure, bounds, mean_measures, round_doubles
 from ..operators.quality import duplicate_keys, null_profile
 from ..plans.forecast import dow_profile_forecast
 from ..sources import roles
+from ..sources.io import read_source, scratch_path, write_csv, write_table
 from .oracle_roles import with_roles
 from .q_model import FORECAST_MEASURES, PROVENANCE
-from .registry import register, resolved_customers, sales_2024_01, weather_history
+from .registry import register, resolved_customers, rounded_sql, sales_2024_01, weather_history
 
 
 @register(
@@ -119,3 +122,58 @@ def q_qa_forecast_span(spark: SparkSession, d: str) -> DataFrame:
         provenance=PROVENANCE,
     )
     return bounds(f, ["city", "state"], "date")
+
+
+@register(
+    "pick_source",
+    """SELECT 'table' AS source, r_name AS name FROM region WHERE r_regionkey < 3
+       UNION ALL SELECT 'files', r_name FROM region
+       UNION ALL SELECT 'missing', unnest(['absent_one', 'absent_two'])""",
+)
+def q_pick_source(spark: SparkSession, d: str) -> DataFrame:
+    """The table where there is one, else the files; without either, every missing path by name."""
+    region = roles.table(spark, d, "region").select("r_regionkey", "r_name")
+    base = scratch_path(spark, "pick")
+    write_csv(region, f"{base}/files")
+    write_table(region.where("r_regionkey < 3"), "geodemand_checks.picked", path=f"{base}/table", schema_location=f"{base}/db")
+    pick = lambda table: read_source(spark, f"geodemand_checks.{table}", f"{base}/files", region.schema)
+    try:
+        read_source(spark, path=[f"{base}/files", f"{base}/absent_one", f"{base}/absent_two"], schema=region.schema)
+        missing = []
+    except FileNotFoundError as e:
+        missing = [(line.rsplit("/", 1)[-1],) for line in str(e).splitlines() if line.startswith("- ")]
+    of = lambda df, source: df.select(F.lit(source).alias("source"), F.col("r_name").alias("name"))
+    named = spark.createDataFrame(missing, "r_name string")
+    return of(pick("picked"), "table").unionByName(of(pick("no_such_table"), "files")).unionByName(of(named, "missing"))
+
+
+@register(
+    "station_means",
+    with_roles(
+        rounded_sql(
+            """SELECT postal_code, count(DISTINCT day) AS days, count(*) AS day_rows, avg(CAST(temp_avg AS DECIMAL(12,4))) AS temp_avg,
+                      avg(CAST(humidity AS DECIMAL(12,4))) AS humidity
+               FROM station_day WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-24' GROUP BY postal_code""",
+            ["temp_avg", "humidity"],
+        ),
+        "station_day",
+    ),
+)
+def q_station_means(spark: SparkSession, d: str) -> DataFrame:
+    """Per-station means over an inclusive range of days."""
+    days = roles.station_day(spark, d).where(between_dates("day", "2024-01-05", "2024-01-24"))
+    spec = {n: Measure(type="decimal(12,4)") for n in ("temp_avg", "humidity")}
+    return round_doubles(mean_measures(days, ["postal_code"], spec, distinct_counts={"days": "day"}, row_count="day_rows"))
+
+
+@register(
+    "label_parts",
+    with_roles(
+        "SELECT DISTINCT city || ', ' || state AS label, city, state FROM resolved_customers WHERE city IS NOT NULL AND state IS NOT NULL", "resolved_customers"
+    ),
+)
+def q_label_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of the resolved places, taken apart again."""
+    labels = resolved_customers(spark, d).select(place_label("city", "state").alias("label")).distinct()
+    city, state = split_label("label")
+    return labels.select("label", city.alias("city"), state.alias("state"))

@@ -4,12 +4,13 @@ training/scoring (survey sections 2.5, 2.6, 2.8 and 2.11)."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import is_weekend
 from ..operators import ml
 from ..operators.features import effects_score, lag_feature, place_labels, rolling_prev_mean
 from ..operators.measures import Measure, round_doubles
@@ -266,13 +267,16 @@ def q_impute_mode(spark: SparkSession, d: str) -> DataFrame:
 SCALE_COLS = ["temp_avg", "humidity", "precip_total", "uv", "wind_speed"]
 
 
+def _filled(cols: list[str], table: str) -> str:
+    """The table with nulls of the columns replaced by their medians."""
+    return f"SELECT * REPLACE ({', '.join(f'ifnull({c}, (SELECT median({c}) FROM {table})) AS {c}' for c in cols)}) FROM {table}"
+
+
 @register(
     "scale_features",
     with_roles(
         rounded_sql(
-            "WITH t AS (SELECT * FROM training WHERE "
-            + " AND ".join(f"{c} IS NOT NULL" for c in SCALE_COLS)
-            + ") SELECT city, state, date, "
+            f"WITH t AS ({_filled(SCALE_COLS, 'training')}) SELECT city, state, date, "
             + ", ".join(f"{c} / stddev_samp({c}) OVER () AS {c}_scaled" for c in SCALE_COLS)
             + " FROM t",
             [f"{c}_scaled" for c in SCALE_COLS],
@@ -281,14 +285,9 @@ SCALE_COLS = ["temp_avg", "humidity", "precip_total", "uv", "wind_speed"]
     ),
 )
 def q_scale_features(spark: SparkSession, d: str) -> DataFrame:
+    """The model's own numeric stages: median imputation, then scaling, over every row."""
     t = training(spark, d)
-    pipe = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=SCALE_COLS, outputCol="_v", handleInvalid="skip"),
-            StandardScaler(inputCol="_v", outputCol="_s", withMean=False, withStd=True),
-        ]
-    )
-    out = pipe.fit(t).transform(t).withColumn("_a", vector_to_array("_s"))
+    out = Pipeline(stages=ml.feature_stages(SCALE_COLS, [])).fit(t).transform(t).withColumn("_a", vector_to_array("features"))
     return round_doubles(
         out.select("city", "state", "date", *[F.col("_a")[i].alias(f"{c}_scaled") for i, c in enumerate(SCALE_COLS)])
     )
@@ -298,10 +297,12 @@ def q_scale_features(spark: SparkSession, d: str) -> DataFrame:
     "fit_linear",
     with_roles(
         rounded_sql(
-            """WITH t AS (SELECT postal_code, day, temp_avg, humidity FROM station_day
-                          WHERE temp_avg IS NOT NULL AND humidity IS NOT NULL),
-                    c AS (SELECT regr_slope(humidity, temp_avg) AS slope, regr_intercept(humidity, temp_avg) AS intercept FROM t)
-               SELECT postal_code, day, c.intercept + c.slope * t.temp_avg AS prediction FROM t, c""",
+            f"""WITH t AS ({_filled(["temp_avg", "uv", "humidity"], "station_day")}),
+                    s AS (SELECT avg(temp_avg) AS m1, avg(uv) AS m2, avg(humidity) AS my,
+                                 covar_pop(temp_avg, temp_avg) AS s11, covar_pop(uv, uv) AS s22, covar_pop(temp_avg, uv) AS s12,
+                                 covar_pop(humidity, temp_avg) AS s1y, covar_pop(humidity, uv) AS s2y FROM t),
+                    c AS (SELECT *, (s22 * s1y - s12 * s2y) / (s11 * s22 - s12 * s12) AS b1, (s11 * s2y - s12 * s1y) / (s11 * s22 - s12 * s12) AS b2 FROM s)
+               SELECT postal_code, day, c.my + c.b1 * (t.temp_avg - c.m1) + c.b2 * (t.uv - c.m2) AS prediction FROM t, c""",
             ["prediction"],
             4,
         ),
@@ -309,10 +310,11 @@ def q_scale_features(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def q_fit_linear(spark: SparkSession, d: str) -> DataFrame:
-    t = roles.station_day(spark, d).where(F.col("temp_avg").isNotNull() & F.col("humidity").isNotNull())
-    v = VectorAssembler(inputCols=["temp_avg"], outputCol="features").transform(t)
-    model = LinearRegression(labelCol="humidity", regParam=0.0, solver="normal").fit(v)
-    return round_doubles(model.transform(v).select("postal_code", "day", "prediction"), 4)
+    """The candidate's least squares on two imputed and scaled features, every row in; the oracle solves the normal equations."""
+    t = ml.impute_median(roles.station_day(spark, d).select("postal_code", "day", "temp_avg", "uv", "humidity"), ["humidity"])
+    est = dict(ml.candidates("humidity"))["linear_regression"]
+    model = ml.build_model(est, ml.feature_stages(["temp_avg", "uv"], [])).fit(t)
+    return round_doubles(model.transform(t).select("postal_code", "day", "prediction"), 4)
 
 
 def _naive_metrics_sql(keys: str = "city, state") -> str:
@@ -432,6 +434,75 @@ def q_fit_boosted(spark: SparkSession, d: str) -> DataFrame:
     return _fit_facts(spark, d, "gradient_boosting")
 
 
+# Days of the fact have few values here, so SQL can name every split a tree may choose.
+_DAY_FLAGS = """SELECT postal_code, day, humidity, CAST(isodow(day) >= 6 AS DOUBLE) AS weekend, CAST(day(day) > 15 AS DOUBLE) AS late,
+                       CAST(postal_code < '00300' AS DOUBLE) AS low_code
+                FROM station_day WHERE humidity IS NOT NULL"""
+DAY_FLAGS = ["weekend", "late", "low_code"]
+
+
+def _day_flags(spark: SparkSession, d: str) -> DataFrame:
+    day = F.col("day")
+    t = roles.station_day(spark, d).where("humidity IS NOT NULL").select(
+        "postal_code",
+        "day",
+        "humidity",
+        is_weekend(day).cast("double").alias("weekend"),
+        (F.dayofmonth(day) > 15).cast("double").alias("late"),
+        (F.col("postal_code") < "00300").cast("double").alias("low_code"),
+    )
+    return ml.reliable_checkpoint(t)
+
+
+@register(
+    "forest_group_means",
+    with_roles(
+        rounded_sql(
+            f"SELECT postal_code, day, avg(humidity) OVER (PARTITION BY weekend, late, low_code) AS prediction, CAST(0.0 AS DOUBLE) AS apart FROM ({_DAY_FLAGS})",
+            ["prediction"],
+            4,
+        ),
+        "station_day",
+    ),
+)
+def q_forest_group_means(spark: SparkSession, d: str) -> DataFrame:
+    """The forest candidate with one tree on all rows and three flags: fully grown, it predicts the mean of each
+    combination. ``apart``: distance of the scorer over the saved node table from the model's own predictions."""
+    t = _day_flags(spark, d)
+    est = dict(ml.candidates("humidity", forest_trees=1))["random_forest"].setBootstrap(False)
+    pre = VectorAssembler(inputCols=DAY_FLAGS, outputCol="features")
+    model = est.fit(pre.transform(t))
+    path = scratch_path(spark, "forest")
+    model.write().save(path)
+    scored = model.transform(pre.transform(t)).withColumn("from_nodes", ml.score_nodes(ml.node_table(spark, path), DAY_FLAGS))
+    return round_doubles(scored.select("postal_code", "day", "prediction", F.abs(F.col("prediction") - F.col("from_nodes")).alias("apart")), 4)
+
+
+@register(
+    "boosted_stump",
+    with_roles(
+        rounded_sql(
+            f"""WITH t AS ({_DAY_FLAGS}),
+                    every AS (SELECT 1 AS i, 'weekend' AS flag, weekend AS side, humidity FROM t UNION ALL
+                              SELECT 2, 'late', late, humidity FROM t UNION ALL SELECT 3, 'low_code', low_code, humidity FROM t),
+                    sides AS (SELECT i, flag, side, avg(humidity) AS mean, sum(humidity) * sum(humidity) / count(*) AS gain FROM every GROUP BY ALL),
+                    best AS (SELECT i, flag FROM sides GROUP BY i, flag ORDER BY round(sum(gain), 6) DESC, i LIMIT 1)
+               SELECT t.postal_code, t.day, s.mean AS prediction FROM t, best b JOIN sides s ON s.flag = b.flag
+               WHERE s.side = CASE b.flag WHEN 'weekend' THEN t.weekend WHEN 'late' THEN t.late ELSE t.low_code END""",
+            ["prediction"],
+            4,
+        ),
+        "station_day",
+    ),
+)
+def q_boosted_stump(spark: SparkSession, d: str) -> DataFrame:
+    """The boosting candidate cut to one round and one split: it takes the flag that explains most and predicts its sides' means."""
+    t = _day_flags(spark, d)
+    est = dict(ml.candidates("humidity", boost_iters=1))["gradient_boosting"].setMaxDepth(1)
+    v = VectorAssembler(inputCols=DAY_FLAGS, outputCol="features").transform(t)
+    return round_doubles(est.fit(v).transform(v).select("postal_code", "day", "prediction"), 4)
+
+
 @register(
     "select_best",
     with_roles(
@@ -495,7 +566,7 @@ def q_horizon_known_places(spark: SparkSession, d: str) -> DataFrame:
     with_roles(
         rounded_sql(
             f"""WITH line AS (SELECT regr_slope(sales_amount, temp_avg) AS slope, regr_intercept(sales_amount, temp_avg) AS base FROM training),
-                     means AS (SELECT city, state, isodow(date) AS weekday, avg(temp_avg) AS temp_avg FROM place_day_weather
+                     means AS (SELECT city, state, isodow(date) AS weekday, CAST(avg(CAST(temp_avg AS DECIMAL(12,4))) AS DOUBLE) AS temp_avg FROM place_day_weather
                                GROUP BY GROUPING SETS ((city, state, weekday), (city, state))),
                      ahead AS (SELECT city, state, temp_avg AS overall, unnest(range(DATE '2024-01-31', DATE '2024-02-10', INTERVAL 1 DAY))::DATE AS date
                                FROM means WHERE weekday IS NULL)
@@ -512,7 +583,8 @@ def q_score_forecast(spark: SparkSession, d: str) -> DataFrame:
     weather = weather_history(spark, d)
     t = ml.reliable_checkpoint(training(spark, d))
     places = weather.select("city", "state").distinct()
-    ahead = place_labels(dow_profile_forecast(weather, places, ["city", "state"], {"temp_avg": Measure()}, roles.HORIZON_ANCHOR, 10, date_col="date"))
+    ahead = place_labels(dow_profile_forecast(weather, places, ["city", "state"], {"temp_avg": Measure(type="decimal(12,4)")}, roles.HORIZON_ANCHOR, 10, date_col="date"))
+    ahead = ahead.withColumn("temp_avg", F.col("temp_avg").cast("double"))
     fit_on = t.where("temp_avg IS NOT NULL")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=["temp_avg"], outputCol="features"), LinearRegression(labelCol="sales_amount", regParam=0.0, solver="normal")])
     return round_doubles(ml.score_forecast(pipe.fit(fit_on), ahead, features=["temp_avg"]), 2)

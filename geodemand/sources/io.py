@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,7 +84,61 @@ def _ensure_schema(spark: SparkSession, name: str, location: str | None = None)
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {'.'.join(parts[:-1])}{loc}")
 
 
-def write_table(
+def _hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def _versions_folder(spark: SparkSession, name: str, path: str | None) -> str:
+    """Where a table's versions lie: under ``path``, else beside the other tables of its database."""
+    if path:
+        return path.rstrip("/")
+    *db, table = name.split(".")
+    return f"{spark.catalog.getDatabase('.'.join(db) or spark.catalog.currentDatabase()).locationUri.rstrip('/')}/{table}.versions"
+
+
+def _described(spark: SparkSession, name: str) -> tuple[list, str, bool]:
+    """A catalog table's columns and layout, its folder, and whether it is external."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    facts = {r["col_name"]: r["data_type"] for r in rows}
+    shape = [(f.name, f.dataType.simpleString()) for f in spark.table(name).schema.fields]
+    layout = [facts.get(k) for k in ("Provider", "Num Buckets", "Bucket Columns", "Sort Columns")]
+    return [shape, layout, "# Partition Information" in facts], facts["Location"], facts.get("Type") == "EXTERNAL"
+
+
+def _publish(spark: SparkSession, staged: str, name: str) -> None:
+    """Let ``name`` show what the table ``staged`` shows; the version before stays on disk for running readers, older ones go."""
+    new, location, _ = _described(spark, staged)
+    folder, version = location.rsplit("/", 1)
+    before = None
+    if spark.catalog.tableExists(name):
+        old, before, external = _described(spark, name)
+        partitioned = new[2] or old[2]
+        if external and old == new and not partitioned:
+            # one catalog change: readers see the old rows or the new ones
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            spark.sql(f"DROP TABLE {staged}")
+            spark.catalog.refreshTable(name)
+        else:
+            spark.sql(f"DROP TABLE {name}")
+            spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    else:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    p, fs = _hadoop_path(spark, folder)
+    keep = {version, (before or "").rstrip("/").rsplit("/", 1)[-1]}
+    for entry in fs.listStatus(p):
+        found = entry.getPath().getName()
+        if found.startswith("version-") and found not in keep:
+            fs.delete(entry.getPath(), True)
+
+
+def _stage(
     df: DataFrame,
     name: str,
     partition_by: str | Sequence[str] | None = None,
@@ -92,28 +146,48 @@ def write_table(
     path: str | None = None,
     schema_location: str | None = None,
     bucket_by: tuple[int, Sequence[str]] | None = None,
-) -> None:
-    """Create or replace table ``name`` (schema created if absent, at
-    ``schema_location`` when given). ``path`` makes it an external table.
-
-    ``partition_by`` is for large outputs only (e.g. a month column); place-day
-    outputs are small and written unpartitioned. ``bucket_by=(n, cols)``
-    hash-buckets (and sorts) the rows by ``cols``: later joins or groupings
-    on ``cols`` against a table bucketed the same way read co-located buckets
-    instead of shuffling (e.g. resolved customers by ``customer_id``).
-    """
+) -> str:
+    """Write ``df`` as a table of its own beside ``name``, in a new version folder; returns its name. Nothing stays of a write that fails."""
     spark = df.sparkSession
     _ensure_schema(spark, name, schema_location)
-    w = df.write.mode("overwrite").format(fmt)
+    mark = uuid.uuid4().hex
+    staged, folder = f"{name}_staged_{mark}", f"{_versions_folder(spark, name, path)}/version-{mark}"
+    w = df.write.format(fmt).option("path", folder)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     if bucket_by:
         n, cols = bucket_by
         cols = [cols] if isinstance(cols, str) else list(cols)
         w = w.bucketBy(n, *cols).sortBy(*cols)
-    if path:
-        w = w.option("path", path)
-    w.saveAsTable(name)
+    try:
+        w.saveAsTable(staged)
+    except Exception:
+        _discard(spark, staged, folder)
+        raise
+    return staged
+
+
+def _discard(spark: SparkSession, staged: str, folder: str | None = None) -> None:
+    folder = folder or _described(spark, staged)[1]
+    spark.sql(f"DROP TABLE IF EXISTS {staged}")
+    _delete(spark, folder)
+
+
+def write_table(df: DataFrame, name: str, **layout) -> None:
+    """Create or replace table ``name``.
+
+    ``layout``: ``partition_by`` (large outputs only, e.g. a month column; place-day outputs are small and written
+    unpartitioned), ``bucket_by=(n, cols)``, ``fmt``, ``path`` (folder of the table's versions, default beside the
+    database's other tables) and ``schema_location`` (of a schema that is created). Bucketed rows are hash-bucketed
+    and sorted by ``cols``: later joins or groupings on ``cols`` against a table bucketed the same way read
+    co-located buckets instead of shuffling (e.g. resolved customers by ``customer_id``).
+
+    The rows are written to a new version folder first; only then the table is pointed to it. A write that fails
+    leaves the old table as it was, and who reads the old version meanwhile can finish: it stays until the next
+    replacement. Columns, buckets and format unchanged, that is one change in the catalog; else, and for
+    partitioned tables, the name is dropped and given to the new table.
+    """
+    _publish(df.sparkSession, _stage(df, name, **layout), name)
 
 
 def _schema_items(schema: T.StructType | Mapping[str, str]) -> list[tuple[str, str]]:
@@ -126,23 +200,26 @@ def write_guarded(
     df: DataFrame, name: str, schema: T.StructType | Mapping[str, str], **kwargs
 ) -> DataFrame:
     """Refuse empty input and missing columns, keep and type the declared
-    columns, then replace the table. Returns the typed frame that was written.
+    columns, then replace the table. Returns the table that was written.
+
+    The rows are counted while they are written to the table's next version;
+    an empty one is thrown away and the table stays as it was. So the input is
+    computed once and kept nowhere else.
     """
+    spark = df.sparkSession
     items = _schema_items(schema)
     cols = [c for c, _ in items]
     missing = [c for c in cols if c not in df.columns]
     if missing:
-        raise ValueError(f"Dataframe missing required columns: {missing}")
-    typed = df.select(*[F.col(c).cast(t).alias(c) for c, t in items])
-    # The emptiness check and the write share one computation of the input.
-    typed.persist()
-    try:
-        if typed.isEmpty():
-            raise ValueError(f"Refusing to write an empty dataframe to {name}.")
-        write_table(typed, name, **kwargs)
-    finally:
-        typed.unpersist()
-    return typed
+        raise ValueError(f"The table needs columns that the frame lacks: {missing}")
+    seen = Observation()
+    typed = df.select(*[F.col(c).cast(t).alias(c) for c, t in items]).observe(seen, F.count(F.lit(1)).alias("rows"))
+    staged = _stage(typed, name, **kwargs)
+    if not seen.get["rows"]:
+        _discard(spark, staged)
+        raise ValueError(f"There are no rows to write to {name}.")
+    _publish(spark, staged, name)
+    return spark.table(name)
 
 
 def coerce(df: DataFrame, schema: T.StructType | Mapping[str, str]) -> DataFrame:

@@ -101,8 +101,6 @@ def test_imputer_stages(spark):
     from geodemand.operators import ml
 
     df = spark.createDataFrame([(1.0, "a"), (2.0, "b"), (None, "b"), (10.0, None), (3.0, "a"), (4.0, "a")], "x double, c string")
-    filled = ml.mode_imputer(["c"]).fit(ml.median_imputer(["x"]).fit(df).transform(df)).transform(
-        ml.median_imputer(["x"]).fit(df).transform(df)
-    )
+    filled = ml.MedianModeImputer(numericCols=["x"], modeCols=["c"]).fit(df).transform(df)
     got = sorted((r.x, r.c) for r in filled.collect())
     assert (3.0, "b") in got and (10.0, "a") in got

@@ -30,6 +30,16 @@ def test_run_writes_outputs(spark, tmp_path):
     from geodemand.operators.ml import load_model
 
     assert load_model(f"{cfg.out_dir}/model") is not None
+    for copy, rows in (("training_csv", s["train_rows"] + s["valid_rows"]), ("weather_forecast_csv", 50)):
+        assert spark.read.option("header", True).csv(f"{cfg.out_dir}/{copy}").count() == rows
+    # the saved model scores the same horizon from its CSV copy alone, without any training input
+    from geodemand.plans.job import build_tables
+
+    horizon = {"path": f"{cfg.out_dir}/weather_forecast_csv", "schema": build_tables(spark, JobConfig(sf_dir=SF))["horizon"].schema.toDDL()}
+    again = run(spark, JobConfig(inputs={"horizon": horizon}, model_path=f"{cfg.out_dir}/model", model_name="kept", out_dir=str(tmp_path / "again")))
+    assert _forecast(again) == _forecast(out) and again["metrics"] is None
+    assert {r["model_name"] for r in again["forecast"].collect()} == {"kept"}
+    assert sorted(os.listdir(tmp_path / "again")) == ["sales_forecast_csv", "weather_forecast_csv"]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -90,3 +100,26 @@ def test_inputs_are_named_when_missing(spark):
     spark.range(1).createOrReplaceTempView("thin_places")
     with pytest.raises(ValueError, match="center_lat"):
         job_input(spark, JobConfig(inputs={"places": "thin_places"}), "places")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
+def test_demo_model_from_csv(spark, tmp_path, capsys):
+    import json
+
+    from geodemand.operators.features import effects_score
+    from geodemand.operators.ml import DEMO_TARGET, load_model, train_demo
+    from geodemand.plans.job import main, run_demo
+    from geodemand.sources import roles
+
+    days = effects_score(roles.demo_day(spark, SF), name=DEMO_TARGET)
+    days.write.option("header", True).csv(f"{tmp_path}/days")
+    got = run_demo(spark, f"{tmp_path}/days", f"{tmp_path}/out", trees=5)
+    want = train_demo(days, trees=5)[1].first()
+    assert (got["summary"]["train_rows"], got["summary"]["test_rows"]) == (want["train_rows"], want["test_rows"])
+    assert load_model(f"{tmp_path}/out/model").transform(days).count() == days.count()
+    assert spark.read.json(f"{tmp_path}/out/metrics").count() == 1
+    days.drop("season", "is_rainy").write.option("header", True).csv(f"{tmp_path}/thin")
+    with pytest.raises(ValueError, match="is_rainy, season"):
+        run_demo(spark, f"{tmp_path}/thin")
+    main([json.dumps({"demo_csv": f"{tmp_path}/days", "trees": 3})])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["train_rows"] == want["train_rows"]

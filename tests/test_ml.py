@@ -26,10 +26,48 @@ def test_median_exact_small_and_forced_narrowing(spark):
     vals = [rnd.choice([rnd.gauss(0, 1e6), 7.0, 7.0]) for _ in range(4001)]
     big = spark.createDataFrame([(v,) for v in vals], "x double")
     s = sorted(vals)
-    assert ml.exact_median(big, "x", n_buckets=8, max_collect=50) == s[2000]
+    assert ml.exact_median(big, "x", step_bits=3) == s[2000]
     even = spark.createDataFrame([(v,) for v in vals[:4000]], "x double")
     s = sorted(vals[:4000])
-    assert ml.exact_median(even, "x", n_buckets=4, max_collect=10) == (s[1999] + s[2000]) / 2
+    assert ml.exact_median(even, "x", step_bits=5) == (s[1999] + s[2000]) / 2
+
+
+def jobs_of(spark, group, action):
+    spark.sparkContext.setJobGroup(group, group)
+    out = action()
+    spark.sparkContext.setJobGroup("", "")
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_median_jobs_do_not_grow_with_columns(spark):
+    rnd = random.Random(4)
+    rows = [tuple(rnd.choice([rnd.gauss(0, 10.0**k), float(k), None]) for k in range(-4, 4)) for _ in range(1501)]
+    df = spark.createDataFrame(rows, ", ".join(f"c{k} double" for k in range(8))).repartition(3)
+    medians, many = jobs_of(spark, "eight", lambda: ml.exact_medians(df, df.columns))
+    for k, c in enumerate(df.columns):
+        s = sorted(r[k] for r in rows if r[k] is not None)
+        assert medians[c] == (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
+    deepest = max(jobs_of(spark, f"one {c}", lambda c=c: ml.exact_medians(df, [c]))[1] for c in df.columns)
+    assert many == deepest  # as many passes as the column that needs the most, for all together
+    assert ml.exact_medians(df.limit(0), df.columns) == {} and ml.exact_medians(df, []) == {}
+
+
+def test_ordered_bits_keep_the_order_and_come_back(spark):
+    import struct
+
+    rnd = random.Random(5)
+    values = [0.0, -0.0, 5e-324, 2.2250738585072014e-308, 2.2250738585072009e-308, 1.7976931348623157e308, 1.0, 2.0, 0.1, float("inf")]
+    values += [2.0**k for k in range(-1074, 1024, 7)] + [float(x) for k in range(-1000, 1000, 9) for x in (2.0**k * (2 - 2**-52), 2.0**k * (1 + 2**-52))]
+    values += [struct.unpack("<d", struct.pack("<Q", rnd.getrandbits(63)))[0] for _ in range(2000)]
+    values = [v for v in values if v == v]
+    values += [-v for v in values]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", ml.ordered_bits(F.col("v")).alias("k")).collect()
+    for r in got:
+        assert ml.from_ordered_bits(r["k"]) == r["v"]
+    by_key = [r["v"] for r in sorted(got, key=lambda r: r["k"])]
+    assert by_key == sorted(values)
+    none = spark.createDataFrame([(float("nan"),), (None,)], "v double").select(ml.ordered_bits(F.col("v"))).collect()
+    assert [r[0] for r in none] == [None, None]
 
 
 def test_mode_smallest_on_ties(spark):
@@ -65,7 +103,7 @@ def test_regression_metrics_constant_target(spark):
 
 def test_select_best_refuses_empty(spark):
     empty = spark.createDataFrame([], "city string, state string, temp_avg double, sales_amount double")
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no rows to train"):
         ml.select_best(empty, empty, ml.candidates()[:1], ml.feature_stages(["temp_avg"]))
 
 
@@ -79,6 +117,7 @@ def test_select_best_and_round_trip(spark, tmp_path):
     assert sel.model_name == "linear_regression"
     assert sel.train_rows == 30 and sel.valid_rows == 10
     assert sel.metrics.where("selected").count() == 1
+    assert [r["model_name"] for r in sel.metrics.collect()] == ["linear_regression", "random_forest", "gradient_boosting"]
     path = str(tmp_path / "m")
     ml.save_model(sel.model, path)
     a = sel.model.transform(valid).select("prediction").collect()
@@ -86,7 +125,7 @@ def test_select_best_and_round_trip(spark, tmp_path):
     assert a == b
     fc = ml.score_forecast(sel.model, valid.drop("sales_amount", "is_valid"))
     assert fc.count() == 10 and "sales_amount_pred" in fc.columns
-    with pytest.raises(ValueError, match="empty"):
+    with pytest.raises(ValueError, match="no horizon rows"):
         ml.score_forecast(sel.model, valid.limit(0))
 
 
@@ -135,4 +174,18 @@ def test_median_with_infinities_matches_numpy(spark):
     for vals in ([1.0, inf, 2.0, -inf, 3.0], [inf, inf, 1.0], [-inf, 5.0, 6.0, 7.0], [2.0, 2.0, inf, 4.0, None, float("nan")]):
         df = spark.createDataFrame([(v,) for v in vals], "x double")
         clean = [v for v in vals if v is not None and v == v]
-        assert ml.exact_median(df, "x", n_buckets=4, max_collect=1) == float(np.median(clean))
+        assert ml.exact_median(df, "x", step_bits=7) == float(np.median(clean))
+
+
+def test_candidates_share_one_preprocessing(spark, monkeypatch):
+    rows = [(c, "S", float(i % 7), None if i % 5 == 0 else float(i), 3.0 * i) for i, c in enumerate("ab" * 20)]
+    df = spark.createDataFrame(rows, "city string, state string, temp_avg double, uv double, sales_amount double")
+    fits, real = [], ml.MedianModeImputer._fit
+    monkeypatch.setattr(ml.MedianModeImputer, "_fit", lambda self, data: fits.append(1) or real(self, data))
+    stored, checkpoint = [], ml.reliable_checkpoint
+    monkeypatch.setattr(ml, "reliable_checkpoint", lambda df: stored.append(df.columns) or checkpoint(df))
+    sel = ml.select_best(df, df, ml.candidates(forest_trees=3, boost_iters=2), ml.feature_stages(["temp_avg", "uv"]))
+    assert len(fits) == 1 and stored.count(["features", "sales_amount"]) == 2 and len(stored) == 3  # and the imputer's own columns
+    alone = ml.build_model(dict(ml.candidates(forest_trees=3, boost_iters=2))[sel.model_name], ml.feature_stages(["temp_avg", "uv"])).fit(df)
+    keys = ["city", "temp_avg", "sales_amount", "prediction"]
+    assert sorted(sel.model.transform(df).select(keys).collect()) == sorted(alone.transform(df).select(keys).collect())

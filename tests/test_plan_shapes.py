@@ -61,3 +61,28 @@ def test_no_python_in_any_query_plan(spark):
         p = plan(q(spark, SF))
         assert not any(n in p for n in PYTHON_NODES), name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def below(p: str, upper: str, lower: str) -> bool:
+    """Whether ``lower`` first stands in the same branch of the plan under the last ``upper``."""
+    lines = p.splitlines()
+    at = max(i for i, x in enumerate(lines) if upper in x)
+    return any(lower in x for x in lines[at:])
+
+
+def test_orders_are_reduced_to_target_customers_before_their_json_is_parsed(spark):
+    p = plan(registry.QUERIES["place_day_sales"](spark, SF))
+    assert below(p, "from_json", "_reduce_bits") and below(p, "partial_sum", "_reduce_bits")
+    assert "BroadcastHashJoin [_reduce_word" in p
+
+
+def test_station_days_are_reduced_to_mapped_stations_before_they_are_summed(spark):
+    from geodemand.plans.weather import place_day_weather
+    from geodemand.operators.measures import Measure
+
+    fact = spark.range(1000).selectExpr("id % 50 AS postal_code", "date'2024-01-01' AS day", "id % 90 * 1.0 AS lat", "id % 90 * 1.0 AS lon", "1.0 AS temp_avg")
+    p = plan(place_day_weather(fact, roles.places(spark, SF), 80.0, {"temp_avg": Measure()}))
+    sums = [i for i, x in enumerate(p.splitlines()) if "partial_sum" in x and "partial_count" in x]
+    reduced = [i for i, x in enumerate(p.splitlines()) if "_reduce_word" in x and "BroadcastHashJoin" in x]
+    exchanges = [i for i, x in enumerate(p.splitlines()) if "Exchange hashpartitioning(postal_code" in x]
+    assert sums and reduced and max(i for i in sums if i < reduced[0]) < reduced[0] < min(i for i in [*exchanges, 10**6] if i > reduced[0])

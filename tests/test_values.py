@@ -34,7 +34,7 @@ def test_narrowing_ends_for_extreme_ranges(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     s = sorted(values)
     mid = (s[(len(s) - 1) // 2] + s[len(s) // 2]) / 2
-    assert ml.exact_median(df, "x", n_buckets=4, max_collect=1) == mid
+    assert ml.exact_median(df, "x", step_bits=6) == mid
 
 
 def test_a_feature_without_values_is_named(spark):

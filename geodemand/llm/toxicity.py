@@ -135,7 +135,7 @@ def train(labelled: DataFrame, label: Column, spec: FMSpec = FMSpec()) -> FMMode
     swell the sample; a text with both labels counts with each.
     """
     rows = labelled.select(F.coalesce("text", F.lit("")).alias("text"), label.cast("int").alias("y")).where("y is not null")
-    total = rows.select(F.xxhash64("text").alias("h"), "y").distinct().count()
+    total = rows.count()  # with copies, so the sample may be smaller than wanted, never larger
     drawn = rows.where(unit_hash("text", F.lit(spec.seed)) < min(1.0, spec.sample_rows / max(1, total)))
     drawn = drawn.groupBy(F.xxhash64("text").alias("h"), "y").agg(F.first("text").alias("text"))
 

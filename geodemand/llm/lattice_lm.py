@@ -60,6 +60,8 @@ def read_pieces(path: str) -> tuple[list[str], np.ndarray]:
 BASE = np.uint64(0x100000001B3)
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 SLOT_BITS = 20
+# Longer words are worked on one by one, with the arcs that exist only, this many positions at a time.
+LONG, LONG_BLOCK = 256, 65_536
 
 
 class Lattice:
@@ -146,8 +148,68 @@ class Lattice:
             alpha[:, j] = _log_sum(terms)
         return alpha
 
+    def _sparse(self, word: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, dict[int, bytes]]]:
+        """Arcs of one long word by their end, a block of positions at a time: (start, end, piece, weight), and the bytes of
+        the characters that no piece covers (piece -1), by their start."""
+        chars = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
+        n = len(chars)
+        powers = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(self.longest, BASE)]), dtype=np.uint64)
+        tail = np.zeros(1, np.uint64)  # running hashes at the positions just before the block
+        for a in range(0, n, LONG_BLOCK):
+            some = chars[a : a + LONG_BLOCK].astype(np.uint64) + np.uint64(1)
+            sums = np.empty(len(tail) + len(some), np.uint64)
+            sums[: len(tail)], h = tail, int(tail[-1])
+            for k, c in enumerate(some.tolist(), len(tail)):
+                h = (h * int(BASE) + c) & 0xFFFFFFFFFFFFFFFF
+                sums[k] = h
+            ends = np.arange(len(tail), len(sums))
+            found = []
+            for size in range(1, min(self.longest, len(sums) - 1) + 1):
+                e = ends[ends >= size]
+                ids = self._ids(sums[e] - sums[e - size] * powers[size])
+                hit = np.flatnonzero((ids >= 0) | (size == 1))
+                found.append((e[hit] - size, e[hit], ids[hit]))
+            s, e, ids = (np.concatenate(c) for c in zip(*found))
+            order = np.argsort(e, kind="stable")
+            shift = a - len(tail) + 1
+            s, e, ids = s[order] + shift, e[order] + shift, ids[order]
+            weight, bare = np.where(ids >= 0, self.logs[ids], 0.0), np.flatnonzero(ids < 0)
+            raw = {int(s[k]): chr(chars[s[k]]).encode("utf-8", "replace") for k in bare}
+            weight[bare] = [sum(self.logs[len(self.pieces) + b] for b in raw[int(s[k])]) for k in bare]
+            yield s, e, ids, weight, raw
+            tail = sums[-self.longest :]
+
+    def _walk(self, arcs: Iterator, n: int, back: bool = False) -> np.ndarray:
+        """Log of the summed weight of all ways to each position of a long word, or from it to the end."""
+        out = [-math.inf] * (n + 1)
+        out[n if back else 0] = 0.0
+        for s, e, _, weight, _ in arcs:
+            rows = zip(e.tolist(), s.tolist(), weight.tolist()) if back else zip(s.tolist(), e.tolist(), weight.tolist())
+            for x, y, w in reversed(list(rows)) if back else rows:
+                w += out[x]
+                high, low = (w, out[y]) if w > out[y] else (out[y], w)
+                if low > high - 40.0:
+                    high += math.log1p(math.exp(low - high))
+                out[y] = high
+        return np.array(out)
+
+    def _expected_long(self, word: str, times: float) -> np.ndarray:
+        parts, n = list(self._sparse(word)), len(word)
+        alpha, beta = self._walk(parts, n), self._walk(sorted(parts, key=lambda p: -p[1][-1]), n, back=True)
+        out = np.zeros(len(self.logs))
+        for s, e, ids, weight, raw in parts:
+            share = np.exp(alpha[s] + weight + beta[e] - alpha[n]) * times
+            hit = ids >= 0
+            out += np.bincount(ids[hit], share[hit], len(out))
+            for at, x in zip(s[~hit].tolist(), share[~hit].tolist()):
+                for b in raw[at]:
+                    out[len(self.pieces) + b] += x
+        return out
+
     def expected(self, words: list[str], times: np.ndarray) -> np.ndarray:
         """Expected uses of each piece and byte over the words, each counted ``times`` times."""
+        if len(words[0]) > LONG:
+            return sum(self._expected_long(w, t) for w, t in zip(words, times))
         _, arcs, spelled = self._arcs(words)
         n = len(words[0])
         weights = {k: self._weight(arcs, spelled, *k) for k in arcs}
@@ -180,7 +242,10 @@ class Lattice:
         """log10 of each word's marginal probability."""
         out = np.zeros(len(words))
         for at in self.by_length(words, chunk):
-            out[at] = self.forward([words[k] for k in at])[:, -1] / math.log(10)
+            if len(words[at[0]]) > LONG:
+                out[at] = [self._walk(self._sparse(words[k]), len(words[k]))[-1] / math.log(10) for k in at]
+            else:
+                out[at] = self.forward([words[k] for k in at])[:, -1] / math.log(10)
         return out
 
 
@@ -290,7 +355,7 @@ def fit(words: DataFrame, texts: int, spec: LMSpec = LMSpec()) -> LMModel:
 
 
 def score_words(words: DataFrame, model: LMModel, spec: LMSpec = LMSpec()) -> DataFrame:
-    """(word, count, score, base): log10 probabilities of each word, its lattice computed once."""
+    """(word, count, score, base, lattice): log10 probabilities of each word, its lattice computed once; ``lattice`` is that alone."""
     shared = words.sparkSession.sparkContext.broadcast((model.pieces, model.logs))
     facts = (model.end, model.tokens, model.types, model.texts, model.discount)
     longest, chunk = spec.longest, spec.chunk
@@ -302,37 +367,39 @@ def score_words(words: DataFrame, model: LMModel, spec: LMSpec = LMSpec()) -> Da
             count = batch.column("count").to_numpy().astype(float)
             spelled = lattice.log10([START + w for w in batch.column("word").to_pylist()], chunk) + math.log10(1 - lm.end)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("count"), pa.array(lm.log10_word(count, spelled)), pa.array(lm.log10_base(count))], ["word", "count", "score", "base"]
+                [batch.column("word"), batch.column("count"), pa.array(lm.log10_word(count, spelled)), pa.array(lm.log10_base(count)), pa.array(spelled)],
+                ["word", "count", "score", "base", "lattice"],
             )
 
-    return words.select("word", "count").mapInArrow(run, "word string, count long, score double, base double")
+    return words.select("word", "count").mapInArrow(run, "word string, count long, score double, base double, lattice double")
 
 
 def score_texts(docs: DataFrame, words: DataFrame, model: LMModel, spec: LMSpec = LMSpec()) -> DataFrame:
-    """All rows and columns of ``docs`` but ``text``, plus n_tokens, n_known, train_tokens, base_score, score.
+    """All rows and columns of ``docs`` but ``text``, plus n_tokens, n_known, train_tokens, base_score,
+    score and lattice_score (the words' and the end's lattice probability alone, without the word counts).
 
     ``words``: the scored words of all texts (:func:`score_words`). A null or
     empty text is scored by its end alone. Scores depend on the text only;
-    repeated rows are kept. Input columns with the five names are replaced.
+    repeated rows are kept. Input columns with the six names are replaced.
     """
     spark = docs.sparkSession
-    added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    added = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "lattice_score"]
     keep = [c for c in docs.columns if c not in ("text", *added)]
     heavy_at = max(1, math.ceil(spec.heavy_share * model.tokens))
     # bounded: at most 1 / heavy_share words reach heavy_share of all tokens
     heavy = words.where(F.col("count") >= heavy_at).toPandas()
-    shared = spark.sparkContext.broadcast({w.encode(): (s, b) for w, s, b in zip(heavy["word"], heavy["score"], heavy["base"])})
+    shared = spark.sparkContext.broadcast({w.encode(): (s, b, x) for w, s, b, x in zip(heavy["word"], heavy["score"], heavy["base"], heavy["lattice"])})
     one = np.array([float(model.texts)])
-    end = (float(model.log10_word(one, np.array([math.log10(model.end)]))[0]), float(model.log10_base(one)[0]), int(model.texts > 0))
+    end = (float(model.log10_word(one, np.array([math.log10(model.end)]))[0]), float(model.log10_base(one)[0]), int(model.texts > 0), math.log10(model.end))
 
-    @F.arrow_udf("n_tokens long, n_known long, base double, score double, rare array<struct<word:string,n:int>>")
+    @F.arrow_udf("n_tokens long, n_known long, base double, score double, lattice double, rare array<struct<word:string,n:int>>")
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = shared.value
         for texts in batches:
             rows, words, times, ends = [], [], [], [0]
             for text in texts:
                 found = word_counts(text.as_py())
-                n, score, base = 0, end[0], end[1]
+                n, score, base, lattice = 0, end[0], end[1], end[3]
                 for w, k in found.items():
                     hit = known.get(w)
                     if hit is None:
@@ -342,11 +409,12 @@ def score_texts(docs: DataFrame, words: DataFrame, model: LMModel, spec: LMSpec
                         n += k
                         score += k * hit[0]
                         base += k * hit[1]
+                        lattice += k * hit[2]
                 ends.append(len(words))
-                rows.append((sum(found.values()) + 1, n + end[2], base, score))
-            numbers = [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [()] * 4, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+                rows.append((sum(found.values()) + 1, n + end[2], base, score, lattice))
+            numbers = [pa.array(list(c), k) for c, k in zip(zip(*rows) if rows else [()] * 5, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()))]
             rare = pa.StructArray.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(times, pa.int32())], names=["word", "n"])
-            yield pa.StructArray.from_arrays([*numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)], names=["n_tokens", "n_known", "base", "score", "rare"])
+            yield pa.StructArray.from_arrays([*numbers, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rare)], names=["n_tokens", "n_known", "base", "score", "lattice", "rare"])
 
     th, got = fresh("th"), fresh("got")
     scanned = shared_table(spark, docs.select(*[F.col(f"`{c}`") for c in keep], F.xxhash64("text").alias(th), scan("text").alias(got)))
@@ -360,11 +428,12 @@ def score_texts(docs: DataFrame, words: DataFrame, model: LMModel, spec: LMSpec
             F.sum(F.when(F.col("count") > 0, F.col("n")).otherwise(0)).alias("k"),
             F.sum(F.col("n") * F.col("base")).alias("b"),
             F.sum(F.col("n") * F.col("score")).alias("s"),
+            F.sum(F.col("n") * F.col("lattice")).alias("l"),
         )
     )
     copies = scanned.groupBy(th).agg(F.count(F.lit(1)).alias("copies"))
     share = lambda c: (F.col(c) / F.col("copies")).alias(fresh(c))
-    each = copies.join(summed, th).select(F.col(th).alias(fresh("of")), share("k"), share("b"), share("s"))
+    each = copies.join(summed, th).select(F.col(th).alias(fresh("of")), share("k"), share("b"), share("s"), share("l"))
     g = lambda c: F.col(f"{got}.{c}")
     more = lambda c: F.coalesce(fresh(c), F.lit(0.0))
     return scanned.join(each, F.col(th) == F.col(fresh("of")), "left").select(
@@ -374,6 +443,7 @@ def score_texts(docs: DataFrame, words: DataFrame, model: LMModel, spec: LMSpec
         F.lit(model.tokens).cast("long").alias("train_tokens"),
         (g("base") + more("b")).alias("base_score"),
         (g("score") + more("s")).alias("score"),
+        (g("lattice") + more("l")).alias("lattice_score"),
     )
 
 

@@ -50,6 +50,41 @@ def test_expected_uses_match_brute_force():
     assert np.allclose(got, want)
 
 
+def test_long_words_agree_with_short_ones(monkeypatch):
+    """The path for long words, with blocks smaller than a word, against the one for all words."""
+    from geodemand.llm import lattice_lm
+
+    lattice, words = Lattice(PIECES, LOGS, 20), [START + w for w in [*WORDS, "abüé" * 9 + "c" * 41, "z" * 30]]
+    want = lattice.log10(words, 3)
+    uses = sum(lattice.expected([words[k] for k in at], np.arange(1.0, 20)[at]) for at in lattice.by_length(words, 4))
+    monkeypatch.setattr(lattice_lm, "LONG", 0)
+    for block in (3, 7, 65_536):
+        monkeypatch.setattr(lattice_lm, "LONG_BLOCK", block)
+        assert np.allclose(lattice.log10(words, 3), want)
+        assert np.allclose(sum(lattice.expected([words[k] for k in at], np.arange(1.0, 20)[at]) for at in lattice.by_length(words, 4)), uses)
+
+
+def test_a_word_of_a_million_characters_stays_small():
+    import subprocess
+    import sys
+
+    code = """
+import resource
+from geodemand.llm.lattice_lm import Lattice, LMSpec, START, read_pieces
+import numpy as np
+pieces, scores = read_pieces(LMSpec().vocabulary)
+lattice = Lattice(pieces, np.log(np.full(len(pieces) + 256, 1e-4)), LMSpec().longest)
+rng = np.random.default_rng(1)
+word = START + "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789+/"), 1_000_000))
+x = lattice.log10([word], 20_000)[0]
+y = lattice.expected([word], np.ones(1))
+assert -1e7 < x < -1e5 and y.sum() > 1e5
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=600)
+    assert int(got.stdout) < 1000
+
+
 def test_long_words_do_not_underflow():
     lattice = Lattice(PIECES, LOGS, 20)
     x = lattice.log10([START + "ab" * 5000], 10)[0]

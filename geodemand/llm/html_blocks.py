@@ -73,7 +73,8 @@ NAME = re.compile(r"[a-z]+")
 @dataclass(frozen=True)
 class BlockSpec:
     """Fitted on a bounded sample of about ``sample_pages`` pages of at most ``sample_blocks`` blocks
-    and ``sample_chars`` characters each; labelling reads whole pages."""
+    and ``sample_chars`` characters each; labelling reads whole pages, ``chunk`` pages and ``span`` blocks
+    of each at a time."""
 
     sample_pages: int = 300
     sample_blocks: int = 60
@@ -87,6 +88,7 @@ class BlockSpec:
     rate: float = 0.01
     threshold: float = 0.5
     chunk: int = 64
+    span: int = 512
     seed: int = 3
 
 
@@ -224,15 +226,15 @@ def _path_features(path: tuple[tuple[str, str], ...]) -> list[str]:
     return sorted(found | {"l:" + ">".join(last)})
 
 
-def features(blocks: list[Block], paths: _Ids, words: _Ids) -> np.ndarray:
-    """One row per block: path marks, word shares and plain numbers."""
+def features(blocks: list[Block], paths: _Ids, words: _Ids, first: int = 0, total: int = 0) -> np.ndarray:
+    """One row per block: path marks, word shares and plain numbers. ``first`` and ``total`` place a part of a page in it."""
     n, pd_, wd = len(blocks), paths.dims, words.dims
     x = np.zeros((n, pd_ + wd + PLAIN), np.float32)
     for k, b in enumerate(blocks):
         x[k, [paths[f] for f in _path_features(b.path)]] = 1.0
         found = [words[w] for w in b.text.lower().split()]
         x[k, pd_ : pd_ + wd] = np.bincount(found, minlength=wd) / len(found)
-        x[k, pd_ + wd :] = np.log1p(len(b.text)) / 8, b.linked / (1 + len(b.text)), float(b.text[-1] in ".!?"), k / n
+        x[k, pd_ + wd :] = np.log1p(len(b.text)) / 8, b.linked / (1 + len(b.text)), float(b.text[-1] in ".!?"), (first + k) / (total or n)
     return x
 
 
@@ -264,13 +266,14 @@ def _padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def _read(w: dict, x: np.ndarray, mask: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-    """LSTM states of all steps (in page order); the steps' gates are kept for training."""
+def _read(w: dict, x: np.ndarray, mask: np.ndarray, d: str, state: tuple | None = None, keep: bool = False) -> tuple[np.ndarray, list, tuple]:
+    """LSTM states of all steps (in page order), the steps' gates if they are kept (for training), and the state after the
+    last step read, from which the next part of a page goes on."""
     n, t, _ = x.shape
     h = w[f"u{d}"].shape[0]
     x = x @ w[f"x{d}"] + w[f"c{d}"]
     states, steps = np.zeros((n, t, h), np.float32), []
-    hid, cell = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
+    hid, cell = state or (np.zeros((n, h), np.float32), np.zeros((n, h), np.float32))
     for s in range(t) if d == "f" else range(t - 1, -1, -1):
         a = x[:, s] + hid @ w[f"u{d}"]
         gates, g = _sigmoid(a[:, : 3 * h]), np.tanh(a[:, 3 * h :])
@@ -278,26 +281,43 @@ def _read(w: dict, x: np.ndarray, mask: np.ndarray, d: str) -> tuple[np.ndarray,
         m = mask[:, s : s + 1]
         new = f * cell + i * g
         tc = np.tanh(new)
-        steps.append((s, i, f, o, g, tc, hid, cell))
+        if keep:
+            steps.append((s, i, f, o, g, tc, hid, cell))
         hid, cell = m * (o * tc) + (1 - m) * hid, m * new + (1 - m) * cell
         states[:, s] = hid
-    return states, steps
+    return states, steps, (hid, cell)
 
 
-def probabilities(w: dict, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """Article probability of each block: pages x steps."""
-    h = w["uf"].shape[0]
-    z = w["z"][0]
+def probabilities(w: dict, pages: list[list[Block]], paths: _Ids, words: _Ids, span: int) -> list[np.ndarray]:
+    """Article probability of each page's blocks.
+
+    Pages are read ``span`` blocks at a time, once forward and once backward, and the reader's state is carried from part to
+    part: every block still sees the whole page, and memory does not grow with the longest one.
+    """
+    h, n, t = w["uf"].shape[0], len(pages), max(map(len, pages))
+    z = np.full((n, t), w["z"][0], np.float32)
+    starts, once = list(range(0, t, span)), {}
+
+    def part(a: int) -> tuple[np.ndarray, np.ndarray]:
+        if a not in once:
+            once.clear()
+            once[a] = _padded([features(p[a : a + span], paths, words, a, len(p)) for p in pages])
+        return once[a]
+
     for k, d in enumerate("fb"):
-        z = z + _read(w, x, mask, d)[0] @ w["o"][k * h : (k + 1) * h]
-    return _sigmoid(z)
+        state = None
+        for a in starts if d == "f" else starts[::-1]:
+            x, mask = part(a)
+            states, _, state = _read(w, x, mask, d, state)
+            z[:, a : a + x.shape[1]] += states @ w["o"][k * h : (k + 1) * h]
+    return [_sigmoid(row[: len(p)]) for row, p in zip(z, pages)]
 
 
 def _gradients(w: dict, x: np.ndarray, mask: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean logistic loss, by backpropagation through time."""
     n, t, dims = x.shape
     h = w["uf"].shape[0]
-    reads = {d: _read(w, x, mask, d) for d in "fb"}
+    reads = {d: _read(w, x, mask, d, keep=True) for d in "fb"}
     both = np.concatenate([reads["f"][0], reads["b"][0]], 2)
     err = (_sigmoid(both @ w["o"] + w["z"][0]) - labels) * mask / mask.sum()
     grads = {"o": np.einsum("nt,nth->h", err, both), "z": np.array([err.sum()])}
@@ -389,9 +409,8 @@ def main_texts(pages: list[str | None], w: dict[str, np.ndarray], spec: BlockSpe
     order = sorted((k for k in range(len(pages)) if parsed[k]), key=lambda k: len(parsed[k]))
     for at in range(0, len(order), spec.chunk):
         group = order[at : at + spec.chunk]
-        p = probabilities(w, *_padded([features(parsed[k], paths, words) for k in group]))
-        for r, k in enumerate(group):
-            out[k] = "\n".join(b.text for b, x in zip(parsed[k], p[r]) if x >= spec.threshold)
+        for k, p in zip(group, probabilities(w, [parsed[k] for k in group], paths, words, spec.span)):
+            out[k] = "\n".join(b.text for b, x in zip(parsed[k], p) if x >= spec.threshold)
     return out
 
 

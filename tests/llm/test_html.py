@@ -65,7 +65,8 @@ def test_gradients_match_differences():
     y = (rng.random(mask.shape) < 0.5).astype(float)
 
     def loss():
-        p = H.probabilities(w, x, mask)
+        z = w["z"][0] + sum(H._read(w, x, mask, d)[0] @ w["o"][k * 3 : k * 3 + 3] for k, d in enumerate("fb"))
+        p = H._sigmoid(z)
         return -((y * np.log(p) + (1 - y) * np.log(1 - p)) * mask).sum() / mask.sum()
 
     grads = H._gradients(w, x, mask, y)
@@ -81,6 +82,39 @@ def test_gradients_match_differences():
             assert abs((up - down) / (2 * step) - g.reshape(-1)[k]) < 2e-3, key
 
 
+def test_parts_of_a_page_are_read_as_one():
+    rng = random.Random(2)
+    spec = H.BlockSpec(hidden=8)
+    w = H.new_weights(spec)
+    w = {k: v * 4 for k, v in w.items()}
+    pages = [[H.Block(" ".join(rng.choices("the a of to in . !".split(), k=rng.randint(1, 9))), ((rng.choice(["div", "p"]), rng.choice(["nav", "x"])),), 0) for _ in range(n)] for n in (1, 7, 40, 41, 90)]
+    ids = H._Ids(spec.path_dims), H._Ids(spec.word_dims)
+    whole = H.probabilities(w, pages, *ids, span=1000)
+    for span in (1, 13, 40, 90):
+        for a, b in zip(whole, H.probabilities(w, pages, *ids, span=span)):
+            assert np.allclose(a, b, atol=1e-5)
+    alone = [H.probabilities(w, [p], *ids, span=17)[0] for p in pages]
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(whole, alone))
+
+
+def test_a_page_of_many_blocks_stays_small():
+    import subprocess
+    import sys
+
+    code = """
+import resource
+from geodemand.llm import html_blocks as H
+spec = H.BlockSpec()
+page = "<html><body><article>" + "<p>one two three four.</p>" * 100_000 + "</article></body></html>"
+pages = [page] + ["<html><body><p>short page</p></body></html>"] * 63
+out = H.main_texts(pages, H.new_weights(spec), H.BlockSpec(threshold=0.0), H._Ids(spec.path_dims), H._Ids(spec.word_dims))
+assert out[0].count("\\n") == 99_999 and out[1] == "short page"
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+    got = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, timeout=900)
+    assert int(got.stdout) < 1000
+
+
 def page(rng, parts):
     return f"<!DOCTYPE html><html><head><title>t</title></head><body>{''.join(parts)}</body></html>"
 

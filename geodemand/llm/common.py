@@ -51,6 +51,17 @@ def shared_table(spark: SparkSession, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(*tables: DataFrame) -> None:
+    """Delete tables that :func:`shared_table` wrote, once nothing reads them any more."""
+    for df in tables:
+        spark = df.sparkSession
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            if "/table-" in folder:
+                path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     """``df`` hinted for broadcast if it has at most ``max_rows`` rows (counted on the executors), else as it is."""
     return F.broadcast(df) if df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows else df

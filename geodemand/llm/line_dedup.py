@@ -1,36 +1,36 @@
 """Line deduplication by MinHash (operator 1, built-in functions only).
 
 Lines are compared by their sets of character n-grams. Equal lines are one
-node. A line's signature is the least of its n-gram hashes under many bit
-flips; signature bands propose candidates with high recall; candidates are
+node. A line's signature is made by one-permutation MinHash: its n-gram hashes
+are dealt into bins and each bin keeps its least, an empty bin taking the next
+one's; signature bands propose candidates with high recall; candidates are
 verified by exact Jaccard similarity; distributed union-find over the verified
 links gives components, and one line per component is kept.
 
-Within a band bucket, lines are first verified against one of them, then those
-still apart against two others in turn; then, with the components known, across components
-only. An exact bound (size and parity-sketch distance) discards hopeless pairs
-before they are verified, in the last step inside the join. So a bucket of
-thousands of similar lines never turns into all pairs.
+Within a band bucket, lines are first verified against one of them; then, with
+the components known, across components only. An exact bound (size and
+parity-sketch distance) discards hopeless pairs before they are verified, in
+the last step inside the join. So a bucket of thousands of similar lines never
+turns into all pairs.
 """
 
 from __future__ import annotations
 
 import functools
 import operator
-import random
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, fresh, shared_table, small_side
+from .common import SPACE_CHARS, release, shared_table, small_side
 from .components import connected_components
 
 
 @dataclass(frozen=True)
 class LineSpec:
     """Lines link at a Jaccard similarity of at least ``percent`` in 100 over ``n``-character n-grams.
-    With 9 bands of 3 rows a pair at 0.8 is proposed with probability 0.998, one at 0.9 with 0.99999."""
+    9 bands of 3 rows propose 0.997 or more of the pairs at 0.8, whatever the lines' length (measured)."""
 
     n: int = 8
     percent: int = 80
@@ -38,7 +38,6 @@ class LineSpec:
     rows: int = 3
     sketch_longs: int = 32
     broadcast_rows: int = 500_000
-    seed: int = 1
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -67,18 +66,24 @@ def grams(line: Column, n: int) -> Column:
     return F.array_distinct(F.element_at(code, 1))
 
 
+def _filled(least: Column) -> Column:
+    """Bins with each empty one taking the next that is not, around the end."""
+    twice = F.concat(least, least)
+    return F.transform(least, lambda m, i: F.coalesce(m, F.get(F.filter(F.slice(twice, i + 2, F.size(least) - 1), lambda x: x.isNotNull()), F.lit(0))))
+
+
 def band_keys(distinct: DataFrame, spec: LineSpec) -> DataFrame:
     """(lid, bands): signature bands of lines that are partitioned by ``lid`` already, so the minima need no shuffle."""
-    draw = random.Random(spec.seed)
     k = spec.bands * spec.rows
-    # flips differ in their leading bits, so the minima come from different regions of the hash range
-    flips = [((i << 64) // k + draw.getrandbits(58)) % (1 << 64) - (1 << 63) for i in range(k)]
     # encoded below the explode, once per line; above it, every n-gram would encode its line again
     coded = distinct.select("lid", _encoded(F.col("line")).alias("e"))
     grams_at = F.sequence(F.lit(1), F.greatest((F.octet_length("e") / 4).cast("int") - (spec.n - 1), F.lit(1)))
     hashed = coded.select("lid", "e", F.explode(grams_at).alias("i")).select("lid", _gram(F.col("e"), F.col("i"), spec.n).alias("h"))
-    least = hashed.groupBy("lid").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(x).cast("long"))).alias(f"m{i}") for i, x in enumerate(flips)])
-    return least.select("lid", F.array(*[F.xxhash64(F.lit(b), *[f"m{b * spec.rows + r}" for r in range(spec.rows)]) for b in range(spec.bands)]).alias("bands"))
+    binned = hashed.withColumn("bin", F.pmod("h", F.lit(k)).cast("int"))
+    # filtered aggregates: an n-gram touches its own bin only
+    least = binned.groupBy("lid").agg(*[F.expr(f"min(h) filter (where bin = {i})").alias(f"m{i}") for i in range(k)])
+    bins = least.select("lid", F.array(*[f"m{i}" for i in range(k)]).alias("m")).select("lid", _filled(F.col("m")).alias("m"))
+    return bins.select("lid", F.array(*[F.xxhash64(F.lit(b), *[F.col("m")[b * spec.rows + r] for r in range(spec.rows)]) for b in range(spec.bands)]).alias("bands"))
 
 
 def _possible(spec: LineSpec, a: str = "a", b: str = "b") -> Column:
@@ -93,9 +98,10 @@ def _sketches(texts: DataFrame, spec: LineSpec) -> DataFrame:
     each = texts.select("lid", F.explode(grams(F.col("line"), spec.n)).alias("h"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
     word = F.pmod(F.shiftright("h", 6), F.lit(spec.sketch_longs))
-    return each.select("lid", bit.alias("bit"), word.alias("word")).groupBy("lid").agg(
-        F.count(F.lit(1)).alias("n"), *[F.bit_xor(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(spec.sketch_longs)]
+    folded = each.select("lid", bit.alias("bit"), word.cast("int").alias("word")).groupBy("lid").agg(
+        F.count(F.lit(1)).alias("n"), *[F.expr(f"bit_xor(bit) filter (where word = {i})").alias(f"s{i}") for i in range(spec.sketch_longs)]
     )
+    return folded.fillna(0)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, spec: LineSpec) -> DataFrame:
@@ -106,44 +112,31 @@ def _linked(pairs: DataFrame, texts: DataFrame, spec: LineSpec) -> DataFrame:
     return sets.where(100 * both >= spec.percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
 
 
-def _hub_links(members: DataFrame, hub: Column, facts: DataFrame, texts: DataFrame, spec: LineSpec) -> DataFrame:
-    """Verified links between each bucket's hub line and its lines of other components (columns bk, lid, root)."""
-    hubs = members.groupBy("bk").agg(hub.alias("hub"))
-    facing = members.join(hubs, "bk").where(F.col("root") != F.col("hub.root")).select(F.least("lid", "hub.lid").alias("x"), F.greatest("lid", "hub.lid").alias("y")).distinct()
-    near = facing.join(facts.alias("a"), F.col("x") == F.col("a.lid")).join(facts.alias("b"), F.col("y") == F.col("b.lid")).where(_possible(spec))
-    pairs = shared_table(members.sparkSession, near.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return _linked(pairs, texts, spec)
-
-
-def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Lines of the buckets that still hold more than one component, with their components."""
-    spark = members.sparkSession
-    now = members.select("bk", "lid").join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid"))
-    mixed = now.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bk")
-    return shared_table(spark, now.join(mixed, "bk").select("bk", "lid", "root"))
-
-
 def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
     """(node, root) over line hashes; lines without links are left out."""
     spark = lines.sparkSession
     distinct = lines.where("lid is not null").groupBy("lid").agg(F.first("line").alias("line"))
     nodes = shared_table(spark, band_keys(distinct, spec))
     postings = nodes.select("lid", F.explode("bands").alias("bk"))
-    shared = shared_table(spark, postings.groupBy("bk").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bk"))
-    members = shared_table(spark, postings.join(small_side(shared, spec.broadcast_rows), "bk"))
+    # buckets of two and more lines, each with the line that the others are first compared to
+    buckets = shared_table(spark, postings.groupBy("bk").agg(F.count(F.lit(1)).alias("held"), F.min("lid").alias("hub")).where("held > 1").select("bk", "hub"))
+    members = shared_table(spark, postings.join(small_side(buckets, spec.broadcast_rows), "bk"))
+    release(buckets)
     # the lines that share a bucket are read again from the source, once
     wanted = shared_table(spark, members.select("lid").distinct())
     texts = shared_table(spark, lines.select("lid", "line").join(small_side(wanted, spec.broadcast_rows), "lid").groupBy("lid").agg(F.first("line").alias("line")))
     facts = shared_table(spark, _sketches(texts, spec))
 
-    links = roots = None
-    apart = members.withColumn("root", F.col("lid"))
-    middle = lambda place: F.min_by(place, F.xxhash64("lid", F.lit(spec.seed)))
-    for hub in (F.min, F.max, middle):
-        new = _hub_links(apart, hub(F.struct("lid", "root")), facts, texts, spec)
-        links = new if links is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)
-        roots = connected_components(links, "a", "b")
-        apart = _rooted(apart, roots)
+    facing = members.where("lid <> hub").select(F.col("hub").alias("x"), F.col("lid").alias("y")).distinct()
+    near = facing.join(facts.alias("a"), F.col("x") == F.col("a.lid")).join(facts.alias("b"), F.col("y") == F.col("b.lid")).where(_possible(spec))
+    pairs = shared_table(spark, near.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    roots = connected_components(_linked(pairs, texts, spec), "a", "b")
+    release(pairs, wanted)
+
+    # buckets that still hold more than one component
+    now = members.select("bk", "lid").join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid"))
+    mixed = now.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bk")
+    apart = now.join(mixed, "bk").select("bk", "lid", "root")
     bands = nodes.select("lid", *[F.col("bands")[i].alias(f"b{i}") for i in range(spec.bands)], "bands")
     rest = apart.join(facts, "lid").join(bands, "lid").withColumn("band", F.array_position("bands", F.col("bk")) - 1).drop("bands")
     rest = shared_table(spark, rest)
@@ -152,7 +145,11 @@ def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
     is_first = functools.reduce(operator.and_, [(F.col("a.band") <= i) | (F.col(f"a.b{i}") != F.col(f"b.b{i}")) for i in range(spec.bands)])
     across = a.join(b, (F.col("a.bk") == F.col("b.bk")) & (F.col("a.lid") < F.col("b.lid")) & (F.col("a.root") != F.col("b.root")) & is_first & _possible(spec))
     pairs = shared_table(spark, across.select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")))
-    return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_linked(pairs, texts, spec)), "a", "b")
+    release(rest)
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_linked(pairs, texts, spec))
+    found = connected_components(links, "a", "b")
+    release(nodes, members, texts, facts, pairs)
+    return found
 
 
 def line_classes(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:

@@ -123,6 +123,27 @@ def test_lines_match_brute_force(spark):
     assert all(r["kept"] and r["component"] is None for r in out if not texts[r["doc_id"], r["line_no"]])
 
 
+def test_recall_at_production_parameters(spark):
+    """Pairs of lines at a similarity of 0.8 to 0.87, by length: nine in ten of them must be found, by brute force over each pair."""
+    rng = random.Random(14)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    for length in (80, 120, 200, 400, 1200):
+        lines, pairs = [], []
+        while len(pairs) < 150:
+            a = "".join(rng.choices(letters, k=length)).strip()
+            b = list(a)
+            for _ in range(max(1, round(length * 0.0135))):
+                b[rng.randrange(len(b))] = rng.choice("XYZ")
+            x, y = grams(a), grams("".join(b))
+            if 0.8 <= len(x & y) / len(x | y) <= 0.87:
+                pairs.append((len(lines), len(lines) + 1))
+                lines += [a, "".join(b)]
+        df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(lines)], SCHEMA)
+        of = {r["doc_id"]: r["component"] for r in line_classes(df).collect()}
+        assert sum(of[i] == of[j] for i, j in pairs) >= 0.97 * len(pairs), length
+        assert len(set(of.values())) >= len(pairs)  # and nothing else links
+
+
 def test_line_edge_rows(spark):
     rows = awkward_rows()
     df = spark.createDataFrame(rows, SCHEMA).withColumn("line", F.lit(1)).withColumn("lid", F.lit(2))

@@ -21,7 +21,7 @@ from ..plans.report import forecast_report
 from ..plans.sales import place_day_sales
 from ..plans.training import place_day_training
 from ..sources import roles
-from ..sources.io import scratch_path, write_metrics
+from ..sources.io import scratch_path, write_metrics, write_table
 from .oracle_roles import initcap, spark_round, with_roles
 from .registry import register, resolved_customers, rounded_sql, sales_2024_01, weather_history
 
@@ -608,6 +608,39 @@ def q_end_to_end_forecast(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+# The model on its training days: one slope over all places and a level for each, which is what least squares on the
+# temperature and the places' indicators comes to.
+_JOB_SQL = with_roles(
+    f"""WITH split AS ({SPLIT_SQL.replace("SELECT city, state, date,", "SELECT city, state, date, sales_amount, temp_avg,")}),
+            filled AS (SELECT * REPLACE (ifnull(temp_avg, (SELECT median(temp_avg) FROM split WHERE NOT is_valid)) AS temp_avg) FROM split WHERE NOT is_valid),
+            fit AS (SELECT *, avg(sales_amount) OVER place AS level, avg(temp_avg) OVER place AS usual
+                    FROM filled WINDOW place AS (PARTITION BY city, state)),
+            slope AS (SELECT sum((temp_avg - usual) * (sales_amount - level)) / sum((temp_avg - usual) * (temp_avg - usual)) AS b FROM fit),
+            known AS (SELECT city, state, min(level) AS level, min(usual) AS usual FROM fit GROUP BY city, state),
+            ahead AS (SELECT city, state, unnest(range(DATE '2024-01-31', DATE '2024-02-10', INTERVAL 1 DAY))::DATE AS date FROM known)
+       SELECT a.city, a.state, a.date, {spark_round("(k.level + s.b * (10.0 * (isodow(a.date) % 7 + 1) - k.usual)) / 10000", 0)} AS pred_10k,
+              'linear_regression' AS model_name
+       FROM ahead a JOIN known k ON k.city = a.city AND k.state = a.state CROSS JOIN slope s""",
+    "training",
+)
+
+
+@register("job_forecast", _JOB_SQL)
+def q_job_forecast(spark: SparkSession, d: str) -> DataFrame:
+    """The job on ready frames, read back from the table that it wrote: every forecast number is checked, in
+    ten-thousands (city and state say the same, so the solver iterates and the last digits are its own)."""
+    base, db = scratch_path(spark, "job"), "geodemand_checks"
+    t = training(spark, d).select("city", "state", "date", "temp_avg", "sales_amount")
+    days = F.explode(F.sequence(F.lit(roles.HORIZON_ANCHOR), F.date_add(F.lit(roles.HORIZON_ANCHOR), 9))).alias("date")
+    ahead = t.select("city", "state").distinct().select("city", "state", days).withColumn("temp_avg", 10.0 * F.dayofweek("date"))
+    for name, df in (("job_training", t), ("job_horizon", ahead)):
+        write_table(df, f"{db}.{name}", path=f"{base}/{name}", schema_location=f"{base}/db")
+    cfg = JobConfig(inputs={"training": f"{db}.job_training", "horizon": f"{db}.job_horizon"}, models=["linear_regression"], forecast_table=f"{db}.job_forecast")
+    run(spark, cfg)
+    out = spark.table(cfg.forecast_table)
+    return out.select("city", "state", "date", F.round(F.col("sales_amount_pred") / 10000, 0).alias("pred_10k"), "model_name")
+
+
 @register(
     "train_demo",
     f"""SELECT count(*) FILTER (({_MD5_32}) % 10000 < 8000) AS train_rows, count(*) FILTER (({_MD5_32}) % 10000 >= 8000) AS test_rows,

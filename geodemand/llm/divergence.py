@@ -230,8 +230,8 @@ def judge_quality(docs: DataFrame, refs: References, spec: QualitySpec = Quality
 
     Null and empty texts have no words and fail the base. Below the length
     guards, and for a text whose ``lang`` (if ``docs`` has that column) is not
-    null and has no reference, a distance is null and fails nothing. Every
-    row gives one row; input columns with these names are replaced.
+    null and has no reference, a distance is null and fails nothing (and such a
+    text has no ``nearest_lang``). Every row gives one row; input columns with these names are replaced.
     """
     added = [*BASE, "nearest_lang", "words_jsd", "class_jsd", "base_failed", "kept"]
     keep = [c for c in docs.columns if c not in added]
@@ -261,13 +261,13 @@ def judge_quality(docs: DataFrame, refs: References, spec: QualitySpec = Quality
                 _classes_distance(counts, total, r["classes"]).alias("classes"),
             ),
         )
-        out = scored.withColumn(fresh("best"), F.array_min(judged))
+        out = scored.withColumn(fresh("best"), F.when(referenced, F.array_min(judged)))
         best = F.col(fresh("best"))
         long_enough = F.col("n_words") >= spec.min_words
         out = (
             out.withColumn("nearest_lang", F.when(F.col("n_words") > 0, best["lang"]))
-            .withColumn("words_jsd", F.when(long_enough & referenced, best["words"]))
-            .withColumn("class_jsd", F.when((F.length("text") >= spec.min_chars) & referenced, best["classes"]))
+            .withColumn("words_jsd", F.when(long_enough, best["words"]))
+            .withColumn("class_jsd", F.when(F.length("text") >= spec.min_chars, best["classes"]))
         )
     else:
         out = out.withColumn("nearest_lang", F.lit(None).cast("string")).withColumn("words_jsd", F.lit(None).cast("double")).withColumn("class_jsd", F.lit(None).cast("double"))

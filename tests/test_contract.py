@@ -8,13 +8,13 @@ import __spark_entry__ as entry
 from geodemand.queries import registry
 
 SF = "/root/testdata/sf0.001"
-MODEL_QUERIES = {"fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast", "train_demo"}
+MODEL_QUERIES = {"fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast", "train_demo", "job_forecast", "forest_group_means", "boosted_stump"}
 
 
 def test_oracle_keys_are_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     q, o = registry.QUERIES, registry.ORACLE
-    assert len(q) == 78 and set(o) == set(q)
+    assert len(q) == 84 and set(o) == set(q)
     assert set(q) <= set(entry.queries())
 
 

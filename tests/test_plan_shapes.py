@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
-MODEL_QUERIES = {"fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast"}
+MODEL_QUERIES = {"fit_forest", "fit_boosted", "select_best", "model_round_trip", "score_forecast", "end_to_end_forecast", "job_forecast"}
 
 
 def plan(df) -> str:

@@ -26,7 +26,7 @@ from .quality import (
 from .reduce import keep_possible, key_bits
 from .report import CONTEXT_MEASURES, join_suffixed, place_options, place_report
 from .sizing import bounded_broadcast
-from .spatial import centre_cells, nearest_place, place_day_measures, stations
+from .spatial import centre_cells, dense_candidates, nearest_place, place_day_measures, stations
 
 __all__ = [
     "DEMO_EFFECTS", "EffectsSpec", "effects_score", "place_labels", "lag_feature", "place_keys",
@@ -39,5 +39,5 @@ __all__ = [
     "keep_possible", "key_bits",
     "CONTEXT_MEASURES", "join_suffixed", "place_options", "place_report",
     "bounded_broadcast",
-    "centre_cells", "nearest_place", "place_day_measures", "stations",
+    "centre_cells", "dense_candidates", "nearest_place", "place_day_measures", "stations",
 ]

@@ -1,11 +1,13 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from geodemand.functions.geo import haversine_km
 from geodemand.operators.keyed import fill_from_reference, latest_version, mode_reference
-from geodemand.operators.spatial import nearest_place
+from geodemand.operators import spatial
+from geodemand.operators.spatial import dense_candidates, nearest_place
 
 
 def test_mode_reference_tie_is_alphabetical(spark):
@@ -92,3 +94,57 @@ def test_nearest_place_shuffle_path_equals_broadcast_path(spark):
     a = sorted(nearest_place(p, c, 900.0).collect())
     b = sorted(nearest_place(p, c, 900.0, max_broadcast_rows=0).collect())  # centre cells not broadcast
     assert a == b and len(a) > 100
+
+
+def test_nearest_place_tree_equals_brute_force(spark):
+    """The walk down the tree of cells, forced by a low ``max_per_cell``: poles, date line, ties, copies, all radii."""
+    rnd = random.Random(11)
+    centres = [(f"c{i}", "S", rnd.uniform(-89.9, 89.9), rnd.uniform(-180, 180)) for i in range(60)]
+    centres += [(f"d{i}", "S", rnd.uniform(4, 6), (rnd.uniform(178, 182) + 180) % 360 - 180) for i in range(60)]
+    centres += [("pole", "N", 89.95, 10.0), ("date", "E", 5.0, 180.0), ("date", "W", 5.0, -180.0), ("copy", "B", 5.0, 179.0), ("copy", "A", 5.0, 179.0)]
+    pts = [(f"p{i}", rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(600)]
+    pts += [(f"q{i}", rnd.uniform(3, 7), (rnd.uniform(177, 183) + 180) % 360 - 180) for i in range(600)]
+    pts += [("np", 89.99, -170.0), ("dl", 5.0, -180.0), ("dl", 5.0, -180.0), ("at", 5.0, 179.0), ("two", 5.0, 179.0), ("two", 10.0, 10.0), ("null", None, 1.0)]
+    c = spark.createDataFrame(centres, "city string, state string, center_lat double, center_lon double")
+    p = spark.createDataFrame(pts, "postal_code string, lat double, lon double")
+    for max_km, broadcast in ((80.0, 100_000), (500.0, 0), (25000.0, 100_000)):
+        found = nearest_place(p, c, max_km, max_per_cell=8, max_broadcast_rows=broadcast)
+        tree = {r.postal_code: (r.city, r.state, round(r.distance_km, 6)) for r in found.collect()}
+        plain = {r.postal_code: (r.city, r.state, round(r.distance_km, 6)) for r in nearest_place(p, c, max_km, max_per_cell=10**9).collect()}
+        assert tree == plain and tree["at"][:2] == ("copy", "A"), max_km
+
+
+def test_nearest_place_dense_centres_bounds_candidates(spark):
+    """10,000 centres inside one radius, half of them within 20 m: no point meets more than a few leaves of them."""
+    rnd = random.Random(3)
+    centres = [(f"c{i:05}", "S", 40 + rnd.uniform(-0.3, 0.3), -100 + rnd.uniform(-0.3, 0.3)) for i in range(5000)]
+    centres += [(f"t{i:05}", "S", 40.5 + rnd.uniform(-1e-4, 1e-4), -100 + rnd.uniform(-1e-4, 1e-4)) for i in range(5000)]
+    pts = [(f"p{i}", 40 + rnd.uniform(-1.2, 1.2), -100 + rnd.uniform(-1.5, 1.5)) for i in range(400)]
+    pts += [(f"q{i}", 40.5 + rnd.uniform(-2e-4, 2e-4), -100 + rnd.uniform(-2e-4, 2e-4)) for i in range(100)]
+    c = spark.createDataFrame(centres, "city string, state string, center_lat double, center_lon double")
+    p = spark.createDataFrame(pts, "postal_code string, lat double, lon double")
+    lat_deg, n_lon, lon_deg = spatial._grid(80.0)
+    tagged = p.select("postal_code", F.col("lat").alias("_p_lat"), F.col("lon").alias("_p_lon")).withColumns(
+        {"_lat_cell": spatial._lat_cell(F.col("_p_lat"), lat_deg), "_lon_cell": spatial._lon_cell(F.col("_p_lon"), n_lon, lon_deg)}
+    )
+    met = dense_candidates(tagged, c.selectExpr("city", "state", "center_lat _c_lat", "center_lon _c_lon"), "postal_code", 80.0, leaf=16)
+    per_point = [r["count"] for r in met.groupBy("postal_code").count().collect()]
+    assert max(per_point) <= 320 and sum(per_point) / len(per_point) <= 80
+
+    got = {r.postal_code: (r.city, round(r.distance_km, 6)) for r in nearest_place(p, c, 80.0, max_per_cell=16).collect()}
+    la, lo = (np.radians([x[i] for x in centres]) for i in (2, 3))
+    want = {}
+    for key, plat, plon in pts:
+        a, o = math.radians(plat), math.radians(plon)
+        km = 2 * 6371.0 * np.arcsin(np.sqrt(np.sin((la - a) / 2) ** 2 + math.cos(a) * np.cos(la) * np.sin((lo - o) / 2) ** 2))
+        if km.min() <= 80.0:
+            want[key] = (centres[int(km.argmin())][0], round(float(km.min()), 6))
+    assert got == want and len(got) > 300
+
+
+def test_nearest_place_without_rows(spark):
+    c = spark.createDataFrame([], "city string, state string, center_lat double, center_lon double")
+    p = spark.createDataFrame([("a", 1.0, 1.0)], "postal_code string, lat double, lon double")
+    assert nearest_place(p, c, 80.0).collect() == []
+    some = spark.createDataFrame([("x", "S", 1.0, 1.0), ("y", "S", 1.1, 1.0)], c.schema)
+    assert nearest_place(p.limit(0), some, 80.0, max_per_cell=1).collect() == []

@@ -150,15 +150,16 @@ def _frequent_table(texts: DataFrame, spec: JaccardSpec) -> np.ndarray:
 
     @F.arrow_udf("array<binary>")
     def counts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """Sorted 32-bit tokens of a batch, cut into slices and packed; a packed column per slice in its first row."""
+        """Distinct 32-bit tokens of a batch with their counts, cut into slices and packed; a packed column per slice in its first row."""
         hashes, packer = _WordHash(), zstandard.ZstdCompressor(level=1)
         edges = np.array([(s << 32) // slices for s in range(1, slices)], dtype=np.uint32)
         for batch in batches:
             held = [(shingles(t.as_py(), spec.n, hashes) >> np.uint64(32)).astype(np.uint32) for t in batch]
-            merged = np.sort(np.concatenate(held)) if held else np.zeros(0, np.uint32)
+            tokens, times = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint32), return_counts=True)
             out: list = [None] * len(batch)
-            if len(merged):
-                out[0] = [packer.compress(_pack(p)) for p in np.split(merged, np.searchsorted(merged, edges))]
+            if len(tokens):
+                cuts = np.searchsorted(tokens, edges)
+                out[0] = [packer.compress(_pack(p, n)) for p, n in zip(np.split(tokens, cuts), np.split(times, cuts))]
             yield pa.array(out, pa.list_(pa.binary()))
 
     @F.arrow_udf("array<int>")
@@ -166,11 +167,15 @@ def _frequent_table(texts: DataFrame, spec: JaccardSpec) -> np.ndarray:
         unpacker = zstandard.ZstdDecompressor()
         out = []
         for packed in parts:
-            tokens, n = np.unique(np.concatenate([_unpack(unpacker.decompress(p.as_py())) for p in packed]), return_counts=True)
-            out.append(tokens[n > least].view(np.int32))
+            tokens, times = (np.concatenate(x) for x in zip(*[_unpack(unpacker.decompress(p.as_py())) for p in packed]))
+            order = np.argsort(tokens, kind="stable")
+            tokens, first = np.unique(tokens[order], return_index=True)
+            held = np.add.reduceat(times[order], first, dtype=np.int64) if len(first) else first
+            out.append(tokens[held > least].view(np.int32))
         return pa.array(out, pa.list_(pa.int32()))
 
-    # one row per batch and slice; a slice holds about count_slice tokens however many texts there are
+    # one row per batch and slice, a token once in it: a slice merges at most about count_slice tokens however many texts
+    # there are, and one that a third of them hold is one entry per batch
     rows = texts.select(F.posexplode(counts("text")).alias("slice", "packed"))
     merged = rows.groupBy("slice").agg(F.collect_list("packed").alias("parts")).select(F.explode(frequent("parts")).alias("token"))
     found = merged.toArrow().column("token").to_numpy().astype(np.int32).view(np.uint32)
@@ -179,13 +184,14 @@ def _frequent_table(texts: DataFrame, spec: JaccardSpec) -> np.ndarray:
     return flags
 
 
-def _pack(sorted_tokens: np.ndarray) -> bytes:
-    """Differences of sorted 32-bit numbers, byte planes apart (they compress well)."""
-    return np.diff(sorted_tokens, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes()
+def _pack(tokens: np.ndarray, times: np.ndarray) -> bytes:
+    """Differences of sorted 32-bit tokens and their counts, byte planes apart (they compress well)."""
+    return np.stack([np.diff(tokens, prepend=np.uint32(0)), times.astype(np.uint32)]).view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1).tobytes()
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel(), dtype=np.uint32)
+def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    steps, times = np.frombuffer(raw, np.uint8).reshape(2, 4, -1).transpose(0, 2, 1).copy().view(np.uint32)[:, :, 0]
+    return np.cumsum(steps, dtype=np.uint32), times
 
 
 def _profiles(texts: DataFrame, spec: JaccardSpec) -> DataFrame:

@@ -1,12 +1,13 @@
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 from helpers import SCHEMA, awkward_rows, by_class, groups, prose, similar
 
 from geodemand.llm.components import connected_components
 from geodemand.llm.line_dedup import LineSpec, line_classes
-from geodemand.llm.ngram_join import JaccardSpec, ngram_groups, one_per_group, signatures
+from geodemand.llm.ngram_join import JaccardSpec, _frequent_table, _pack, _unpack, _WordHash, ngram_groups, one_per_group, shingles, signatures
 from pyspark.sql import functions as F
 
 
@@ -154,3 +155,23 @@ def test_line_edge_rows(spark):
     assert line_classes(df.limit(0)).count() == 0
     twice = line_classes(spark.createDataFrame([(None, "a line of its own", None, None, None)] * 3, SCHEMA)).collect()
     assert len(twice) == 3 and sum(r["kept"] for r in twice) == 1
+
+
+def test_frequent_tokens_are_counted_over_all_batches(spark):
+    """Counts per batch add up, whatever the batches and slices; packed columns come back as they were."""
+    rng = np.random.default_rng(5)
+    tokens = np.unique(rng.integers(0, 2**32, 1000, dtype=np.uint64).astype(np.uint32))
+    for part in (tokens, tokens[:0], tokens[:1]):
+        times = rng.integers(1, 10**9, len(part))
+        back = _unpack(_pack(part, times))
+        assert (back[0] == part).all() and (back[1] == times).all()
+
+    texts = [f"hot words here now {i}" for i in range(400)] + ["a b c d"] * 30 + ["p q r s"] * 50 + ["", " ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(9)
+    seen = Counter()
+    for t in texts:
+        if t and t.strip():
+            seen.update({int(x) >> 32 for x in shingles(t, 3, _WordHash())})
+    for spec in (JaccardSpec(), JaccardSpec(count_slice=100)):
+        flags = _frequent_table(df, spec)
+        assert set(np.flatnonzero(flags)) == {x >> (32 - spec.table_bits) for x, n in seen.items() if n > spec.frequent_at}

@@ -94,8 +94,9 @@ def shard_by_size(df: DataFrame, size: Column, checksum: Column, spec: ShardSpec
     """All rows and columns of ``df`` plus ``shard`` (int) and ``slot`` (long, gapless from 0 per shard).
 
     ``size`` is a positive number of bytes per record and ``checksum`` a 32-bit
-    key that equal records share. Shard byte totals differ by at most one
-    record. Repeated rows are all kept; they are interchangeable. An empty
+    key that equal records share. A record goes where its middle lies, so a
+    shard's bytes differ from an equal share by at most half the record at
+    either end. Repeated rows are all kept; they are interchangeable. An empty
     table gives an empty result. Input columns named ``shard`` or ``slot`` are
     replaced. ``order_by`` names the columns that break ties (default: the
     hash of the whole row).
@@ -117,7 +118,7 @@ def shard_by_size(df: DataFrame, size: Column, checksum: Column, spec: ShardSpec
         keyed.withColumn(RANGE, _range_of(cuts))
         .withColumn(POS, at(byte_at) + before)
         .withColumn(ROW, at(row_at) + F.row_number().over(w) - 1)
-        .withColumn("shard", F.least(F.floor(F.col(POS) * spec.shards / F.lit(max(1, total))), F.lit(spec.shards - 1)).cast("int"))
+        .withColumn("shard", F.least(F.floor((F.col(POS) + F.col(BYTES) / 2) * spec.shards / F.lit(max(1, total))), F.lit(spec.shards - 1)).cast("int"))
     )
     # One row per shard: bounded by the shard count, so it is safe to broadcast.
     first = placed.groupBy(F.col("shard").alias(fresh("shard"))).agg(F.min(ROW).alias(fresh("first")))

@@ -79,8 +79,9 @@ def template(text: Column) -> Column:
 
 
 def _tokens(df: DataFrame, *keys: str) -> DataFrame:
-    """(keys, tags, raws) of texts with tokens."""
-    split = df.withColumn("t", template(F.col("text"))).where(F.size("t") > 0)
+    """(keys, tags, raws) of every text, empty arrays where it has no tokens. A filter on them here would be moved
+    below and make every template twice."""
+    split = df.withColumn("t", template(F.col("text")))
     return split.select(*keys, F.transform("t", lambda x: x["tag"]).alias("tags"), F.transform("t", lambda x: x["raw"]).alias("raws"))
 
 
@@ -105,7 +106,7 @@ def _windows(tokens: DataFrame, lengths: list[int], *keep: str) -> DataFrame:
 def benchmark_windows(benchmark: DataFrame, spec: TemplateSpec) -> tuple[DataFrame, list[int]]:
     """(h, item_id, item_at, slots, n_windows) of the item windows that can be matched, with their
     placeholders' values, and the window lengths in use (``spec.window``, and those of shorter items)."""
-    items = _tokens(benchmark.where("text is not null").select("item_id", "text").dropDuplicates(), "item_id")
+    items = _tokens(benchmark.where("text is not null").select("item_id", "text").dropDuplicates(), "item_id").where(F.size("tags") > 0)
     items = items.withColumn("m", F.least(F.size("tags"), F.lit(spec.window)))
     lengths = sorted({r[0] for r in items.select("m").distinct().collect()}) or [spec.window]  # at most spec.window values
     w = _windows(items, lengths, "item_id", "tags", "raws", "m").where(F.col("h") == F.coalesce(*[F.when(F.col("m") == m, _hash(F.col("tags"), F.col("at"), m)) for m in lengths]))

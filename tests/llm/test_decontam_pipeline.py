@@ -166,3 +166,12 @@ def test_every_stage_takes_awkward_rows(spark, tmp_path):
             assert out.count() <= 3 * docs.count()
             assert set(df.columns) <= set(out.columns), name
     shutil.rmtree(tmp_path, ignore_errors=True)
+
+
+def test_every_text_is_tokenised_once(spark):
+    from geodemand.llm import template_decontam as t
+
+    docs = spark.createDataFrame([(1, "one two three four five six seven eight nine"), (2, ""), (3, None), (4, "?!")], "doc_id long, text string")
+    windows = t._windows(t._tokens(docs, "doc_id"), [8], "doc_id")
+    assert windows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    assert sorted((r["doc_id"], r["at"]) for r in windows.collect()) == [(1, 0), (1, 1)]

@@ -21,3 +21,14 @@ def spark():
     s.sparkContext.setCheckpointDir(f"{scratch}/checkpoints")
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True)
+def no_view_outlives_its_test(request):
+    """Temporary views belong to the session, and listTables names them in every database."""
+    yield
+    if "spark" in request.fixturenames:
+        s = request.getfixturevalue("spark")
+        for t in s.catalog.listTables():
+            if t.isTemporary:
+                s.catalog.dropTempView(t.name)

@@ -8,10 +8,11 @@ verified by exact Jaccard similarity; distributed union-find over the verified
 links gives components, and one line per component is kept.
 
 Within a band bucket, lines are first verified against one of them; then, with
-the components known, across components only. An exact bound (size and
+the components known, the others of the bucket across components only. An exact bound (size and
 parity-sketch distance) discards hopeless pairs before they are verified, in
 the last step inside the join. So a bucket of thousands of similar lines never
-turns into all pairs.
+turns into all pairs. Between two components the likeliest pair is verified
+first, and the others only if the two are still apart after that.
 """
 
 from __future__ import annotations
@@ -43,17 +44,20 @@ class LineSpec:
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no from 0, line hash, line) of every line; blank lines have a null hash, null texts no lines."""
     rows = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    bare = F.btrim("line", F.lit(SPACE_CHARS))
+    # trimming walks the whole line; one whose outer bytes lie above all white space needs none
+    end = lambda at: F.substring(F.col("line").cast("binary"), F.lit(at), F.lit(1)) > F.lit(b" ")
+    bare = F.when(end(1) & end(-1), F.col("line")).otherwise(F.btrim("line", F.lit(SPACE_CHARS)))
     return rows.select("doc_id", F.col("line_no").cast("long").alias("line_no"), F.when(bare != "", F.xxhash64(bare)).alias("lid"), bare.alias("line"))
 
 
-def _gram(encoded: Column, i: Column, n: int) -> Column:
-    """Hash of the n-gram that starts at character i (from 1) of UTF-32 text: a fixed-width slice."""
-    return F.xxhash64(F.substring(encoded, i * 4 - 3, F.lit(4 * n)))
+def _gram(encoded: Column, at: Column, n: int) -> Column:
+    """Hash of the n-gram that starts at byte ``at`` (from 1) of UTF-32 text: a fixed-width slice."""
+    return F.xxhash64(F.substring(encoded, at, F.lit(4 * n)))
 
 
-def _gram_count(line: Column, n: int) -> Column:
-    return F.greatest(F.length(line) - (n - 1), F.lit(1))
+def _gram_starts(encoded: Column, n: int) -> Column:
+    """First byte of every n-gram of UTF-32 text; a shorter text is one n-gram."""
+    return F.sequence(F.lit(1), F.greatest(F.octet_length(encoded) - (4 * n - 4), F.lit(1)), F.lit(4))
 
 
 def _encoded(line: Column) -> Column:
@@ -62,10 +66,17 @@ def _encoded(line: Column) -> Column:
 
 def grams(line: Column, n: int) -> Column:
     """Distinct n-gram hashes of a line; a shorter line is one n-gram."""
-    code = F.transform(F.array(_encoded(line)), lambda e: F.transform(F.sequence(F.lit(1), _gram_count(line, n)), lambda i: _gram(e, i, n)))
+    code = F.transform(F.array(_encoded(line)), lambda e: F.transform(_gram_starts(e, n), lambda at: _gram(e, at, n)))
     return F.array_distinct(F.element_at(code, 1))
 
 
+def _each_gram(lines: DataFrame, n: int) -> DataFrame:
+    """(lid, h): a row per n-gram, repeats included."""
+    # encoded below the explode, once per line; above it, every n-gram would encode its line again
+    coded = lines.select("lid", _encoded(F.col("line")).alias("e"))
+    return coded.select("lid", "e", F.explode(_gram_starts(F.col("e"), n)).alias("at")).select("lid", _gram(F.col("e"), F.col("at"), n).alias("h"))
+
+
 def _filled(least: Column) -> Column:
     """Bins with each empty one taking the next that is not, around the end."""
     twice = F.concat(least, least)
@@ -75,27 +86,30 @@ def _filled(least: Column) -> Column:
 def band_keys(distinct: DataFrame, spec: LineSpec) -> DataFrame:
     """(lid, bands): signature bands of lines that are partitioned by ``lid`` already, so the minima need no shuffle."""
     k = spec.bands * spec.rows
-    # encoded below the explode, once per line; above it, every n-gram would encode its line again
-    coded = distinct.select("lid", _encoded(F.col("line")).alias("e"))
-    grams_at = F.sequence(F.lit(1), F.greatest((F.octet_length("e") / 4).cast("int") - (spec.n - 1), F.lit(1)))
-    hashed = coded.select("lid", "e", F.explode(grams_at).alias("i")).select("lid", _gram(F.col("e"), F.col("i"), spec.n).alias("h"))
-    binned = hashed.withColumn("bin", F.pmod("h", F.lit(k)).cast("int"))
+    # never null, so the minima are made without null checks
+    binned = _each_gram(distinct, spec.n).withColumn("bin", F.coalesce(F.pmod("h", F.lit(k)).cast("int"), F.lit(0)))
     # filtered aggregates: an n-gram touches its own bin only
     least = binned.groupBy("lid").agg(*[F.expr(f"min(h) filter (where bin = {i})").alias(f"m{i}") for i in range(k)])
     bins = least.select("lid", F.array(*[f"m{i}" for i in range(k)]).alias("m")).select("lid", _filled(F.col("m")).alias("m"))
     return bins.select("lid", F.array(*[F.xxhash64(F.lit(b), *[F.col("m")[b * spec.rows + r] for r in range(spec.rows)]) for b in range(spec.bands)]).alias("bands"))
 
 
+def _apart(spec: LineSpec, a: str, b: str) -> Column:
+    """Bits in which two sketches differ: never more than the n-grams that only one of the lines has."""
+    return functools.reduce(operator.add, [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(spec.sketch_longs)])
+
+
 def _possible(spec: LineSpec, a: str = "a", b: str = "b") -> Column:
     """Necessary for a link: sizes near enough, and sketches no further apart than two such sets can be."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = functools.reduce(operator.add, [F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(F.col(f"{b}.s{i}"))) for i in range(spec.sketch_longs)])
-    return (100 * F.least(na, nb) >= spec.percent * F.greatest(na, nb)) & ((100 + spec.percent) * apart <= (100 - spec.percent) * (na + nb))
+    return (100 * F.least(na, nb) >= spec.percent * F.greatest(na, nb)) & ((100 + spec.percent) * _apart(spec, a, b) <= (100 - spec.percent) * (na + nb))
 
 
 def _sketches(texts: DataFrame, spec: LineSpec) -> DataFrame:
     """(lid, n, s0..): set size and parity sketch of each line."""
-    each = texts.select("lid", F.explode(grams(F.col("line"), spec.n)).alias("h"))
+    # the sets are generated, not projected: the optimizer would make them once more to ask for their size
+    sets = texts.select("lid", F.explode(F.array(grams(F.col("line"), spec.n))).alias("g"))
+    each = sets.select("lid", F.explode("g").alias("h"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("h").bitwiseAND(F.lit(63)).cast("int"))
     word = F.pmod(F.shiftright("h", 6), F.lit(spec.sketch_longs))
     folded = each.select("lid", bit.alias("bit"), word.cast("int").alias("word")).groupBy("lid").agg(
@@ -107,9 +121,10 @@ def _sketches(texts: DataFrame, spec: LineSpec) -> DataFrame:
 def _linked(pairs: DataFrame, texts: DataFrame, spec: LineSpec) -> DataFrame:
     """Those of the distinct pairs (a, b) whose n-gram sets are similar enough, by exact count."""
     side = lambda x: texts.select(F.col("lid").alias(x), F.col("line").alias(f"l{x}"))
-    sets = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", grams(F.col("la"), spec.n).alias("ga"), grams(F.col("lb"), spec.n).alias("gb"))
-    both = F.size(F.array_intersect("ga", "gb"))
-    return sets.where(100 * both >= spec.percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    # a generated column is made once a row; a projected one would be put into the condition, once for every use
+    sets = both.select("a", "b", F.explode(F.array(F.struct(grams(F.col("la"), spec.n).alias("x"), grams(F.col("lb"), spec.n).alias("y")))).alias("g"))
+    return sets.where((100 + spec.percent) * F.size(F.array_intersect("g.x", "g.y")) >= spec.percent * (F.size("g.x") + F.size("g.y"))).select("a", "b")
 
 
 def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
@@ -133,25 +148,37 @@ def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
     roots = connected_components(_linked(pairs, texts, spec), "a", "b")
     release(pairs, wanted)
 
-    # buckets that still hold more than one component
-    now = members.select("bk", "lid").join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid"))
+    # buckets that still hold more than one component; their hubs have been compared with all the others
+    now = members.where("lid <> hub").select("bk", "lid").join(roots.withColumnRenamed("node", "lid"), "lid", "left").withColumn("root", F.coalesce("root", "lid"))
     mixed = now.groupBy("bk").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("bk")
     apart = now.join(mixed, "bk").select("bk", "lid", "root")
     bands = nodes.select("lid", *[F.col("bands")[i].alias(f"b{i}") for i in range(spec.bands)], "bands")
     rest = apart.join(facts, "lid").join(bands, "lid").withColumn("band", F.array_position("bands", F.col("bk")) - 1).drop("bands")
-    rest = shared_table(spark, rest)
+    # columns that are never null keep the join's condition small enough for the JVM to compile
+    rest = shared_table(spark, rest).fillna(0)
     a, b = rest.alias("a"), rest.alias("b")
     # a pair that shares several buckets is looked at in the first of them
     is_first = functools.reduce(operator.and_, [(F.col("a.band") <= i) | (F.col(f"a.b{i}") != F.col(f"b.b{i}")) for i in range(spec.bands)])
     across = a.join(b, (F.col("a.bk") == F.col("b.bk")) & (F.col("a.lid") < F.col("b.lid")) & (F.col("a.root") != F.col("b.root")) & is_first & _possible(spec))
-    pairs = shared_table(spark, across.select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b")))
+    off = (_apart(spec, "a", "b") / (F.col("a.n") + F.col("b.n"))).alias("off")
+    pairs = shared_table(spark, across.select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b"), F.least("a.root", "b.root").alias("u"), F.greatest("a.root", "b.root").alias("v"), off))
     release(rest)
-    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(_linked(pairs, texts, spec))
-    found = connected_components(links, "a", "b")
-    release(nodes, members, texts, facts, pairs)
+    # one link joins two components, so of the pairs between them the likeliest is verified first ...
+    likely = shared_table(spark, pairs.groupBy("u", "v").agg(F.min(F.struct("off", "a", "b")).alias("p")).select("p.a", "p.b"))
+    joined = connected_components(_known(roots).unionByName(_linked(likely, texts, spec)), "a", "b")
+    # ... and the others only where the components are still apart
+    root_of = lambda x: joined.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    left = pairs.join(likely, ["a", "b"], "left_anti").join(root_of("u"), "u", "left").join(root_of("v"), "v", "left").where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v"))
+    others = shared_table(spark, left.select("a", "b"))
+    found = connected_components(_known(joined).unionByName(_linked(others, texts, spec)), "a", "b")
+    release(nodes, members, texts, facts, pairs, likely, others)
     return found
 
 
+def _known(roots: DataFrame) -> DataFrame:
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def line_classes(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     """One row per line: doc_id, line_no, line_hash, component (its class), n_class_lines and kept.
 

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 from helpers import SCHEMA, awkward_rows, by_class, groups, prose, similar
 
+from geodemand.llm import line_dedup
 from geodemand.llm.components import connected_components
 from geodemand.llm.line_dedup import LineSpec, line_classes
 from geodemand.llm.ngram_join import JaccardSpec, _frequent_table, _pack, _unpack, _WordHash, ngram_groups, one_per_group, shingles, signatures
@@ -145,6 +146,29 @@ def test_recall_at_production_parameters(spark):
         assert len(set(of.values())) >= len(pairs)  # and nothing else links
 
 
+def test_links_between_components_are_verified_about_once(spark, monkeypatch):
+    """Lines that share a passage behind leads of their own: most pairs are links, but few of them are needed."""
+    rng = random.Random(21)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n)).strip()
+    passage = "A" + some(400) + "Z"
+    lines = [some(rng.randint(5, 95)) + passage for _ in range(150)]
+    verified, real = [], line_dedup._linked
+    monkeypatch.setattr(line_dedup, "_linked", lambda pairs, *a: verified.append(pairs.count()) or real(pairs, *a))
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(lines)], SCHEMA)
+    out = line_classes(df).collect()
+    sets = dict(enumerate(map(grams, lines)))
+    links = similar(sets, 80)
+    assert by_class((r["doc_id"], r["component"]) for r in out) == by_class(groups(sets, links).items())
+    assert len(links) > 20 * len(lines) and sum(verified) < 4 * len(lines)
+
+
+def test_line_ends_are_trimmed_of_white_space_only(spark):
+    rows = [(i, t, None, None, None) for i, t in enumerate(["é", " \té\x0b ", "\u00a0é", "é\r", "\x1fé", " ", "\t\r", "", "a b "])]
+    got = {(r["doc_id"], r["line"]): r["lid"] for r in line_dedup.lines_of(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(got) == {(i, t.strip(" \t\n\x0b\x0c\r")) for i, t, *_ in rows}
+    assert all((lid is None) == (line == "") for (_, line), lid in got.items())
+
+
 def test_line_edge_rows(spark):
     rows = awkward_rows()
     df = spark.createDataFrame(rows, SCHEMA).withColumn("line", F.lit(1)).withColumn("lid", F.lit(2))

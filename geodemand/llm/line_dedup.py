@@ -12,7 +12,7 @@ the components known, the others of the bucket across components only. An exact
 parity-sketch distance) discards hopeless pairs before they are verified, in
 the last step inside the join. So a bucket of thousands of similar lines never
 turns into all pairs. Between two components the likeliest pair is verified
-first, and the others only if the two are still apart after that.
+first, and the others only if that one is no link.
 """
 
 from __future__ import annotations
@@ -164,21 +164,17 @@ def line_links(lines: DataFrame, spec: LineSpec) -> DataFrame:
     pairs = shared_table(spark, across.select(F.col("a.lid").alias("a"), F.col("b.lid").alias("b"), F.least("a.root", "b.root").alias("u"), F.greatest("a.root", "b.root").alias("v"), off))
     release(rest)
     # one link joins two components, so of the pairs between them the likeliest is verified first ...
-    likely = shared_table(spark, pairs.groupBy("u", "v").agg(F.min(F.struct("off", "a", "b")).alias("p")).select("p.a", "p.b"))
-    joined = connected_components(_known(roots).unionByName(_linked(likely, texts, spec)), "a", "b")
-    # ... and the others only where the components are still apart
-    root_of = lambda x: joined.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
-    left = pairs.join(likely, ["a", "b"], "left_anti").join(root_of("u"), "u", "left").join(root_of("v"), "v", "left").where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v"))
-    others = shared_table(spark, left.select("a", "b"))
-    found = connected_components(_known(joined).unionByName(_linked(others, texts, spec)), "a", "b")
-    release(nodes, members, texts, facts, pairs, likely, others)
+    likely = shared_table(spark, pairs.groupBy("u", "v").agg(F.min(F.struct("off", "a", "b")).alias("p")).select("p.a", "p.b", "u", "v"))
+    joins = shared_table(spark, _linked(likely.select("a", "b"), texts, spec))
+    # ... and the others only where that one is no link
+    settled = likely.join(joins, ["a", "b"]).select("u", "v")
+    others = shared_table(spark, pairs.join(settled, ["u", "v"], "left_anti").join(likely, ["a", "b"], "left_anti").select("a", "b"))
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(joins).unionByName(_linked(others, texts, spec))
+    found = connected_components(links, "a", "b")
+    release(nodes, members, texts, facts, pairs, likely, joins, others)
     return found
 
 
-def _known(roots: DataFrame) -> DataFrame:
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-
-
 def line_classes(docs: DataFrame, spec: LineSpec = LineSpec()) -> DataFrame:
     """One row per line: doc_id, line_no, line_hash, component (its class), n_class_lines and kept.
 
